@@ -30,15 +30,16 @@ def as_of_date(as_of=None) -> Column:
 
 
 def as_of_timestamp(as_of=None) -> Column:
+    """Evaluation instant as TIMESTAMP_NTZ (wall clock, no zone shifts)."""
     if as_of is None:
-        return F.current_timestamp()
+        return F.localtimestamp()
     if isinstance(as_of, Column):
-        return as_of.cast("timestamp")
+        return as_of.cast("timestamp_ntz")
     if isinstance(as_of, _dt.datetime):
-        return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+        return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     if isinstance(as_of, _dt.date):
         as_of = as_of.strftime("%Y-%m-%d")
-    return F.lit(str(as_of)).cast("timestamp")
+    return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
 def money_zero() -> Column:
@@ -63,8 +64,7 @@ def exact_avg(c, scale: int | None = None) -> Column:
     and engine-independent (doubles would round ties arbitrarily).
     """
     c = col_of(c)
-    total = F.sum(c).cast("decimal(20,2)") if scale is None or scale >= 0 else F.sum(c)
-    avg = total / F.count(c).cast("decimal(20,0)")
+    avg = F.sum(c).cast("decimal(22,2)") / F.nullif(F.count(c), F.lit(0)).cast("decimal(20,0)")
     return F.round(avg, scale) if scale is not None else avg
 
 
@@ -92,7 +92,5 @@ def to_edge(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
-        elif isinstance(field.dataType, T.TimestampNTZType):
-            c = c.cast("timestamp")
         cols.append(c.alias(field.name))
     return df.select(*cols)

@@ -290,7 +290,7 @@ def source_freshness(sources: dict[str, DataFrame], rules: dict[str, Freshness]
     for name, rule in rules.items():
         if name not in sources:
             continue
-        parts.append(sources[name].agg(F.max(rule.loaded_at_field).cast("timestamp")
+        parts.append(sources[name].agg(F.max(rule.loaded_at_field).cast("timestamp_ntz")
                                        .alias("max_loaded_at"))
                      .select(F.lit(name).alias("source"), "max_loaded_at",
                              F.lit(float(rule.warn_after_hours)).alias("warn_after_hours"),
@@ -298,7 +298,7 @@ def source_freshness(sources: dict[str, DataFrame], rules: dict[str, Freshness]
     if not parts:
         raise ValueError("no declared source was given")
     df = reduce(DataFrame.unionByName, parts)
-    age = (F.unix_timestamp(now) - F.unix_timestamp("max_loaded_at")) / F.lit(3600.0)
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now) / F.lit(3600.0)
     df = df.withColumn("age_hours", age)
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
               .when(F.col("age_hours") > F.col("error_after_hours"), F.lit("error"))

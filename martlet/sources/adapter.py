@@ -87,7 +87,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat("c_name", F.lit("@Example.com")).alias("email"),
                     created.alias("created_at"),
                     F.col("n_name").alias("country"),
-                    created.cast("timestamp").alias("_loaded_at")))
+                    created.cast("timestamp_ntz").alias("_loaded_at")))
 
 
 def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +96,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(p.p_partkey.alias("product_id"), p.p_name.alias("product_name"),
                     p.p_type.alias("category"), _money(p.p_retailprice).alias("unit_price"),
                     (p.p_partkey % 20 != 0).alias("is_active"),
-                    stamp.cast("timestamp").alias("_loaded_at"))
+                    stamp.cast("timestamp_ntz").alias("_loaded_at"))
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     day.alias("order_date"), _order_status(o).alias("status"),
                     _money(o.o_totalprice).alias("amount"),
                     _payment_method(o).alias("payment_method"),
-                    day.cast("timestamp").alias("_loaded_at")))
+                    day.cast("timestamp_ntz").alias("_loaded_at")))
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                      li.l_orderkey.alias("order_id"), li.l_partkey.alias("product_id"),
                      li.l_quantity.cast("int").alias("quantity"),
                      _money(li.l_extendedprice).alias("unit_price"),
-                     li.l_shipdate.cast("date").cast("timestamp").alias("_loaded_at"))
+                     li.l_shipdate.cast("date").cast("timestamp_ntz").alias("_loaded_at"))
 
 
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,11 +126,11 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = [o.o_orderkey.alias("order_id"), _payment_method(o).alias("payment_method"),
             _money(o.o_totalprice).alias("amount")]
     first = o.select((o.o_orderkey * 2).alias("payment_id"), *base, status.alias("status"),
-                     day.alias("payment_date"), day.cast("timestamp").alias("_loaded_at"))
+                     day.alias("payment_date"), day.cast("timestamp_ntz").alias("_loaded_at"))
     retry = (o.filter(o.o_orderkey % 11 == 0)
              .select((o.o_orderkey * 2 + 1).alias("payment_id"), *base,
                      F.lit("failed").alias("status"), day.alias("payment_date"),
-                     day.cast("timestamp").alias("_loaded_at")))
+                     day.cast("timestamp_ntz").alias("_loaded_at")))
     return first.unionByName(retry)
 
 
@@ -142,7 +142,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                     li.l_partkey.alias("product_id"), o.o_custkey.alias("customer_id"),
                     (1 + li.l_partkey % 5).cast("int").alias("rating"),
                     li.l_shipdate.cast("date").alias("review_date"),
-                    li.l_shipdate.cast("date").cast("timestamp").alias("_loaded_at")))
+                    li.l_shipdate.cast("date").cast("timestamp_ntz").alias("_loaded_at")))
 
 
 def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:

@@ -124,7 +124,7 @@ def next_surrogate_keys(existing: DataFrame, new_rows: DataFrame, key: str,
 def load_audit(tables: dict[str, DataFrame], stamp_column: str = "_loaded_at") -> DataFrame:
     """Per table: row count and newest load stamp, unioned (tbl, rows, last_loaded)."""
     parts = [df.agg(F.count(F.lit(1)).alias("rows"),
-                    F.max(stamp_column).cast("timestamp").alias("last_loaded"))
+                    F.max(stamp_column).alias("last_loaded"))
              .select(F.lit(name).alias("tbl"), "rows", "last_loaded")
              for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -65,7 +65,7 @@ def raw_schema(table: str, id_type: T.DataType = T.IntegerType()) -> T.StructTyp
             _f("review_date", T.DateType()),
         ],
     }[table]
-    return T.StructType(cols + [_f("_loaded_at", T.TimestampType(),
+    return T.StructType(cols + [_f("_loaded_at", T.TimestampNTZType(),
                                    comment="time the row was loaded")])
 
 
