@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import as_of_date, money_zero
+from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
 from martlet.operators.marts import DEFAULT_HIGH, DEFAULT_MID
 
 def is_completed():
@@ -71,14 +72,20 @@ def mart_country_performance(dim_customers: DataFrame, fct_orders: DataFrame) ->
     c = dim_customers.select("customer_id", "country", "customer_segment", "total_lifetime_value")
     j = c.join(per_customer, "customer_id", "left")
     weight = F.greatest(F.coalesce(F.col("_rows"), F.lit(0)), F.lit(1))
-    g = j.groupBy("country").agg(
-        F.count_distinct("customer_id").alias("total_customers"),
-        F.count_distinct(F.when(F.col("customer_segment") == "high_value", F.col("customer_id")))
-        .alias("high_value_customers"),
-        F.sum(F.coalesce(F.col("_orders"), F.lit(0))).alias("total_orders"),
-        F.coalesce(F.sum("_revenue"), money_zero()).alias("recognised_revenue"),
-        F.sum(F.col("total_lifetime_value") * weight).alias("_ltv_w"),
-        F.sum(F.when(F.col("total_lifetime_value").isNotNull(), weight)).alias("_w"),
+    # (country, customer) grain first: the two distinct customer counts become
+    # a count and a flag sum (no Expand).
+    cg = order_grain(j, ["country"], key="customer_id",
+                     flags={"_hv": F.col("customer_segment") == "high_value"},
+                     aggs=[F.sum(F.coalesce(F.col("_orders"), F.lit(0))).alias("_o"),
+                           F.sum("_revenue").alias("_r"),
+                           F.sum(F.col("total_lifetime_value") * weight).alias("_lw"),
+                           F.sum(F.when(F.col("total_lifetime_value").isNotNull(), weight)).alias("_ww")])
+    g = cg.groupBy("country").agg(
+        n_distinct("customer_id").alias("total_customers"),
+        n_distinct_where("_hv", "customer_id").alias("high_value_customers"),
+        F.sum("_o").alias("total_orders"),
+        F.coalesce(F.sum("_r"), money_zero()).alias("recognised_revenue"),
+        F.sum("_lw").alias("_ltv_w"), F.sum("_ww").alias("_w"),
     )
     return g.select(
         "country", "total_customers", "high_value_customers", "total_orders",
@@ -168,13 +175,15 @@ def fct_revenue(fct_orders: DataFrame) -> DataFrame:
 
 
 def _all_orders_summary(fct_orders: DataFrame) -> DataFrame:
-    """The one-row aggregate every product receives under ``ON 1 = 1``."""
-    return fct_orders.agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.sum(_completed_amount()).alias("recognised_revenue"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("return_count"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("most_recent_order_date"))
+    """The one-row aggregate every product receives under ``ON 1 = 1``
+    (distinct counts from the order grain: one shuffle, no Expand)."""
+    g = order_grain(fct_orders, flags={"_r": is_returned()},
+                    aggs=[F.sum(_completed_amount()).alias("_rev"),
+                          F.min("order_date").alias("_first"), F.max("order_date").alias("_last")])
+    return g.agg(n_distinct().alias("total_orders"), F.sum("_rev").alias("recognised_revenue"),
+                 n_distinct_where("_r").alias("return_count"),
+                 F.min("_first").alias("first_order_date"),
+                 F.max("_last").alias("most_recent_order_date"))
 
 
 def fct_revenue_by_product(fct_orders: DataFrame, dim_products: DataFrame) -> DataFrame:
@@ -198,13 +207,14 @@ def revenue_by_product_lines(order_items: DataFrame, fct_orders: DataFrame,
     each product gets the line totals of its own completed orders."""
     o = fct_orders.select("order_id", "status", "order_date")
     lines = order_items.select("order_id", "product_id", "line_total").join(o, "order_id")
-    per_product = lines.groupBy("product_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.sum(F.when(is_completed(), F.col("line_total")).otherwise(money_zero()))
-        .alias("recognised_revenue"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("return_count"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("most_recent_order_date"))
+    g = order_grain(lines, ["product_id"], flags={"_r": is_returned()},
+                    aggs=[F.sum(F.when(is_completed(), F.col("line_total")).otherwise(money_zero()))
+                          .alias("_rev"),
+                          F.min("order_date").alias("_first"), F.max("order_date").alias("_last")])
+    per_product = g.groupBy("product_id").agg(
+        n_distinct().alias("total_orders"), F.sum("_rev").alias("recognised_revenue"),
+        n_distinct_where("_r").alias("return_count"),
+        F.min("_first").alias("first_order_date"), F.max("_last").alias("most_recent_order_date"))
     return (dim_products.select("product_id", "product_name", "category", "unit_price", "is_active")
             .join(per_product, "product_id", "left")
             .select("product_id", "product_name", "category", "unit_price", "is_active",

@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import as_of_date, money_zero
-from martlet.operators.ordered import approx_quantiles, bounded_cuts, exact_quantiles, lag_by_group
+from martlet.operators.grain import n_distinct_where, order_grain
+from martlet.operators.ordered import (approx_quantiles, bounded_cuts, exact_quantiles_multi,
+                                      lag_by_group)
 
 def is_completed():
     return F.col("status") == "completed"
@@ -89,8 +91,8 @@ def rfm_quintiles(rfm: DataFrame, method: str = "exact", relative_error: float =
     """
     cols = ["recency_days", "frequency", "monetary_value"]
     if method == "exact":
-        parts = [exact_quantiles(rfm, c, QUINTILES) for c in cols]
-    elif method == "approx":
+        return exact_quantiles_multi(rfm, cols, QUINTILES)
+    if method == "approx":
         parts = [approx_quantiles(rfm, c, QUINTILES, relative_error) for c in cols]
     else:
         raise ValueError(f"unknown quantile method {method!r}")
@@ -116,21 +118,43 @@ def rfm_customer_features(rfm: DataFrame, cuts: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------------- churn
 def churn_order_features(fct_orders: DataFrame) -> DataFrame:
-    """Per customer order behaviour (sample stddev; one order -> NULL)."""
-    return fct_orders.groupBy("customer_id").agg(
-        F.count("order_id").alias("total_orders"),
-        F.count_distinct(F.when(is_completed(), F.col("order_id"))).alias("completed_orders"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("returned_orders"),
-        F.sum("amount_paid").alias("total_spend"),
-        _avg4(F.sum("amount_paid"), F.count("amount_paid")).alias("avg_order_value"),
-        F.round(F.stddev_samp(F.col("amount_paid").cast("double")), 4).alias("stddev_order_value"),
-        F.round(F.sum("number_of_items").cast("decimal(22,0)")
-                / F.nullif(F.count("number_of_items"), F.lit(0)).cast("decimal(20,0)"), 4)
-        .alias("avg_items_per_order"),
-        F.max("order_date").alias("last_order_date"),
-        F.min("order_date").alias("first_order_date"),
-        F.count_distinct("payment_method").alias("distinct_payment_methods"),
-    )
+    """Per customer order behaviour (sample stddev; one order -> NULL).
+
+    The completed/returned distinct order counts come from a (customer,
+    order) grain — one shuffle instead of an Expand with a copy of the fact
+    per distinct aggregate.  The stddev is rebuilt from exact decimal moments
+    (n, sum, sum of squares), so it is the same whatever the grouping."""
+    amount = F.col("amount_paid").cast("decimal(18,2)")
+    g = order_grain(fct_orders, ["customer_id"],
+                    flags={"_c": is_completed(), "_r": is_returned()},
+                    aggs=[F.count("order_id").alias("_rows"),
+                          F.sum("amount_paid").alias("_spend"),
+                          F.sum(amount).alias("_s"), F.count(amount).alias("_n"),
+                          F.sum(amount * amount).alias("_ss"),
+                          F.sum("number_of_items").alias("_items"),
+                          F.count("number_of_items").alias("_ni"),
+                          F.max("order_date").alias("_last"), F.min("order_date").alias("_first")])
+    per = g.groupBy("customer_id").agg(
+        F.sum("_rows").alias("total_orders"),
+        n_distinct_where("_c").alias("completed_orders"),
+        n_distinct_where("_r").alias("returned_orders"),
+        F.sum("_spend").alias("total_spend"),
+        F.sum("_s").alias("_s"), F.sum("_n").alias("_n"), F.sum("_ss").alias("_ss"),
+        F.sum("_items").alias("_items"), F.sum("_ni").alias("_ni"),
+        F.max("_last").alias("last_order_date"), F.min("_first").alias("first_order_date"))
+    n = F.col("_n").cast("decimal(20,0)")
+    m2 = F.col("_ss") - F.col("_s") * F.col("_s") / n
+    stddev = F.when(F.col("_n") > 1, F.sqrt((m2 / (n - 1)).cast("double")))
+    # distinct payment methods: a single distinct aggregate (no Expand)
+    methods = fct_orders.groupBy("customer_id").agg(
+        F.count_distinct("payment_method").alias("distinct_payment_methods"))
+    return per.join(methods, "customer_id").select(
+        "customer_id", "total_orders", "completed_orders", "returned_orders", "total_spend",
+        _avg4(F.col("_s"), F.col("_n")).alias("avg_order_value"),
+        F.round(stddev, 4).alias("stddev_order_value"),
+        F.round(F.col("_items").cast("decimal(22,0)")
+                / F.nullif(F.col("_ni"), F.lit(0)).cast("decimal(20,0)"), 4).alias("avg_items_per_order"),
+        "last_order_date", "first_order_date", "distinct_payment_methods")
 
 
 def order_gaps(fct_orders: DataFrame) -> DataFrame:

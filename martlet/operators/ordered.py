@@ -14,6 +14,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _partitions(df: DataFrame) -> int:
@@ -21,36 +22,61 @@ def _partitions(df: DataFrame) -> int:
 
 
 def exact_quantiles(df: DataFrame, column: str, probs, prefix: str | None = None) -> DataFrame:
-    """Exact discrete percentiles (``percentile_disc``) as ONE row.
+    """Exact discrete percentiles (``percentile_disc``) of one column as ONE row."""
+    return exact_quantiles_multi(df, [column], probs, [prefix or column])
+
+
+def exact_quantiles_multi(df: DataFrame, columns: list[str], probs,
+                          prefixes: list[str] | None = None) -> DataFrame:
+    """Exact ``percentile_disc`` of several columns in ONE pass, as one row
+    ``<prefix>_q1 .. _qK`` per column.
 
     For each ``p`` the result is the smallest value whose cumulative count
-    reaches ``ceil(p * N)`` (NULLs ignored).  The thresholds use exact
-    rational arithmetic, so ``0.6 * 5`` is 3, not 3.0000000000000004.
-    Work: one partial-aggregated histogram (distinct values with counts), a
-    range-partitioned running count, and a global min per probability.
+    reaches ``ceil(p * N)`` (NULLs ignored), with exact rational thresholds
+    (``0.6 * 5`` is 3, not 3.0000000000000004).  Work: the columns are
+    unpivoted to (measure, value); one partially aggregated histogram of
+    distinct values; a range-partitioned running count (a hot value is one
+    histogram row, so skew cannot reach a task); per-partition offsets from a
+    table of one row per (measure, partition); a global min per probability.
     """
-    prefix = prefix or column
+    prefixes = prefixes or list(columns)
     n_parts = _partitions(df)
-    hist = (df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull())
-            .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-            .repartitionByRange(n_parts, "_v")
+    types = [df.schema[c].dataType for c in columns]
+    # one comparable type for the unpivoted values: exact decimal when every
+    # column is integral/decimal, else double
+    if all(isinstance(t, (T.IntegralType, T.DecimalType)) for t in types):
+        scale = max([t.scale for t in types if isinstance(t, T.DecimalType)] or [0])
+        value_type = f"decimal(38,{scale})"
+    else:
+        value_type = "double"
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"), F.col(c).cast(value_type).alias("_v"))
+        for i, c in enumerate(columns)])).alias("_x")).select("_x._m", "_x._v")
+    hist = (long.filter(F.col("_v").isNotNull())
+            .groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
+            .repartitionByRange(n_parts, "_m", "_v")
             .withColumn("_pid", F.spark_partition_id()))
     local = hist.withColumn("_cum", F.sum("_n").over(
-        Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
-    totals = hist.groupBy("_pid").agg(F.sum("_n").alias("_pn"))
-    # one row per partition: a tiny global window
-    offsets = totals.select("_pid", F.coalesce(F.sum("_pn").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_off"), F.sum("_pn").over(Window.partitionBy()).alias("_total"))
-    ranked = local.join(F.broadcast(offsets), "_pid").withColumn("_rank", F.col("_off") + F.col("_cum"))
+        Window.partitionBy("_pid", "_m").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
+    totals = hist.groupBy("_m", "_pid").agg(F.sum("_n").alias("_pn"))
+    # one row per (measure, partition): tiny windows
+    offsets = totals.select(
+        "_m", "_pid",
+        F.coalesce(F.sum("_pn").over(Window.partitionBy("_m").orderBy("_pid")
+                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_off"),
+        F.sum("_pn").over(Window.partitionBy("_m")).alias("_total"))
+    ranked = (local.join(F.broadcast(offsets), ["_m", "_pid"])
+              .withColumn("_rank", F.col("_off") + F.col("_cum")))
     aggs = []
-    for i, p in enumerate(probs, 1):
-        frac = Fraction(p).limit_denominator(10**6)
-        # ceil(num * N / den) in integers
-        target = F.floor((F.col("_total") * frac.numerator + (frac.denominator - 1))
-                         / F.lit(frac.denominator))
-        target = F.greatest(target, F.lit(1))
-        aggs.append(F.min(F.when(F.col("_rank") >= target, F.col("_v"))).alias(f"{prefix}_q{i}"))
+    for i, (prefix, dtype) in enumerate(zip(prefixes, types)):
+        for j, p in enumerate(probs, 1):
+            frac = Fraction(p).limit_denominator(10**6)
+            # ceil(num * N / den) in integers, at least 1
+            target = F.greatest(F.floor((F.col("_total") * frac.numerator + (frac.denominator - 1))
+                                        / F.lit(frac.denominator)), F.lit(1))
+            hit = (F.col("_m") == i) & (F.col("_rank") >= target)
+            aggs.append(F.min(F.when(hit, F.col("_v"))).cast(dtype).alias(f"{prefix}_q{j}"))
     return ranked.agg(*aggs)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.functions import as_of_date, money_zero
+from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
 
 def is_completed():
     return F.col("status") == "completed"
@@ -40,14 +41,25 @@ def _customer_revenue(fct: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- executive tab
+def _order_kpis(fct: DataFrame, aov: str) -> DataFrame:
+    """One row: completed revenue, distinct / completed / returned orders and
+    an average order value (``aov='completed'`` or ``'all'``), exact, from the
+    order grain (no Expand)."""
+    amount = F.col("amount_paid")
+    avg_src = F.when(is_completed(), amount) if aov == "completed" else amount
+    g = order_grain(fct, flags={"_c": is_completed(), "_r": is_returned()},
+                    aggs=[F.sum(F.when(is_completed(), amount).otherwise(money_zero())).alias("_rev"),
+                          F.sum(avg_src).alias("_s"), F.count(avg_src).alias("_n")])
+    return g.agg(F.sum("_rev").alias("total_revenue"), n_distinct().alias("total_orders"),
+                 n_distinct_where("_c").alias("completed_orders"),
+                 n_distinct_where("_r").alias("_ret"),
+                 _div(F.sum("_s"), F.sum("_n"), 4).alias("avg_order_value"))
+
+
 def kpi_summary(fct: DataFrame) -> DataFrame:
-    return fct.agg(
-        F.sum(F.when(is_completed(), F.col("amount_paid")).otherwise(money_zero())).alias("total_revenue"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct(F.when(is_completed(), F.col("order_id"))).alias("completed_orders"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("_ret"),
-    ).select("total_revenue", "total_orders", "completed_orders",
-             _pct_returned(F.col("_ret"), F.col("total_orders")).alias("return_rate"))
+    return _order_kpis(fct, "completed").select(
+        "total_revenue", "total_orders", "completed_orders",
+        _pct_returned(F.col("_ret"), F.col("total_orders")).alias("return_rate"))
 
 
 def revenue_by(dim: DataFrame, fct: DataFrame, column: str) -> DataFrame:
@@ -111,10 +123,7 @@ def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame) -> DataFrame
         name = "total_recognised_revenue" if metric == "revenue" else "avg_order_value"
         time_col = "order_date"
     elif metric == "return_rate":
-        base = fct
-        value = _pct_returned(F.count_distinct(F.when(is_returned(), F.col("order_id"))),
-                              F.count_distinct("order_id"))
-        name, time_col = "return_rate", "order_date"
+        return _return_rate_breakdown(by, dim, fct)
     elif metric == "customers":
         base = dim
         value = F.count_distinct("customer_id")
@@ -140,20 +149,38 @@ def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame) -> DataFrame
     raise ValueError(by)
 
 
+def _return_rate_breakdown(by: str, dim: DataFrame, fct: DataFrame) -> DataFrame:
+    """Returned share of distinct orders, via the order grain (no Expand)."""
+    if by == "total":
+        base, keys = fct, []
+    elif by == "month":
+        base, keys = fct.withColumn("period", _month("order_date")), ["period"]
+    elif by == "segment":
+        base = fct.join(dim.select("customer_id", F.col("customer_segment").alias("period")),
+                        "customer_id")
+        keys = ["period"]
+    elif by == "payment_method":
+        base, keys = fct.withColumn("period", F.col("payment_method")), ["period"]
+    else:
+        raise ValueError(by)
+    g = order_grain(base, keys, flags={"_r": is_returned()})
+    value = _pct_returned(n_distinct_where("_r"), n_distinct()).alias("value")
+    if not keys:
+        return g.agg(value).select(F.lit("return_rate").alias("metric_name"), "value")
+    return g.groupBy(*keys).agg(value)
+
+
 # ------------------------------------------------------------- comparison tab
+def _customer_kpis(dim: DataFrame) -> DataFrame:
+    return dim.agg(F.count_distinct("customer_id").alias("customer_count"),
+                   _div(F.sum("total_lifetime_value"), F.count("total_lifetime_value"), 4)
+                   .alias("avg_lifetime_value"))
+
+
 def all_metrics(dim: DataFrame, fct: DataFrame) -> DataFrame:
     """One row: revenue (completed), orders, return rate %, customers, avg LTV,
     AOV (completed) — two one-row aggregates side by side."""
-    orders = fct.agg(
-        F.sum(F.when(is_completed(), F.col("amount_paid")).otherwise(money_zero())).alias("total_revenue"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("_ret"),
-        _div(F.sum(F.when(is_completed(), F.col("amount_paid"))),
-             F.count(F.when(is_completed(), F.col("amount_paid"))), 4).alias("avg_order_value"))
-    customers = dim.agg(F.count_distinct("customer_id").alias("customer_count"),
-                        _div(F.sum("total_lifetime_value"), F.count("total_lifetime_value"), 4)
-                        .alias("avg_lifetime_value"))
-    return orders.crossJoin(customers).select(
+    return _order_kpis(fct, "completed").crossJoin(_customer_kpis(dim)).select(
         "total_revenue", "total_orders",
         _pct_returned(F.col("_ret"), F.col("total_orders")).alias("return_rate_pct"),
         "customer_count", "avg_lifetime_value", "avg_order_value")
@@ -161,15 +188,7 @@ def all_metrics(dim: DataFrame, fct: DataFrame) -> DataFrame:
 
 def side_by_side_kpis(dim: DataFrame, fct: DataFrame) -> DataFrame:
     """The model-side figures of the comparison tab (AOV here unfiltered)."""
-    orders = fct.agg(
-        F.sum(F.when(is_completed(), F.col("amount_paid")).otherwise(money_zero())).alias("total_revenue"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("_ret"),
-        _div(F.sum("amount_paid"), F.count("amount_paid"), 4).alias("avg_order_value"))
-    customers = dim.agg(F.count_distinct("customer_id").alias("customer_count"),
-                        _div(F.sum("total_lifetime_value"), F.count("total_lifetime_value"), 4)
-                        .alias("avg_lifetime_value"))
-    return orders.crossJoin(customers).select(
+    return _order_kpis(fct, "all").crossJoin(_customer_kpis(dim)).select(
         "total_revenue", "total_orders",
         _pct_returned(F.col("_ret"), F.col("total_orders")).alias("return_rate_pct"),
         "avg_order_value", "customer_count", "avg_lifetime_value")
@@ -265,9 +284,9 @@ def return_rate_by_category_segment(order_items: DataFrame, dim_products: DataFr
     o = fct.select("order_id", "customer_id", "status")
     j = (order_cats.join(o, "order_id")
          .join(dim.select("customer_id", "customer_segment"), "customer_id", "left"))
-    g = j.groupBy("customer_segment", "category").agg(
-        F.count_distinct("order_id").alias("orders"),
-        F.count_distinct(F.when(is_returned(), F.col("order_id"))).alias("returned_orders"))
+    g = (order_grain(j, ["customer_segment", "category"], flags={"_r": is_returned()})
+         .groupBy("customer_segment", "category")
+         .agg(n_distinct().alias("orders"), n_distinct_where("_r").alias("returned_orders")))
     return g.withColumn("return_rate_pct", _pct_returned(F.col("returned_orders"), F.col("orders")))
 
 
