@@ -98,6 +98,56 @@ def _agg_column(m: Metric, extra_filter: str | None = None) -> Column:
     raise ValueError(f"unknown aggregation {m.agg!r}")
 
 
+def _cond(m: Metric, extra: str | None) -> str:
+    return " AND ".join(f"({f})" for f in (m.filter, extra) if f)
+
+
+def _aggregate(df: DataFrame, group_cols: list[str], parts) -> DataFrame:
+    """Conditional aggregates of one model.  When two or more are
+    ``count_distinct`` of the same expression under different filters (a
+    ratio such as return rate), the rows are first reduced to one per
+    (group, distinct value) with the filters as 0/1 flags — exact, and one
+    shuffle instead of an Expand that copies every row per distinct
+    aggregate.  Sums, counts and averages are re-aggregated from partials."""
+    distinct = [(a, m, e) for a, m, e in parts if m.agg == "count_distinct"]
+    exprs = {m.expr for _, m, _ in distinct}
+    if len(distinct) < 2 or len(exprs) != 1:
+        aggs = [_agg_column(simple, extra).alias(alias) for alias, simple, extra in parts]
+        return df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs)
+    key = F.expr(next(iter(exprs))).alias("_dk")
+    level1, level2 = [], []
+    for i, (alias, m, extra) in enumerate(parts):
+        cond = _cond(m, extra)
+        if m.agg == "count_distinct":
+            if cond:
+                level1.append(F.max(F.coalesce(F.expr(cond), F.lit(False)).cast("int")).alias(f"_f{i}"))
+                level2.append(F.coalesce(F.sum(F.when(F.col("_dk").isNotNull(), F.col(f"_f{i}"))),
+                                         F.lit(0)).cast("bigint").alias(alias))
+            else:
+                level2.append(F.count("_dk").alias(alias))
+            continue
+        value = F.expr(m.expr)
+        if cond:
+            value = F.when(F.expr(cond), value)
+        if m.agg == "sum":
+            level1.append(F.sum(value).alias(f"_s{i}"))
+            level2.append(F.sum(f"_s{i}").alias(alias))
+        elif m.agg == "count":
+            level1.append(F.count(value).alias(f"_c{i}"))
+            level2.append(F.sum(f"_c{i}").alias(alias))
+        elif m.agg == "average":
+            level1 += [F.sum(value).alias(f"_s{i}"), F.count(value).alias(f"_c{i}")]
+            level2.append(F.round(F.sum(f"_s{i}").cast("decimal(22,2)")
+                                  / F.nullif(F.sum(f"_c{i}"), F.lit(0)).cast("decimal(20,0)"),
+                                  AVG_SCALE).alias(alias))
+        else:
+            raise ValueError(m.agg)
+    if not level1:
+        level1 = [F.count(F.lit(1)).alias("_rows")]
+    grain = df.groupBy(*group_cols, key).agg(*level1)
+    return grain.groupBy(*group_cols).agg(*level2) if group_cols else grain.agg(*level2)
+
+
 def _model_frame(models: dict[str, DataFrame], model: str, dims: list[str]) -> DataFrame:
     """The model, joined to another model's dimensions through its entity key
     when a requested dimension lives there."""
@@ -150,8 +200,7 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
             df = df.filter(F.expr(where))
         if grain:
             df = df.withColumn("metric_time", F.date_trunc(grain, F.col(AGG_TIME[model])).cast("date"))
-        aggs = [_agg_column(simple, extra).alias(alias) for alias, simple, extra in parts]
-        frames.append(df.groupBy(*group_cols).agg(*aggs) if group_cols else df.agg(*aggs))
+        frames.append(_aggregate(df, group_cols, parts))
     if len(frames) == 1:
         out = frames[0]
     elif group_cols:
