@@ -3,9 +3,12 @@
 Both helpers range-partition on the ordering key (Spark samples the key, so a
 group holding a third of all rows is cut into many partitions by its own
 order columns), work inside each partition, and stitch partition borders with
-a table that has one row per partition.  Range partitioning uses an explicit
-partition count, so AQE keeps the partition numbering the stitching relies
-on; both halves of the stitch read the same exchange within one query.
+a table that has one row per partition.  The range-tagged rows are
+checkpointed once (reliable checkpoint in the shared ``spark.checkpoint.dir``)
+before both halves of the stitch read them: Spark does not reuse the range
+exchange between the two branches, and a second range shuffle could sample
+different bounds.  The checkpoint also cuts the lineage, so a lost executor
+re-reads files instead of re-sampling.
 """
 
 from __future__ import annotations
@@ -16,11 +19,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martlet.session import shared_dir
+
 
 def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def _pin(df: DataFrame) -> DataFrame:
+    """Materialise the partition-tagged rows once (eager reliable checkpoint)."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def exact_quantiles(df: DataFrame, column: str, probs, prefix: str | None = None) -> DataFrame:
     """Exact discrete percentiles (``percentile_disc``) of one column as ONE row."""
     return exact_quantiles_multi(df, [column], probs, [prefix or column])
@@ -56,6 +67,7 @@ def exact_quantiles_multi(df: DataFrame, columns: list[str], probs,
             .groupBy("_m", "_v").agg(F.count(F.lit(1)).alias("_n"))
             .repartitionByRange(n_parts, "_m", "_v")
             .withColumn("_pid", F.spark_partition_id()))
+    hist = _pin(hist)
     local = hist.withColumn("_cum", F.sum("_n").over(
         Window.partitionBy("_pid", "_m").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)))
     totals = hist.groupBy("_m", "_pid").agg(F.sum("_n").alias("_pn"))
@@ -103,8 +115,8 @@ def lag_by_group(df: DataFrame, group: str, order: list[str], value: str,
     """
     n_parts = _partitions(df)
     keys = [group] + list(order)
-    ranged = (df.repartitionByRange(n_parts, *keys)
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = _pin(df.repartitionByRange(n_parts, *keys)
+                  .withColumn("_pid", F.spark_partition_id()))
     w = Window.partitionBy("_pid", group).orderBy(*order)
     local = ranged.withColumn(out, F.lag(value).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     # Border table: the last row of every non-empty partition.
