@@ -10,7 +10,7 @@ parent or splits a skewed child key).  Nothing is collected.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -119,6 +119,13 @@ def test_relationships(child: DataFrame, column: str, parent: DataFrame, field:
             .join(keys, F.col(column) == F.col("_parent_key"), "left_anti"))
 
 
+def test_between(df: DataFrame, column: str, low, high) -> DataFrame:
+    """Failing rows: non-null ``column`` outside ``[low, high]`` (the
+    dashboard's ``expect_between`` check)."""
+    c = F.col(column)
+    return df.filter(c.isNotNull() & ~c.between(low, high))
+
+
 def test_positive_revenue(fct_orders: DataFrame) -> DataFrame:
     """Custom test (severity warn): completed orders with nothing paid."""
     return (fct_orders.filter((F.col("status") == "completed") & (F.col("amount_paid") <= 0))

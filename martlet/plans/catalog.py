@@ -504,6 +504,19 @@ def _tr(spark, sf_dir):
         .select("payment_id", "order_id")
 
 
+@register("test_between")
+def _tb(spark, sf_dir):
+    """Review ratings outside 1..5 and line quantities outside 1..50."""
+    raw = adapter.load_raw(spark, sf_dir)
+    bad_ratings = quality.test_between(raw.reviews, "rating", 1, 5).select(
+        F.lit("raw_reviews").alias("table_name"), F.col("review_id").alias("row_id"),
+        F.col("rating").cast("double").alias("value"))
+    bad_qty = quality.test_between(raw.order_items, "quantity", 1, 50).select(
+        F.lit("raw_order_items").alias("table_name"), F.col("order_item_id").alias("row_id"),
+        F.col("quantity").cast("double").alias("value"))
+    return bad_ratings.unionByName(bad_qty)
+
+
 @register("test_positive_revenue")
 def _tpr(spark, sf_dir):
     return quality.test_positive_revenue(P(spark, sf_dir).fct_orders)

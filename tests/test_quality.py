@@ -135,3 +135,8 @@ def test_contracts(spark):
     assert diff == {"status": ("type_changed", True), "payment_method": ("removed", True)}
     docs = {r.column_name: r.comment for r in contracts.column_comments(spark, contract).collect()}
     assert docs["order_id"].startswith("order key")
+
+
+def test_between(spark):
+    df = spark.createDataFrame([(1, 0), (2, 3), (3, 6), (4, None)], "id int, rating int")
+    assert sorted(r.id for r in quality.test_between(df, "rating", 1, 5).collect()) == [1, 3]
