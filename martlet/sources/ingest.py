@@ -87,9 +87,10 @@ def create_typed_table(spark: SparkSession, data, schema: T.StructType,
 
 def append_batch(batch: DataFrame, path: str, fmt: str = "parquet",
                  stamp_column: str = "_loaded_at") -> None:
-    """Append rows stamped with the load time (one ``current_timestamp`` per
-    query, so the whole batch shares one stamp)."""
-    batch.withColumn(stamp_column, F.current_timestamp()).write.mode("append").format(fmt).save(path)
+    """Append rows stamped with the load time: one ``localtimestamp`` per
+    query (the whole batch shares one stamp), TIMESTAMP_NTZ like the raw
+    tables' ``_loaded_at`` so appended files keep one column type."""
+    batch.withColumn(stamp_column, F.localtimestamp()).write.mode("append").format(fmt).save(path)
 
 
 def next_surrogate_keys(existing: DataFrame, new_rows: DataFrame, key: str,

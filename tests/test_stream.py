@@ -60,3 +60,18 @@ def test_events_stream_expectations(spark, smoke_dir):
     expected = events.filter(F.coalesce(F.col("event_type") != "error", F.lit(False))).count()
     assert out.count() == expected
     assert out.filter("event_type = 'error'").count() == 0
+
+
+def test_build_medallion_and_marts(spark, smoke_dir):
+    from martlet.plans import build
+    from martlet.plans.platform import Platform
+    from martlet.sources.adapter import load_raw
+
+    base = tempfile.mkdtemp(prefix="martlet-build-")
+    out = build.build_medallion(spark, load_raw(spark, smoke_dir), base=f"{base}/m",
+                                high=2_000_000, mid=1_000_000)
+    tables = [k for k in out if k != "expectations"]
+    assert len(tables) == 13
+    assert out["expectations"]["orders"]["rows"] == raw_orders(spark, smoke_dir).count()
+    marts_out = build.build_marts(spark, Platform.from_driver(spark, smoke_dir), base=f"{base}/k")
+    assert spark.read.parquet(marts_out["fct_orders"]).count() == raw_orders(spark, smoke_dir).count()
