@@ -6,7 +6,8 @@ driver data's fixed as-of day and segment thresholds.  Results leave through
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +50,27 @@ class Silver:
     """Silver and gold tables of the batch medallion run over the raw tables."""
 
     def __init__(self, spark, sf_dir):
-        raw = adapter.load_raw(spark, sf_dir)
-        self.customers = staging.silver_customers(raw.customers)
-        self.orders = staging.silver_orders(raw.orders)
-        self.order_items = staging.silver_order_items(raw.order_items)
-        self.products = staging.silver_products(raw.products)
-        self.payments = staging.silver_payments(raw.payments)
+        self.raw = adapter.load_raw(spark, sf_dir)
+
+    @cached_property
+    def customers(self):
+        return staging.silver_customers(self.raw.customers)
+
+    @cached_property
+    def orders(self):
+        return staging.silver_orders(self.raw.orders)
+
+    @cached_property
+    def order_items(self):
+        return staging.silver_order_items(self.raw.order_items)
+
+    @cached_property
+    def products(self):
+        return staging.silver_products(self.raw.products)
+
+    @cached_property
+    def payments(self):
+        return staging.silver_payments(self.raw.payments)
 
     @property
     def gold_fct_orders(self):
@@ -298,10 +314,28 @@ def _pmap(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- metrics
+class _Models(Mapping):
+    """The metric layer's model map, building a mart only when it is used."""
+
+    names = ("fct_orders", "dim_customers", "dim_products")
+
+    def __init__(self, platform: Platform):
+        self._p = platform
+
+    def __getitem__(self, name):
+        if name not in self.names:
+            raise KeyError(name)
+        return getattr(self._p, name)
+
+    def __iter__(self):
+        return iter(self.names)
+
+    def __len__(self):
+        return len(self.names)
+
+
 def _models(spark, sf_dir):
-    p = P(spark, sf_dir)
-    return {"fct_orders": p.fct_orders, "dim_customers": p.dim_customers,
-            "dim_products": p.dim_products}
+    return _Models(P(spark, sf_dir))
 
 
 for _metric in M.METRICS:

@@ -14,13 +14,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import marts, staging
-from martlet.sources.adapter import (DRIVER_AS_OF, DRIVER_HIGH, DRIVER_MID, RawTables,
-                                     load_raw)
+from martlet.sources.adapter import DRIVER_AS_OF, DRIVER_HIGH, DRIVER_MID, load_raw
 from martlet.sources.ingest import materialize_table
 
 
 class Platform:
-    def __init__(self, raw: RawTables, as_of=None, high=marts.DEFAULT_HIGH,
+    def __init__(self, raw, as_of=None, high=marts.DEFAULT_HIGH,
                  mid=marts.DEFAULT_MID):
         self.raw = raw
         self.as_of = as_of

@@ -59,6 +59,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _reader(spark: SparkSession, sf_dir: str):
+    return lambda name: read_table(spark, sf_dir, name)
+
+
 def _money(c: Column) -> Column:
     return c.cast("decimal(10,2)")
 
@@ -76,9 +80,10 @@ def _payment_method(o: DataFrame) -> Column:
             .otherwise(F.lit("bank_transfer")))
 
 
-def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def raw_customers(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _reader(spark, sf_dir)
+    c = read("customer").select("c_custkey", "c_name", "c_nationkey")
+    n = read("nation").select("n_nationkey", "n_name")
     created = F.date_add(F.lit("1994-01-01").cast("date"), (F.col("c_custkey") % 365).cast("int"))
     return (c.join(n, c.c_nationkey == n.n_nationkey, "inner")
             .select(F.col("c_custkey").alias("customer_id"),
@@ -90,8 +95,9 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     created.cast("timestamp_ntz").alias("_loaded_at")))
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read_table(spark, sf_dir, "part")
+def raw_products(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _reader(spark, sf_dir)
+    p = read("part")
     stamp = F.date_add(F.lit("1994-01-01").cast("date"), (p.p_partkey % 365).cast("int"))
     return p.select(p.p_partkey.alias("product_id"), p.p_name.alias("product_name"),
                     p.p_type.alias("category"), _money(p.p_retailprice).alias("unit_price"),
@@ -99,8 +105,9 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
                     stamp.cast("timestamp_ntz").alias("_loaded_at"))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+def raw_orders(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _reader(spark, sf_dir)
+    o = read("orders")
     day = o.o_orderdate.cast("date")
     return (o.filter(o.o_custkey % 13 != 0)
             .select(o.o_orderkey.alias("order_id"), o.o_custkey.alias("customer_id"),
@@ -110,8 +117,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                     day.cast("timestamp_ntz").alias("_loaded_at")))
 
 
-def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+def raw_order_items(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _reader(spark, sf_dir)
+    li = read("lineitem")
     return li.select((li.l_orderkey * 10 + li.l_linenumber).alias("order_item_id"),
                      li.l_orderkey.alias("order_id"), li.l_partkey.alias("product_id"),
                      li.l_quantity.cast("int").alias("quantity"),
@@ -119,8 +127,9 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                      li.l_shipdate.cast("date").cast("timestamp_ntz").alias("_loaded_at"))
 
 
-def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 97 != 0)
+def raw_payments(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _reader(spark, sf_dir)
+    o = read("orders").filter(F.col("o_orderkey") % 97 != 0)
     day = o.o_orderdate.cast("date")
     status = F.when(_order_status(o) == "placed", F.lit("pending")).otherwise(F.lit("Success"))
     base = [o.o_orderkey.alias("order_id"), _payment_method(o).alias("payment_method"),
@@ -134,9 +143,10 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(retry)
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+def raw_reviews(spark: SparkSession, sf_dir: str, read=None) -> DataFrame:
+    read = read or _reader(spark, sf_dir)
+    li = read("lineitem").filter(F.col("l_linenumber") == 1)
+    o = read("orders").select("o_orderkey", "o_custkey")
     return (li.join(o, li.l_orderkey == o.o_orderkey, "left")
             .select(li.l_orderkey.alias("review_id"), li.l_orderkey.alias("order_id"),
                     li.l_partkey.alias("product_id"), o.o_custkey.alias("customer_id"),
@@ -145,11 +155,38 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
                     li.l_shipdate.cast("date").cast("timestamp_ntz").alias("_loaded_at")))
 
 
-def load_raw(spark: SparkSession, sf_dir: str) -> RawTables:
+class DriverRawTables:
+    """The six raw tables over the driver parquet, each built on first use
+    (a query that needs only orders lists and reads only ``orders``)."""
+
+    _BUILDERS = {"customers": raw_customers, "products": raw_products, "orders": raw_orders,
+                 "order_items": raw_order_items, "payments": raw_payments,
+                 "reviews": raw_reviews}
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._built, self._scans = spark, sf_dir, {}, {}
+
+    def _read(self, name: str) -> DataFrame:
+        """One DataFrame (one file listing) per driver table for this object."""
+        if name not in self._scans:
+            self._scans[name] = read_table(self._spark, self._dir, name)
+        return self._scans[name]
+
+    def __getattr__(self, name):
+        builders = type(self)._BUILDERS
+        if name not in builders:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = builders[name](self._spark, self._dir, read=self._read)
+        return self._built[name]
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return {f"raw_{name}": getattr(self, name) for name in self._BUILDERS}
+
+
+def load_raw(spark: SparkSession, sf_dir: str) -> DriverRawTables:
     """All six raw tables as lazy DataFrames over the driver parquet."""
-    return RawTables(raw_customers(spark, sf_dir), raw_products(spark, sf_dir),
-                     raw_orders(spark, sf_dir), raw_order_items(spark, sf_dir),
-                     raw_payments(spark, sf_dir), raw_reviews(spark, sf_dir))
+    return DriverRawTables(spark, sf_dir)
 
 
 # The same mapping as DuckDB SQL, for the oracle (CTE text, no trailing comma).
