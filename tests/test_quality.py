@@ -140,3 +140,16 @@ def test_contracts(spark):
 def test_between(spark):
     df = spark.createDataFrame([(1, 0), (2, 3), (3, 6), (4, None)], "id int, rating int")
     assert sorted(r.id for r in quality.test_between(df, "rating", 1, 5).collect()) == [1, 3]
+
+
+def test_column_docs_persist_through_a_written_table(spark, tmp_path):
+    from martlet.sources.ingest import materialize_table
+
+    contract = fct_orders_contract(T.LongType())
+    df = spark.createDataFrame(
+        [(1, 2, dt.date(2026, 1, 1), "placed", "paypal", 1, D("1.00"), D("1.00"))],
+        "order_id bigint, customer_id bigint, order_date date, status string, payment_method string, "
+        "number_of_items bigint, items_total decimal(22,2), amount_paid decimal(31,2)")
+    back = materialize_table(spark, contracts.contract_cast(df, contract), "fct", str(tmp_path / "fct"))
+    docs = {r.column_name: r.comment for r in contracts.column_comments(spark, back.schema).collect()}
+    assert docs["amount_paid"].startswith("successful payments")
