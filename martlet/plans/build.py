@@ -4,9 +4,10 @@ serve downstream models from the written copies (table materialisation).
 * :func:`build_raw` — the six typed raw tables.
 * :func:`build_medallion` — 5 bronze copies, 5 silver tables (expectations
   applied, violation counts observed in the same pass), 3 gold tables.
-* :func:`build_marts` — platform marts, then the consumer marts and feature
-  tables over the *written* marts (each layer is read back, so lineage stays
-  short and a lost executor re-reads files rather than recomputing raw).
+* :func:`build_marts` — platform marts through their contracts, then the
+  consumer marts and feature tables over the *written* marts (each layer is
+  read back, so lineage stays short and a lost executor re-reads files
+  rather than recomputing raw), then the declared tests as one report.
 
 Folders live under ``base`` (default: a fresh folder under the shared
 ``spark.checkpoint.dir``).  Returns {table: path} plus expectation metrics.
@@ -15,11 +16,15 @@ Folders live under ``base`` (default: a fresh folder under the shared
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import types as T
 
 from martlet.operators import consumers, features, marts, staging
+from martlet.operators.contracts import contract_cast
+from martlet.operators.quality import quality_report
 from martlet.plans.platform import Platform
 from martlet.session import scratch_path
 from martlet.sources.adapter import RawTables
+from martlet.sources.schemas import CONTRACTS
 from martlet.sources.ingest import materialize_table, write_table
 
 ENTITIES = ("customers", "orders", "order_items", "products", "payments")
@@ -66,14 +71,28 @@ def build_medallion(spark: SparkSession, raw: RawTables, base: str | None = None
     return out
 
 
-def build_marts(spark: SparkSession, platform: Platform, base: str | None = None) -> dict[str, str]:
-    """Platform marts, then consumers/features over the written marts."""
+def build_marts(spark: SparkSession, platform: Platform, base: str | None = None,
+                enforce_contracts: bool = True, id_type: T.DataType = T.LongType(),
+                run_tests: bool = True) -> dict[str, str]:
+    """Platform marts (through their contracts), then consumers/features over
+    the written marts, then the declared tests of everything built.
+
+    ``id_type`` is the key width of the contracts (the published contracts
+    say INT; 64-bit keys are what a 100 TB order table needs)."""
     base = base or scratch_path(spark, "marts")
     out: dict[str, str] = {}
     as_of = platform.as_of
-    fct = _write(spark, platform.fct_orders, base, "fct_orders", out)
-    dim = _write(spark, platform.dim_customers, base, "dim_customers", out)
-    prod = _write(spark, platform.dim_products, base, "dim_products", out)
+
+    def governed(name: str) -> DataFrame:
+        df = getattr(platform, name)
+        if enforce_contracts:
+            make_contract, _ = CONTRACTS[name]
+            df = contract_cast(df, make_contract(id_type))
+        return df
+
+    fct = _write(spark, governed("fct_orders"), base, "fct_orders", out)
+    dim = _write(spark, governed("dim_customers"), base, "dim_customers", out)
+    prod = _write(spark, governed("dim_products"), base, "dim_products", out)
     _write(spark, consumers.mart_customer_segments(dim, fct, as_of), base,
            "mart_customer_segments", out)
     _write(spark, consumers.mart_country_performance(dim, fct), base, "mart_country_performance", out)
@@ -86,4 +105,11 @@ def build_marts(spark: SparkSession, platform: Platform, base: str | None = None
            "customer_churn_features", out)
     _write(spark, features.payment_method_affinity_pairs(fct), base,
            "payment_method_affinity_pairs", out)
+    if run_tests:
+        models = {name: spark.read.parquet(path) for name, path in out.items()}
+        models.update({name: getattr(platform, name) for name in
+                       ("stg_customers", "stg_orders", "stg_order_items", "stg_products",
+                        "stg_payments")})
+        write_table(quality_report(models), f"{base}/quality_report")
+        out["quality_report"] = f"{base}/quality_report"
     return out

@@ -75,3 +75,10 @@ def test_build_medallion_and_marts(spark, smoke_dir):
     assert out["expectations"]["orders"]["rows"] == raw_orders(spark, smoke_dir).count()
     marts_out = build.build_marts(spark, Platform.from_driver(spark, smoke_dir), base=f"{base}/k")
     assert spark.read.parquet(marts_out["fct_orders"]).count() == raw_orders(spark, smoke_dir).count()
+    fct_schema = spark.read.parquet(marts_out["fct_orders"]).schema
+    assert fct_schema["amount_paid"].dataType == T.DecimalType(18, 2)
+    report = spark.read.parquet(marts_out["quality_report"])
+    models = {r.model for r in report.select("model").distinct().collect()}
+    assert {"fct_orders", "mart_customer_segments", "rfm_customer_features"} <= models
+    failed = {(r.model, r.test, r.column_name) for r in report.filter("status = 'fail'").collect()}
+    assert ("stg_order_items", "unique", "order_item_id") in failed       # known duplicate keys
