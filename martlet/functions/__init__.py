@@ -42,6 +42,15 @@ def as_of_timestamp(as_of=None) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz")
 
 
+def is_completed() -> Column:
+    """The recognised-revenue rule: ``status = 'completed'``."""
+    return F.col("status") == "completed"
+
+
+def is_returned() -> Column:
+    return F.col("status") == "returned"
+
+
 def money_zero() -> Column:
     """Decimal zero, so ``coalesce(money, 0)`` keeps the decimal type."""
     return F.lit(0).cast(MART_MONEY)

@@ -15,18 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, money_zero
+from martlet.functions import as_of_date, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
 from martlet.operators.marts import DEFAULT_HIGH, DEFAULT_MID
 
-def is_completed():
-    return F.col("status") == "completed"
-
-
-def is_returned():
-    return F.col("status") == "returned"
-
-
 
 def _completed_amount():
     return F.when(is_completed(), F.col("amount_paid")).otherwise(money_zero())

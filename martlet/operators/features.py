@@ -20,18 +20,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, money_zero
+from martlet.functions import as_of_date, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct_where, order_grain
 from martlet.operators.ordered import (approx_quantiles, bounded_cuts, exact_quantiles_multi,
                                       lag_by_group)
 
-def is_completed():
-    return F.col("status") == "completed"
-
-
-def is_returned():
-    return F.col("status") == "returned"
-
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 

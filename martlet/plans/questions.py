@@ -12,17 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, money_zero
+from martlet.functions import as_of_date, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
 
-def is_completed():
-    return F.col("status") == "completed"
-
-
-def is_returned():
-    return F.col("status") == "returned"
-
-
 
 def _div(num, den, scale, num_type="decimal(22,2)"):
     return F.round(num.cast(num_type) / F.nullif(den, F.lit(0)).cast("decimal(20,0)"), scale)
