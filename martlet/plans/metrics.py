@@ -234,10 +234,19 @@ def metric_time_spine(models: dict[str, DataFrame], metric: str, spine: DataFram
 # ----------------------------------------------------------------- metric views
 @dataclass(frozen=True)
 class MetricView:
+    """A metric view: dimensions and measures as SQL expressions (what the
+    view publishes).  ``grain_measures`` restates the same measures in a
+    decomposable form over ``distinct_key`` so that a query needing several
+    distinct counts runs from the distinct-key grain (no Expand):
+    ``("sum", expr)``, ``("avg", expr)``, ``("count_distinct", filter|None)``
+    and ``("pct_of_distinct", filter)`` = distinct[filter] / distinct * 100."""
+
     source: str
     dimensions: dict[str, str]
     measures: dict[str, str]
     metadata: dict = field(default_factory=dict)
+    distinct_key: str | None = None
+    grain_measures: dict[str, tuple] = field(default_factory=dict)
 
 
 # The two metric views (dimension and measure expressions).
@@ -253,6 +262,13 @@ ORDERS_VIEW = MetricView(
         "return_rate": "COUNT(DISTINCT CASE WHEN status = 'returned' THEN order_id END)"
                        " / CAST(COUNT(DISTINCT order_id) AS DOUBLE) * 100",
     },
+    distinct_key="order_id",
+    grain_measures={
+        "total_revenue": ("sum", "CASE WHEN status = 'completed' THEN amount_paid ELSE 0 END"),
+        "avg_order_value": ("avg", "CASE WHEN status = 'completed' THEN amount_paid END"),
+        "total_orders": ("count_distinct", None),
+        "return_rate": ("pct_of_distinct", "status = 'returned'"),
+    },
     metadata={"display_names": {"order_date": "Order Date", "status": "Order Status",
                                 "payment_method": "Payment Method", "total_revenue": "Total Revenue",
                                 "avg_order_value": "Average Order Value",
@@ -269,6 +285,12 @@ CUSTOMERS_VIEW = MetricView(
         "high_value_customers":
             "COUNT(DISTINCT CASE WHEN customer_segment = 'high_value' THEN customer_id END)",
     },
+    distinct_key="customer_id",
+    grain_measures={
+        "customer_count": ("count_distinct", None),
+        "avg_lifetime_value": ("avg", "total_lifetime_value"),
+        "high_value_customers": ("count_distinct", "customer_segment = 'high_value'"),
+    },
     metadata={"display_names": {"country": "Country", "customer_segment": "Customer Segment",
                                 "created_date": "Customer Since", "customer_count": "Total Customers",
                                 "avg_lifetime_value": "Average Lifetime Value",
@@ -283,5 +305,40 @@ def query_metric_view(view: MetricView, source: DataFrame, dimensions: list[str]
     meas = list(view.measures) if measures is None else list(measures)
     keyed = source.select(*[F.expr(view.dimensions[d]).alias(d) for d in dims],
                           *[F.col(c) for c in source.columns if c not in dims])
+    if view.distinct_key and all(m in view.grain_measures for m in meas):
+        return _view_from_grain(view, keyed, dims, meas)
     aggs = [F.expr(view.measures[m]).alias(m) for m in meas]
     return keyed.groupBy(*dims).agg(*aggs) if dims else keyed.agg(*aggs)
+
+
+def _view_from_grain(view: MetricView, keyed: DataFrame, dims: list[str],
+                     meas: list[str]) -> DataFrame:
+    key = view.distinct_key
+    level1, level2 = [], []
+    for i, name in enumerate(meas):
+        kind, arg = view.grain_measures[name]
+        if kind == "sum":
+            level1.append(F.sum(F.expr(arg)).alias(f"_s{i}"))
+            level2.append(F.sum(f"_s{i}").alias(name))
+        elif kind == "avg":
+            level1 += [F.sum(F.expr(arg)).alias(f"_s{i}"), F.count(F.expr(arg)).alias(f"_c{i}")]
+            level2.append(F.round(F.sum(f"_s{i}").cast("decimal(22,2)")
+                                  / F.nullif(F.sum(f"_c{i}"), F.lit(0)).cast("decimal(20,0)"),
+                                  AVG_SCALE).alias(name))
+        elif kind in ("count_distinct", "pct_of_distinct"):
+            if arg is None:
+                numerator = F.count(key)
+            else:
+                level1.append(F.max(F.coalesce(F.expr(arg), F.lit(False)).cast("int")).alias(f"_f{i}"))
+                numerator = F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col(f"_f{i}"))),
+                                       F.lit(0)).cast("bigint")
+            if kind == "count_distinct":
+                level2.append(numerator.alias(name))
+            else:
+                level2.append((F.try_divide(numerator, F.count(key).cast("double")) * 100).alias(name))
+        else:
+            raise ValueError(kind)
+    if not level1:
+        level1 = [F.count(F.lit(1)).alias("_rows")]
+    grain = keyed.groupBy(*dims, key).agg(*level1)
+    return grain.groupBy(*dims).agg(*level2) if dims else grain.agg(*level2)

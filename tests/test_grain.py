@@ -75,3 +75,18 @@ def test_product_summary_matches(spark):
     r = consumers.fct_revenue_by_product(fct, prods).collect()[0]
     assert (r.total_orders, r.return_count) == (3, 2)
     assert r.recognised_revenue == D("8.00")
+
+
+def test_metric_view_grain_equals_sql_measures(spark):
+    import dataclasses
+
+    fct = bad_fct(spark)
+    sql_only = dataclasses.replace(M.ORDERS_VIEW, distinct_key=None)
+    for dims in (["status"], ["payment_method", "order_date"], []):
+        a = M.query_metric_view(M.ORDERS_VIEW, fct, dimensions=dims)
+        b = M.query_metric_view(sql_only, fct, dimensions=dims)
+        assert "Expand" not in a._jdf.queryExecution().executedPlan().toString()
+        cols = a.columns
+        sa = sorted(map(str, a.select(cols).collect()))
+        sb = sorted(map(str, b.select(cols).collect()))
+        assert sa == sb
