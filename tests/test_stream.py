@@ -42,7 +42,8 @@ def test_silver_stream_orders(spark, smoke_dir):
     out = spark.read.parquet(paths.sink)
     assert out.count() == raw_orders(spark, smoke_dir).count()
     assert set(out.columns) == {"order_id", "customer_id", "status", "order_date", "amount"}
-    assert q.lastProgress is not None
+    observed = q.lastProgress["observedMetrics"]["silver_orders_expectations"]
+    assert observed["rows"] == out.count() and observed["valid_order_id"] == 0
 
 
 def test_events_stream_expectations(spark, smoke_dir):
