@@ -65,7 +65,13 @@ def shared_dir(spark: SparkSession) -> str:
     one (tests) gets a fresh folder; on a cluster an unset value is an error.
     ``checkpoint()`` and everything written by :func:`scratch_path` land there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("set spark.checkpoint.dir to a shared (cluster-wide) folder")
+        return current.rstrip("/")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         if not sc.master.startswith("local"):
