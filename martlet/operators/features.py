@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions import as_of_date, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct_where, order_grain
+from martlet.session import shared_dir
 from martlet.operators.ordered import (approx_quantiles, bounded_cuts, exact_quantiles_multi,
                                       lag_by_group)
 
@@ -109,6 +110,18 @@ def rfm_customer_features(rfm: DataFrame, cuts: DataFrame) -> DataFrame:
                     (r + f + m).alias("rfm_score"))
 
 
+def rfm_scores(dim_customers: DataFrame, fct_orders: DataFrame, as_of=None,
+               method: str = "exact", pin: bool = True) -> DataFrame:
+    """RFM base -> cut points -> scores.  The base (customer grain) feeds both
+    the cut points and the scoring, so it is pinned once with a reliable
+    checkpoint instead of aggregating the order fact twice."""
+    base = rfm_base(dim_customers, fct_orders, as_of)
+    if pin:
+        shared_dir(base.sparkSession)
+        base = base.checkpoint(eager=True)
+    return rfm_customer_features(base, rfm_quintiles(base, method))
+
+
 # ---------------------------------------------------------------------- churn
 def churn_order_features(fct_orders: DataFrame) -> DataFrame:
     """Per customer order behaviour (sample stddev; one order -> NULL).

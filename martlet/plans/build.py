@@ -98,9 +98,7 @@ def build_marts(spark: SparkSession, platform: Platform, base: str | None = None
     _write(spark, consumers.mart_country_performance(dim, fct), base, "mart_country_performance", out)
     _write(spark, consumers.fct_revenue(fct), base, "fct_revenue", out)
     _write(spark, consumers.fct_revenue_by_product(fct, prod), base, "fct_revenue_by_product", out)
-    rfm = features.rfm_base(dim, fct, as_of)
-    _write(spark, features.rfm_customer_features(rfm, features.rfm_quintiles(rfm)), base,
-           "rfm_customer_features", out)
+    _write(spark, features.rfm_scores(dim, fct, as_of), base, "rfm_customer_features", out)
     _write(spark, features.customer_churn_features(dim, fct, as_of), base,
            "customer_churn_features", out)
     _write(spark, features.payment_method_affinity_pairs(fct), base,

@@ -281,15 +281,15 @@ def _rfm_q(spark, sf_dir):
 
 @register("rfm_customer_features")
 def _rfm_f(spark, sf_dir):
-    base = _rfm(spark, sf_dir)
-    return features.rfm_customer_features(base, features.rfm_quintiles(base, "exact"))
+    p = P(spark, sf_dir)
+    return features.rfm_scores(p.dim_customers, p.fct_orders, AS_OF, "exact")
 
 
 @register("rfm_customer_features_approx")
 def _rfm_fa(spark, sf_dir):
     """The reference's sketch cut points (relative error 0.05)."""
-    base = _rfm(spark, sf_dir)
-    return features.rfm_customer_features(base, features.rfm_quintiles(base, "approx"))
+    p = P(spark, sf_dir)
+    return features.rfm_scores(p.dim_customers, p.fct_orders, AS_OF, "approx")
 
 
 @register("churn_order_features")
