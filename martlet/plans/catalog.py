@@ -639,9 +639,26 @@ def _ss(spark, sf_dir):
 
 @register("gold_refresh")
 def _gr(spark, sf_dir):
-    sinks = {e: _silver_sink(spark, sf_dir, e) for e in ("customers", "orders", "order_items",
-                                                        "payments")}
-    return medallion.gold_refresh(spark, sinks, HIGH, MID)["gold_fct_orders"]
+    """Bronze streams of four sources run together, then their silver streams
+    together, then the gold batch over the drained silver folders."""
+    entities = ("customers", "orders", "order_items", "payments")
+    raw = adapter.load_raw(spark, sf_dir).as_dict()
+    bronze_paths, queries = {}, []
+    for e in entities:
+        table = f"raw_{e}"
+        paths = medallion.stream_paths(spark, f"bronze-{table}", _landing(spark, raw[table], table))
+        queries.append(medallion.bronze_query(spark, schemas.raw_schema(table, LongType()), paths,
+                                              name=f"bronze_{table}"))
+        bronze_paths[e] = paths
+    medallion.await_streams(queries)
+    silver_paths, queries = {}, []
+    for e in entities:
+        paths = medallion.stream_paths(spark, f"silver-{e}", bronze_paths[e].sink)
+        queries.append(medallion.silver_query(spark, e, schemas.raw_schema(f"raw_{e}", LongType()),
+                                              paths))
+        silver_paths[e] = paths.sink
+    medallion.await_streams(queries)
+    return medallion.gold_refresh(spark, silver_paths, HIGH, MID)["gold_fct_orders"]
 
 
 def queries() -> dict[str, Query]:

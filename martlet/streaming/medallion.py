@@ -35,38 +35,60 @@ def stream_paths(spark: SparkSession, name: str, source: str) -> StreamPaths:
     return StreamPaths(source=source, sink=f"{base}/data", checkpoint=f"{base}/_checkpoint")
 
 
+def _start_available_now(df: DataFrame, paths: StreamPaths, name: str):
+    return (df.writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", paths.checkpoint)
+            .trigger(availableNow=True)
+            .queryName(f"{name}_{abs(hash(paths.sink)) % 10**8}")
+            .start(paths.sink))
+
+
+def await_streams(queries: list, timeout_s: float | None = 600) -> list:
+    """Wait until every ``availableNow`` query has drained; raise on failure."""
+    for query in queries:
+        query.awaitTermination(timeout_s)
+        if query.isActive:
+            for q in queries:
+                q.stop()
+            raise TimeoutError(f"stream {query.name} did not drain in {timeout_s}s")
+        if query.exception() is not None:
+            raise query.exception()
+    return queries
+
+
 def _run_available_now(df: DataFrame, paths: StreamPaths, name: str, timeout_s: float | None):
-    query = (df.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", paths.checkpoint)
-             .trigger(availableNow=True)
-             .queryName(f"{name}_{abs(hash(paths.sink)) % 10**8}")
-             .start(paths.sink))
-    query.awaitTermination(timeout_s)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream {name} did not drain in {timeout_s}s")
-    if query.exception() is not None:
-        raise query.exception()
-    return query
+    return await_streams([_start_available_now(df, paths, name)], timeout_s)[0]
+
+
+def bronze_query(spark: SparkSession, schema: T.StructType, paths: StreamPaths,
+                 name: str = "bronze", max_files_per_trigger: int | None = None):
+    """Start (do not wait for) the bronze append stream of one source folder."""
+    reader = spark.readStream.schema(schema).format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _start_available_now(reader.load(paths.source), paths, name)
+
+
+def silver_query(spark: SparkSession, entity: str, bronze_schema: T.StructType, paths: StreamPaths):
+    """Start (do not wait for) the silver stream of ``entity``."""
+    bronze = spark.readStream.schema(bronze_schema).format("parquet").load(paths.source)
+    silver = staging.silver(entity, bronze, observation=f"silver_{entity}_expectations")
+    return _start_available_now(silver, paths, f"silver_{entity}")
 
 
 def bronze_stream(spark: SparkSession, schema: T.StructType, paths: StreamPaths,
                   name: str = "bronze", timeout_s: float | None = 600,
                   max_files_per_trigger: int | None = None):
     """Append every new file of ``paths.source`` to ``paths.sink``."""
-    reader = spark.readStream.schema(schema).format("parquet")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _run_available_now(reader.load(paths.source), paths, name, timeout_s)
+    return await_streams([bronze_query(spark, schema, paths, name, max_files_per_trigger)],
+                         timeout_s)[0]
 
 
 def silver_stream(spark: SparkSession, entity: str, bronze_schema: T.StructType, paths: StreamPaths,
                   timeout_s: float | None = 600):
     """Silver table ``entity`` from a bronze folder, with its expectations;
     per-batch violation counts appear in ``query.lastProgress['observedMetrics']``."""
-    bronze = spark.readStream.schema(bronze_schema).format("parquet").load(paths.source)
-    silver = staging.silver(entity, bronze, observation=f"silver_{entity}_expectations")
-    return _run_available_now(silver, paths, f"silver_{entity}", timeout_s)
+    return await_streams([silver_query(spark, entity, bronze_schema, paths)], timeout_s)[0]
 
 
 def read_sink(spark: SparkSession, path: str) -> DataFrame:
