@@ -11,6 +11,7 @@ dimensions.  Nothing is collected; the result is a DataFrame.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -148,19 +149,25 @@ def _aggregate(df: DataFrame, group_cols: list[str], parts) -> DataFrame:
     return grain.groupBy(*group_cols).agg(*level2) if group_cols else grain.agg(*level2)
 
 
-def _model_frame(models: dict[str, DataFrame], model: str, dims: list[str]) -> DataFrame:
+def _model_frame(models: dict[str, DataFrame], model: str, dims: list[str],
+                 where: str | None = None) -> DataFrame:
     """The model, joined to another model's dimensions through its entity key
-    when a requested dimension lives there."""
+    when a requested dimension (or a column named in ``where``) lives there."""
     df = models[model]
     own = MODEL_DIMENSIONS.get(model, set()) | set(df.columns)
     foreign = [d for d in dims if d not in own and d not in ("metric_time",)]
-    if not foreign:
-        return df
     for (fact, dim_model), key in ENTITY_JOINS.items():
-        if fact == model and all(d in models[dim_model].columns for d in foreign):
-            dim = models[dim_model].select(key, *foreign)
-            return df.join(dim, key, "left")
-    raise ValueError(f"dimensions {foreign} not reachable from {model}")
+        if fact != model or dim_model not in models:
+            continue
+        if where:
+            named = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", where))
+            foreign += [c for c in models[dim_model].columns
+                        if c in named and c not in own and c not in foreign]
+        if foreign and all(d in models[dim_model].columns for d in foreign):
+            return df.join(models[dim_model].select(key, *foreign), key, "left")
+    if foreign:
+        raise ValueError(f"dimensions {foreign} not reachable from {model}")
+    return df
 
 
 def _simple_parts(metric: Metric) -> list[tuple[str, Metric, str | None]]:
@@ -195,7 +202,7 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
     group_cols = dims + (["metric_time"] if grain else [])
     frames = []
     for model, parts in by_model.items():
-        df = _model_frame(models, model, dims)
+        df = _model_frame(models, model, dims, where)
         if where:
             df = df.filter(F.expr(where))
         if grain:

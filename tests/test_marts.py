@@ -135,3 +135,10 @@ def test_time_spine(spark):
     spine = marts.time_spine_daily("2026-03-31", spark=spark)
     days = [r.date_day for r in spine.collect()]
     assert min(days).isoformat() == "2024-01-01" and max(days).isoformat() == "2026-04-29"
+
+
+def test_metric_filter_on_joined_dimension(p):
+    models = {"fct_orders": p.fct_orders, "dim_customers": p.dim_customers}
+    r = M.metric_query(models, ["total_recognised_revenue", "total_orders"],
+                       where="customer_segment = 'high_value'").collect()[0]
+    assert r.total_recognised_revenue == D("670.00") and r.total_orders == 3
