@@ -437,12 +437,18 @@ BREAKDOWNS = {
     "ltv": ["total", "month", "segment", "country"],
 }
 
+def _breakdown(metric: str, by: str):
+    def run(spark, sf_dir):
+        p = P(spark, sf_dir)
+        # customer metrics' fourth breakdown is by country (same explorer slot)
+        return Q.breakdown(metric, "payment_method" if by == "country" else by,
+                           p.dim_customers, p.fct_orders)
+    return run
+
+
 for _metric, _bys in BREAKDOWNS.items():
     for _by in _bys:
-        register(f"{_metric}_breakdown_{_by}")(
-            lambda spark, sf_dir, _m=_metric, _b=_by: Q.breakdown(
-                _m, "payment_method" if _b == "country" else _b,
-                P(spark, sf_dir).dim_customers, P(spark, sf_dir).fct_orders))
+        register(f"{_metric}_breakdown_{_by}")(_breakdown(_metric, _by))
 
 
 @register("side_by_side_kpis")
