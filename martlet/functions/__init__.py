@@ -60,33 +60,16 @@ def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_div(num, den) -> Column:
-    """Division that yields NULL for a zero or NULL denominator (ANSI-safe)."""
-    return F.try_divide(col_of(num), F.nullif(col_of(den), F.lit(0)))
-
-
-def exact_avg(c, scale: int | None = None) -> Column:
-    """``avg`` computed as decimal ``sum / count``, optionally rounded HALF_UP.
-
-    Spark's own ``avg(decimal)`` rounds to scale+4 first; dividing the exact
-    decimal sum keeps ~18 fractional digits, so a later ``round`` is exact
-    and engine-independent (doubles would round ties arbitrarily).
+def exact_ratio(num, den, scale: int, num_type: str = "decimal(22,2)") -> Column:
+    """``round(num / den, scale)`` HALF_UP in decimal arithmetic; NULL when
+    ``den`` is 0 or NULL.
+
+    ``num`` is cast to ``num_type`` (money: decimal(22,2); counts: a scale-0
+    decimal) and ``den`` to decimal(20,0), which leaves >= 14 fractional
+    digits before the rounding — the result never depends on binary floating
+    point, so any engine computing the exact quotient agrees.
     """
-    c = col_of(c)
-    avg = F.sum(c).cast("decimal(22,2)") / F.nullif(F.count(c), F.lit(0)).cast("decimal(20,0)")
-    return F.round(avg, scale) if scale is not None else avg
-
-
-def exact_avg_int(c, scale: int) -> Column:
-    """Rounded average of an integer column (e.g. day gaps)."""
-    c = col_of(c)
-    avg = F.sum(c).cast("decimal(20,0)") / F.count(c).cast("decimal(20,0)")
-    return F.round(avg, scale)
-
-
-def round_ratio(num, den, scale: int) -> Column:
-    """``round(num / den, scale)`` in decimal arithmetic; NULL when den = 0."""
-    n = col_of(num).cast("decimal(20,2)")
+    n = col_of(num).cast(num_type)
     d = F.nullif(col_of(den), F.lit(0)).cast("decimal(20,0)")
     return F.round(n / d, scale)
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, is_completed, is_returned, money_zero
+from martlet.functions import as_of_date, exact_ratio, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
 from martlet.operators.marts import DEFAULT_HIGH, DEFAULT_MID
 
@@ -82,11 +82,8 @@ def mart_country_performance(dim_customers: DataFrame, fct_orders: DataFrame) ->
     return g.select(
         "country", "total_customers", "high_value_customers", "total_orders",
         "recognised_revenue",
-        F.round(F.col("_ltv_w").cast("decimal(22,2)") / F.col("_w").cast("decimal(20,0)"), 4)
-        .alias("avg_ltv"),
-        F.round(F.col("recognised_revenue").cast("decimal(22,2)")
-                / F.nullif(F.col("total_customers"), F.lit(0)).cast("decimal(20,0)"), 4)
-        .alias("revenue_per_customer"),
+        exact_ratio("_ltv_w", "_w", 4).alias("avg_ltv"),
+        exact_ratio("recognised_revenue", "total_customers", 4).alias("revenue_per_customer"),
     )
 
 
@@ -136,19 +133,15 @@ def medallion_country_performance(gold_fct_orders: DataFrame, gold_dim_customers
         g = j.groupBy("country").agg(F.sum("_orders").alias("total_orders"),
                                      F.sum("_s").alias("_s"), F.sum("_c").alias("_c"),
                                      F.count_distinct("customer_id").alias("active_customers"))
-        rpc = F.round(F.col("_s").cast("decimal(22,2)")
-                      / F.nullif(F.col("active_customers"), F.lit(0)).cast("decimal(20,0)"), 2)
+        rpc = exact_ratio("_s", "active_customers", 2)
     else:
         g = j.groupBy("country").agg(F.sum("_orders").alias("total_orders"),
                                      F.sum("_s").alias("_s"), F.sum("_c").alias("_c"),
                                      F.sum("_rows").alias("active_customers"))
-        rpc = F.round(F.round(F.col("_s"), 2).cast("decimal(22,2)")
-                      / F.col("active_customers").cast("decimal(20,0)"), 2)
+        rpc = exact_ratio(F.round(F.col("_s"), 2), "active_customers", 2)
     return (g.select("country", "total_orders",
                      F.round(F.col("_s"), 2).alias("total_revenue"),
-                     F.round(F.col("_s").cast("decimal(22,2)")
-                             / F.nullif(F.col("_c"), F.lit(0)).cast("decimal(20,0)"), 2)
-                     .alias("avg_order_value"),
+                     exact_ratio("_s", "_c", 2).alias("avg_order_value"),
                      "active_customers", rpc.alias("revenue_per_customer"))
             .orderBy(F.col("total_revenue").desc()))
 
@@ -246,7 +239,5 @@ def medallion_revenue_by_product(gold_fct_orders: DataFrame, products: DataFrame
             .select("category", "product_name",
                     (F.col("_n") * F.col("_k")).alias("total_orders"),
                     F.round(F.col("_s") * F.col("_k"), 2).alias("total_revenue"),
-                    F.round(F.col("_s").cast("decimal(22,2)")
-                            / F.nullif(F.col("_c"), F.lit(0)).cast("decimal(20,0)"), 2)
-                    .alias("avg_order_value"))
+                    exact_ratio("_s", "_c", 2).alias("avg_order_value"))
             .orderBy(F.col("total_revenue").desc()))

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, is_completed, is_returned, money_zero
+from martlet.functions import as_of_date, exact_ratio, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct_where, order_grain
 from martlet.session import shared_dir
 from martlet.operators.ordered import (approx_quantiles, bounded_cuts, exact_quantiles_multi,
@@ -32,8 +32,7 @@ QUINTILES = [0.2, 0.4, 0.6, 0.8]
 
 def _avg4(sum_col, count_col):
     """Exact decimal average rounded HALF_UP to 4 places."""
-    return F.round(sum_col.cast("decimal(22,2)")
-                   / F.nullif(count_col, F.lit(0)).cast("decimal(20,0)"), 4)
+    return exact_ratio(sum_col, count_col, 4)
 
 
 def customer_order_history(dim_customers: DataFrame, fct_orders: DataFrame, as_of=None) -> DataFrame:
@@ -158,8 +157,7 @@ def churn_order_features(fct_orders: DataFrame) -> DataFrame:
         "customer_id", "total_orders", "completed_orders", "returned_orders", "total_spend",
         _avg4(F.col("_s"), F.col("_n")).alias("avg_order_value"),
         F.round(stddev, 4).alias("stddev_order_value"),
-        F.round(F.col("_items").cast("decimal(22,0)")
-                / F.nullif(F.col("_ni"), F.lit(0)).cast("decimal(20,0)"), 4).alias("avg_items_per_order"),
+        exact_ratio("_items", "_ni", 4, "decimal(22,0)").alias("avg_items_per_order"),
         "last_order_date", "first_order_date", "distinct_payment_methods")
 
 
@@ -172,8 +170,7 @@ def order_gaps(fct_orders: DataFrame) -> DataFrame:
     gaps = (lagged.withColumn("gap", F.datediff("order_date", "prev_order_date"))
             .filter(F.col("gap").isNotNull()))
     return gaps.groupBy("customer_id").agg(
-        F.round(F.sum("gap").cast("decimal(22,0)") / F.count("gap").cast("decimal(20,0)"), 4)
-        .alias("avg_days_between_orders"),
+        exact_ratio(F.sum("gap"), F.count("gap"), 4, "decimal(22,0)").alias("avg_days_between_orders"),
         F.round(F.stddev_samp(F.col("gap").cast("double")), 4).alias("stddev_days_between_orders"),
         F.max("gap").cast("bigint").alias("max_gap_days"))
 
@@ -199,8 +196,7 @@ def customer_churn_features(dim_customers: DataFrame, fct_orders: DataFrame, as_
          .join(order_gaps(fct_orders), "customer_id", "left"))
     days = F.datediff(day, F.col("last_order_date"))
     rate = F.when(F.col("total_orders") > 0,
-                  F.round(F.col("returned_orders").cast("decimal(20,0)")
-                          / F.col("total_orders").cast("decimal(20,0)"), 4))
+                  exact_ratio("returned_orders", "total_orders", 4, "decimal(20,0)"))
     zero_int = F.lit(0).cast("bigint")
     zero4 = F.lit(0).cast("decimal(38,4)")
     out = j.select(
@@ -248,8 +244,7 @@ def payment_method_affinity_pairs(fct_orders: DataFrame) -> DataFrame:
         F.sum(F.col("s_b") * F.col("n_a")).alias("_sb"), F.sum(F.col("nn_b") * F.col("n_a")).alias("_cb"))
 
     def avg2(s, c):
-        return F.round(F.col(s).cast("decimal(22,2)")
-                       / F.nullif(F.col(c), F.lit(0)).cast("decimal(20,0)"), 2)
+        return exact_ratio(s, c, 2)
 
     return (g.select("method_a", "method_b", "shared_customers",
                      avg2("_sa", "_ca").alias("avg_spend_method_a"),

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, money_zero
+from martlet.functions import as_of_date, exact_ratio, money_zero
 
 DEFAULT_HIGH = 500
 DEFAULT_MID = 100
@@ -167,7 +167,7 @@ def gold_fct_revenue(fct: DataFrame) -> DataFrame:
             .groupBy("order_date")
             .agg(F.sum("amount_paid").alias("daily_revenue"),
                  F.count("order_id").alias("number_of_orders"),
-                 F.round(F.sum("amount_paid") / F.count("amount_paid").cast("decimal(20,0)"), 2)
+                 exact_ratio(F.sum("amount_paid"), F.count("amount_paid"), 2)
                  .alias("avg_order_value"))
             .withColumn("revenue_month", F.date_format("order_date", "yyyy-MM"))
             .select("order_date", "revenue_month", "daily_revenue", "number_of_orders",

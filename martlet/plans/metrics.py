@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlet.functions import exact_ratio
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -94,8 +96,7 @@ def _agg_column(m: Metric, extra_filter: str | None = None) -> Column:
         return F.count(value)
     if m.agg == "average":
         # exact decimal average, rounded HALF_UP (engine-independent)
-        return F.round(F.sum(value).cast("decimal(22,2)")
-                       / F.nullif(F.count(value), F.lit(0)).cast("decimal(20,0)"), AVG_SCALE)
+        return exact_ratio(F.sum(value), F.count(value), AVG_SCALE)
     raise ValueError(f"unknown aggregation {m.agg!r}")
 
 
@@ -138,9 +139,7 @@ def _aggregate(df: DataFrame, group_cols: list[str], parts) -> DataFrame:
             level2.append(F.sum(f"_c{i}").alias(alias))
         elif m.agg == "average":
             level1 += [F.sum(value).alias(f"_s{i}"), F.count(value).alias(f"_c{i}")]
-            level2.append(F.round(F.sum(f"_s{i}").cast("decimal(22,2)")
-                                  / F.nullif(F.sum(f"_c{i}"), F.lit(0)).cast("decimal(20,0)"),
-                                  AVG_SCALE).alias(alias))
+            level2.append(exact_ratio(F.sum(f"_s{i}"), F.sum(f"_c{i}"), AVG_SCALE).alias(alias))
         else:
             raise ValueError(m.agg)
     if not level1:
@@ -220,14 +219,11 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
         if m.kind == "simple":
             selects.append(F.col(m.name))
         elif m.kind == "ratio":
-            selects.append(F.round(F.col(f"_{m.name}_num").cast("decimal(20,0)")
-                                   / F.nullif(F.col(f"_{m.name}_den"), F.lit(0)).cast("decimal(20,0)"),
-                                   6).alias(m.name))
+            selects.append(exact_ratio(f"_{m.name}_num", f"_{m.name}_den", 6, "decimal(20,0)")
+                           .alias(m.name))
         else:
             num, den = m.inputs
-            selects.append(F.round(F.col(num).cast("decimal(22,2)")
-                                   / F.nullif(F.col(den), F.lit(0)).cast("decimal(20,0)"), 4)
-                           .alias(m.name))
+            selects.append(exact_ratio(num, den, 4).alias(m.name))
     return out.select(*selects)
 
 
@@ -329,9 +325,7 @@ def _view_from_grain(view: MetricView, keyed: DataFrame, dims: list[str],
             level2.append(F.sum(f"_s{i}").alias(name))
         elif kind == "avg":
             level1 += [F.sum(F.expr(arg)).alias(f"_s{i}"), F.count(F.expr(arg)).alias(f"_c{i}")]
-            level2.append(F.round(F.sum(f"_s{i}").cast("decimal(22,2)")
-                                  / F.nullif(F.sum(f"_c{i}"), F.lit(0)).cast("decimal(20,0)"),
-                                  AVG_SCALE).alias(name))
+            level2.append(exact_ratio(F.sum(f"_s{i}"), F.sum(f"_c{i}"), AVG_SCALE).alias(name))
         elif kind in ("count_distinct", "pct_of_distinct"):
             if arg is None:
                 numerator = F.count(key)

@@ -12,17 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlet.functions import as_of_date, is_completed, is_returned, money_zero
+from martlet.functions import as_of_date, exact_ratio, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
 
 
 def _div(num, den, scale, num_type="decimal(22,2)"):
-    return F.round(num.cast(num_type) / F.nullif(den, F.lit(0)).cast("decimal(20,0)"), scale)
+    return exact_ratio(num, den, scale, num_type)
 
 
 def _pct_returned(returned, total):
     """returned / total * 100, exact decimal, 4 places (app: DECIMAL(10,4) cast)."""
-    return F.round(returned.cast("decimal(20,0)") * 100 / F.nullif(total, F.lit(0)).cast("decimal(20,0)"), 4)
+    return exact_ratio(returned.cast("decimal(20,0)") * 100, total, 4, "decimal(23,0)")
 
 
 def _customer_revenue(fct: DataFrame) -> DataFrame:
@@ -308,5 +308,4 @@ def product_ratings(reviews: DataFrame, dim_products: DataFrame) -> DataFrame:
         dim_products.select("product_id", "category"), "product_id", "left")
     return j.groupBy("category").agg(
         F.count("rating").alias("reviews"),
-        F.round(F.sum("rating").cast("decimal(22,0)")
-                / F.nullif(F.count("rating"), F.lit(0)).cast("decimal(20,0)"), 4).alias("avg_rating"))
+        exact_ratio(F.sum("rating"), F.count("rating"), 4, "decimal(22,0)").alias("avg_rating"))
