@@ -153,3 +153,16 @@ def test_column_docs_persist_through_a_written_table(spark, tmp_path):
     back = materialize_table(spark, contracts.contract_cast(df, contract), "fct", str(tmp_path / "fct"))
     docs = {r.column_name: r.comment for r in contracts.column_comments(spark, back.schema).collect()}
     assert docs["amount_paid"].startswith("successful payments")
+
+
+def test_contract_overflow_raises(spark):
+    """Trap T11: a decimal(22,2) sum that does not fit decimal(18,2) fails."""
+    contract = fct_orders_contract(T.LongType())
+    big = spark.createDataFrame(
+        [(1, 2, dt.date(2026, 1, 1), "placed", "paypal", 1, D("1.00"), D("12345678901234567890.00"))],
+        "order_id bigint, customer_id bigint, order_date date, status string, payment_method string, "
+        "number_of_items bigint, items_total decimal(22,2), amount_paid decimal(22,2)")
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        pytest.skip("ANSI mode off")
+    with pytest.raises(Exception):
+        contracts.contract_cast(big, contract).collect()
