@@ -142,3 +142,23 @@ def test_metric_filter_on_joined_dimension(p):
     r = M.metric_query(models, ["total_recognised_revenue", "total_orders"],
                        where="customer_segment = 'high_value'").collect()[0]
     assert r.total_recognised_revenue == D("670.00") and r.total_orders == 3
+
+
+def test_medallion_variants_trap_t14(spark):
+    from martlet.operators import staging
+
+    raw = seed_raw(spark)
+    s = {e: staging.silver(e, getattr(raw, e)) for e in ("customers", "orders", "order_items", "payments")}
+    fct = marts.gold_fct_orders(s["orders"], s["order_items"], s["payments"])
+    dim = marts.gold_dim_customers(s["customers"], s["orders"], s["payments"])
+    sql_form = by_key(consumers.medallion_customer_segments(dim, fct, AS_OF), "customer_id")
+    py_form = by_key(consumers.medallion_customer_segments(dim, fct, AS_OF, null_recency=9999),
+                     "customer_id")
+    assert sql_form[4]["marketing_segment"] == "never_purchased"
+    assert py_form[4]["marketing_segment"] == "lapsed"            # 9999 > 90 fires first
+    assert sql_form[1]["marketing_segment"] == "champion" == py_form[1]["marketing_segment"]
+    sql_c = by_key(consumers.medallion_country_performance(fct, dim, "sql"), "country")
+    py_c = by_key(consumers.medallion_country_performance(fct, dim, "python"), "country")
+    assert sql_c["US"]["active_customers"] == 1 and py_c["US"]["active_customers"] == 3
+    assert sql_c["US"]["revenue_per_customer"] == D("670.00")
+    assert py_c["US"]["revenue_per_customer"] == D("223.33")
