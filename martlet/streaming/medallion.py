@@ -35,10 +35,14 @@ def stream_paths(spark: SparkSession, name: str, source: str) -> StreamPaths:
     return StreamPaths(source=source, sink=f"{base}/data", checkpoint=f"{base}/_checkpoint")
 
 
-def _start_available_now(df: DataFrame, paths: StreamPaths, name: str):
+def _start_available_now(df: DataFrame, paths: StreamPaths, name: str,
+                         trigger: dict | None = None):
+    """Start an append query to a parquet sink.  ``trigger`` defaults to
+    ``availableNow`` (drain what is there, then stop); pass e.g.
+    ``{"processingTime": "1 minute"}`` for continuous ingestion."""
     return (df.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", paths.checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**(trigger or {"availableNow": True}))
             .queryName(f"{name}_{abs(hash(paths.sink)) % 10**8}")
             .start(paths.sink))
 
@@ -61,19 +65,21 @@ def _run_available_now(df: DataFrame, paths: StreamPaths, name: str, timeout_s:
 
 
 def bronze_query(spark: SparkSession, schema: T.StructType, paths: StreamPaths,
-                 name: str = "bronze", max_files_per_trigger: int | None = None):
+                 name: str = "bronze", max_files_per_trigger: int | None = None,
+                 trigger: dict | None = None):
     """Start (do not wait for) the bronze append stream of one source folder."""
     reader = spark.readStream.schema(schema).format("parquet")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _start_available_now(reader.load(paths.source), paths, name)
+    return _start_available_now(reader.load(paths.source), paths, name, trigger)
 
 
-def silver_query(spark: SparkSession, entity: str, bronze_schema: T.StructType, paths: StreamPaths):
+def silver_query(spark: SparkSession, entity: str, bronze_schema: T.StructType, paths: StreamPaths,
+                 trigger: dict | None = None):
     """Start (do not wait for) the silver stream of ``entity``."""
     bronze = spark.readStream.schema(bronze_schema).format("parquet").load(paths.source)
     silver = staging.silver(entity, bronze, observation=f"silver_{entity}_expectations")
-    return _start_available_now(silver, paths, f"silver_{entity}")
+    return _start_available_now(silver, paths, f"silver_{entity}", trigger)
 
 
 def bronze_stream(spark: SparkSession, schema: T.StructType, paths: StreamPaths,

@@ -104,3 +104,20 @@ def test_incremental_append_and_freshness(spark, smoke_dir):
     rep = {r.source: r.status for r in source_freshness(
         {"raw_orders": after, "raw_payments": raw_payments(spark, smoke_dir)}).collect()}
     assert rep == {"raw_orders": "pass", "raw_payments": "error"}
+
+
+def test_processing_time_trigger_picks_up_new_files(spark, smoke_dir):
+    base = tempfile.mkdtemp(prefix="martlet-cont-")
+    source = os.path.join(base, "landing")
+    orders = raw_orders(spark, smoke_dir)
+    orders.filter("order_date < DATE '1998-01-01'").coalesce(1).write.parquet(source)
+    paths = medallion.StreamPaths(source, os.path.join(base, "bronze"), os.path.join(base, "ckpt"))
+    q = medallion.bronze_query(spark, raw_schema("raw_orders", T.LongType()), paths, name="cont",
+                               trigger={"processingTime": "200 milliseconds"})
+    try:
+        q.processAllAvailable()
+        orders.filter("order_date >= DATE '1998-01-01'").coalesce(1).write.mode("append").parquet(source)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(paths.sink).count() == orders.count()
