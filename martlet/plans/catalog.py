@@ -7,7 +7,6 @@ driver data's fixed as-of day and segment thresholds.  Results leave through
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from martlet.functions import to_edge
 from martlet.operators import consumers, contracts, features, marts, quality, staging
 from martlet.plans import metrics as M
 from martlet.plans import questions as Q
-from martlet.plans.platform import Platform
+from martlet.plans.platform import Medallion, Platform
 from martlet.session import scratch_path, tune
 from martlet.sources import adapter, ingest, schemas
 from martlet.streaming import medallion
@@ -46,41 +45,6 @@ def P(spark, sf_dir) -> Platform:
     return Platform.from_driver(spark, sf_dir)
 
 
-class Silver:
-    """Silver and gold tables of the batch medallion run over the raw tables."""
-
-    def __init__(self, spark, sf_dir):
-        self.raw = adapter.load_raw(spark, sf_dir)
-
-    @cached_property
-    def customers(self):
-        return staging.silver_customers(self.raw.customers)
-
-    @cached_property
-    def orders(self):
-        return staging.silver_orders(self.raw.orders)
-
-    @cached_property
-    def order_items(self):
-        return staging.silver_order_items(self.raw.order_items)
-
-    @cached_property
-    def products(self):
-        return staging.silver_products(self.raw.products)
-
-    @cached_property
-    def payments(self):
-        return staging.silver_payments(self.raw.payments)
-
-    @property
-    def gold_fct_orders(self):
-        return marts.gold_fct_orders(self.orders, self.order_items, self.payments)
-
-    @property
-    def gold_dim_customers(self):
-        return marts.gold_dim_customers(self.customers, self.orders, self.payments, HIGH, MID)
-
-
 def _no_stamp(df: DataFrame) -> DataFrame:
     return df.drop("_loaded_at")
 
@@ -154,7 +118,7 @@ for _name in ("stg_customers", "stg_orders", "stg_order_items", "stg_products",
     register(_name)(lambda spark, sf_dir, _n=_name: getattr(P(spark, sf_dir), _n))
 
 for _entity in ("customers", "orders", "order_items", "products", "payments"):
-    register(f"silver_{_entity}")(lambda spark, sf_dir, _e=_entity: getattr(Silver(spark, sf_dir), _e))
+    register(f"silver_{_entity}")(lambda spark, sf_dir, _e=_entity: getattr(Medallion.from_driver(spark, sf_dir), _e))
 
 
 # ---------------------------------------------------------------------- marts
@@ -177,17 +141,17 @@ def _time_spine(spark, sf_dir):
 
 @register("gold_dim_customers")
 def _gold_dim(spark, sf_dir):
-    return Silver(spark, sf_dir).gold_dim_customers
+    return Medallion.from_driver(spark, sf_dir).gold_dim_customers
 
 
 @register("gold_fct_orders")
 def _gold_fct(spark, sf_dir):
-    return Silver(spark, sf_dir).gold_fct_orders
+    return Medallion.from_driver(spark, sf_dir).gold_fct_orders
 
 
 @register("gold_fct_revenue")
 def _gold_rev(spark, sf_dir):
-    return marts.gold_fct_revenue(Silver(spark, sf_dir).gold_fct_orders)
+    return marts.gold_fct_revenue(Medallion.from_driver(spark, sf_dir).gold_fct_orders)
 
 
 # ------------------------------------------------------------------ consumers
@@ -205,27 +169,27 @@ def _mcp(spark, sf_dir):
 
 @register("medallion_customer_segments")
 def _pcs(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = Medallion.from_driver(spark, sf_dir)
     return consumers.medallion_customer_segments(s.gold_dim_customers, s.gold_fct_orders, AS_OF,
                                                  HIGH, MID)
 
 
 @register("medallion_customer_segments_py")
 def _pcs_py(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = Medallion.from_driver(spark, sf_dir)
     return consumers.medallion_customer_segments(s.gold_dim_customers, s.gold_fct_orders, AS_OF,
                                                  HIGH, MID, null_recency=9999)
 
 
 @register("medallion_country_performance")
 def _pcp(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = Medallion.from_driver(spark, sf_dir)
     return consumers.medallion_country_performance(s.gold_fct_orders, s.gold_dim_customers, "sql")
 
 
 @register("medallion_country_performance_py")
 def _pcp_py(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = Medallion.from_driver(spark, sf_dir)
     return consumers.medallion_country_performance(s.gold_fct_orders, s.gold_dim_customers, "python")
 
 
@@ -248,12 +212,12 @@ def _rbpl(spark, sf_dir):
 
 @register("medallion_fct_revenue")
 def _pfr(spark, sf_dir):
-    return consumers.medallion_fct_revenue(Silver(spark, sf_dir).gold_fct_orders)
+    return consumers.medallion_fct_revenue(Medallion.from_driver(spark, sf_dir).gold_fct_orders)
 
 
 @register("medallion_revenue_by_product")
 def _prbp(spark, sf_dir):
-    s = Silver(spark, sf_dir)
+    s = Medallion.from_driver(spark, sf_dir)
     return consumers.medallion_revenue_by_product(s.gold_fct_orders, s.products)
 
 

@@ -93,3 +93,51 @@ class Platform:
             df = materialize_table(spark, getattr(self, name), name)
             self.__dict__[name] = df
         return self
+
+
+class Medallion:
+    """Batch silver and gold tables over raw tables (the medallion graph):
+    silver = projection + expectations, gold = the pipeline's own marts.
+    The streaming form is :mod:`martlet.streaming.medallion`."""
+
+    def __init__(self, raw, high=marts.DEFAULT_HIGH, mid=marts.DEFAULT_MID):
+        self.raw = raw
+        self.high = high
+        self.mid = mid
+
+    @classmethod
+    def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Medallion":
+        return cls(load_raw(spark, sf_dir), high=DRIVER_HIGH, mid=DRIVER_MID)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return staging.silver_customers(self.raw.customers)
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return staging.silver_orders(self.raw.orders)
+
+    @cached_property
+    def order_items(self) -> DataFrame:
+        return staging.silver_order_items(self.raw.order_items)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return staging.silver_products(self.raw.products)
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        return staging.silver_payments(self.raw.payments)
+
+    @cached_property
+    def gold_fct_orders(self) -> DataFrame:
+        return marts.gold_fct_orders(self.orders, self.order_items, self.payments)
+
+    @cached_property
+    def gold_dim_customers(self) -> DataFrame:
+        return marts.gold_dim_customers(self.customers, self.orders, self.payments,
+                                        self.high, self.mid)
+
+    @cached_property
+    def gold_fct_revenue(self) -> DataFrame:
+        return marts.gold_fct_revenue(self.gold_fct_orders)
