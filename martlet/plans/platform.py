@@ -84,6 +84,16 @@ class Platform:
             "stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_payments",
             "dim_customers", "dim_products", "fct_orders")}
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose the models as temp views (``<prefix>fct_orders`` ...) so
+        SQL written against the marts (dashboards, ad-hoc questions) runs
+        through ``spark.sql`` on the same lazy plans."""
+        names = []
+        for name, df in self.models().items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def materialize(self, spark: SparkSession, names=("fct_orders", "dim_customers",
                                                        "dim_products")) -> "Platform":
         """Write the named marts once (shared folder) and serve them from

@@ -162,3 +162,22 @@ def test_medallion_variants_trap_t14(spark):
     assert sql_c["US"]["active_customers"] == 1 and py_c["US"]["active_customers"] == 3
     assert sql_c["US"]["revenue_per_customer"] == D("670.00")
     assert py_c["US"]["revenue_per_customer"] == D("223.33")
+
+
+def test_sql_over_registered_views(spark, p):
+    p.register_views(prefix="seed_")
+    row = spark.sql("""
+        SELECT SUM(CASE WHEN status = 'completed' THEN amount_paid ELSE 0 END) AS total_revenue,
+               COUNT(DISTINCT order_id) AS total_orders,
+               COUNT(DISTINCT CASE WHEN status = 'completed' THEN order_id END) AS completed_orders
+        FROM seed_fct_orders""").collect()[0]
+    kpi = Q.kpi_summary(p.fct_orders).collect()[0]
+    assert (row.total_revenue, row.total_orders, row.completed_orders) == \
+        (kpi.total_revenue, kpi.total_orders, kpi.completed_orders)
+    seg = {r.customer_segment: r.revenue for r in spark.sql("""
+        SELECT c.customer_segment,
+               SUM(CASE WHEN o.status = 'completed' THEN o.amount_paid ELSE 0 END) AS revenue
+        FROM seed_dim_customers c LEFT JOIN seed_fct_orders o ON c.customer_id = o.customer_id
+        GROUP BY c.customer_segment""").collect()}
+    ours = {r.customer_segment: r.revenue for r in Q.revenue_by_segment(p.dim_customers, p.fct_orders).collect()}
+    assert seg == ours
