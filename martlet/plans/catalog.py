@@ -36,6 +36,7 @@ def register(name: str):
             return to_edge(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
+        run.__wrapped__ = fn
         REGISTRY[name] = run
         return fn
     return deco
