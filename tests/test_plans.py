@@ -39,3 +39,25 @@ def test_gaps_window_is_not_per_customer_only(spark, smoke_dir):
     plan = plan_of(spark, smoke_dir, "order_gaps")
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert windows and all("_pid" in w for w in windows if "lag(" in w)
+
+
+def test_co_bucketed_marts_need_no_shuffle(spark, smoke_dir, tmp_path):
+    from martlet.operators import consumers
+    from martlet.plans import build
+    from martlet.plans.platform import Platform
+
+    build.build_marts(spark, Platform.from_driver(spark, smoke_dir), base=str(tmp_path / "b"),
+                      customer_buckets=4, run_tests=False)
+    tables = {t.name.rsplit("_", 2)[-2] + "_" + t.name.rsplit("_", 2)[-1]: t.name
+              for t in spark.catalog.listTables() if t.name.startswith("martlet_")}
+    fct, dim = spark.table(tables["fct_orders"]), spark.table(tables["dim_customers"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = consumers.mart_customer_segments(dim, fct, "2001-08-01")
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert df.count() == dim.count()
