@@ -26,6 +26,7 @@ The mapping (fixed values chosen for the test data, stated together here):
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,8 +56,32 @@ class RawTables:
         }
 
 
+# Session-level scan cache: one DataFrame (one file listing + footer read)
+# per driver table and session, like registering the source tables once.  A
+# local path is re-listed when its files change; other paths are not cached.
+_SCANS: dict = {}
+
+
+def _signature(path: str):
+    if not os.path.exists(path):
+        return None
+    entries = [path] if os.path.isfile(path) else [
+        os.path.join(root, f) for root, _, files in os.walk(path) for f in files]
+    return tuple(sorted((e, os.stat(e).st_mtime_ns, os.stat(e).st_size) for e in entries))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    sig = _signature(path) if "://" not in path or path.startswith("file:") else None
+    if sig is None:
+        return spark.read.parquet(path)
+    key = (id(spark), path)
+    hit = _SCANS.get(key)
+    if hit is not None and hit[0] == sig and hit[1].sparkSession is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _SCANS[key] = (sig, df)
+    return df
 
 
 def _reader(spark: SparkSession, sf_dir: str):
