@@ -15,6 +15,8 @@ Folders live under ``base`` (default: a fresh folder under the shared
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
@@ -37,6 +39,15 @@ def _write(spark: SparkSession, df: DataFrame, base: str, name: str, out: dict)
     return read
 
 
+def _concurrently(tasks: dict, max_workers: int = 4) -> dict:
+    """Run independent table builds as concurrent Spark jobs (driver threads
+    only submit; the work is distributed by Spark).  Re-raises the first
+    failure."""
+    with ThreadPoolExecutor(max_workers=max_workers) as pool:
+        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def _write_bucketed(spark: SparkSession, df: DataFrame, base: str, name: str, out: dict,
                     buckets: int, key: str) -> DataFrame:
     """Write ``df`` as an external table bucketed (and sorted) by ``key``.
@@ -71,18 +82,24 @@ def build_medallion(spark: SparkSession, raw: RawTables, base: str | None = None
     bronze_src = {"customers": raw.customers, "orders": raw.orders,
                   "order_items": raw.order_items, "products": raw.products,
                   "payments": raw.payments}
-    silver, observations = {}, {}
-    for entity in ENTITIES:
+    observations = {e: Observation(f"silver_{e}") for e in ENTITIES}
+
+    def bronze_then_silver(entity):
         bronze = _write(spark, bronze_src[entity], base, f"bronze_{entity}", out)
-        observations[entity] = Observation(f"silver_{entity}")
-        silver[entity] = _write(spark, staging.silver(entity, bronze, observations[entity]),
-                                base, f"silver_{entity}", out)
+        return _write(spark, staging.silver(entity, bronze, observations[entity]),
+                      base, f"silver_{entity}", out)
+
+    # the five bronze -> silver chains are independent Spark jobs
+    silver = _concurrently({e: (lambda e=e: bronze_then_silver(e)) for e in ENTITIES})
     fct = _write(spark, marts.gold_fct_orders(silver["orders"], silver["order_items"],
                                               silver["payments"]), base, "gold_fct_orders", out)
-    _write(spark, marts.gold_dim_customers(silver["customers"], silver["orders"],
-                                           silver["payments"], high, mid),
-           base, "gold_dim_customers", out)
-    _write(spark, marts.gold_fct_revenue(fct), base, "gold_fct_revenue", out)
+    _concurrently({
+        "gold_dim_customers": lambda: _write(spark, marts.gold_dim_customers(
+            silver["customers"], silver["orders"], silver["payments"], high, mid),
+            base, "gold_dim_customers", out),
+        "gold_fct_revenue": lambda: _write(spark, marts.gold_fct_revenue(fct), base,
+                                           "gold_fct_revenue", out),
+    })
     out["expectations"] = {e: dict(o.get) for e, o in observations.items()}
     return out
 
@@ -118,16 +135,18 @@ def build_marts(spark: SparkSession, platform: Platform, base: str | None = None
         fct = _write(spark, governed("fct_orders"), base, "fct_orders", out)
         dim = _write(spark, governed("dim_customers"), base, "dim_customers", out)
     prod = _write(spark, governed("dim_products"), base, "dim_products", out)
-    _write(spark, consumers.mart_customer_segments(dim, fct, as_of), base,
-           "mart_customer_segments", out)
-    _write(spark, consumers.mart_country_performance(dim, fct), base, "mart_country_performance", out)
-    _write(spark, consumers.fct_revenue(fct), base, "fct_revenue", out)
-    _write(spark, consumers.fct_revenue_by_product(fct, prod), base, "fct_revenue_by_product", out)
-    _write(spark, features.rfm_scores(dim, fct, as_of), base, "rfm_customer_features", out)
-    _write(spark, features.customer_churn_features(dim, fct, as_of), base,
-           "customer_churn_features", out)
-    _write(spark, features.payment_method_affinity_pairs(fct), base,
-           "payment_method_affinity_pairs", out)
+    # consumers and features only read the written marts: independent jobs
+    consumer_tables = {
+        "mart_customer_segments": lambda: consumers.mart_customer_segments(dim, fct, as_of),
+        "mart_country_performance": lambda: consumers.mart_country_performance(dim, fct),
+        "fct_revenue": lambda: consumers.fct_revenue(fct),
+        "fct_revenue_by_product": lambda: consumers.fct_revenue_by_product(fct, prod),
+        "rfm_customer_features": lambda: features.rfm_scores(dim, fct, as_of),
+        "customer_churn_features": lambda: features.customer_churn_features(dim, fct, as_of),
+        "payment_method_affinity_pairs": lambda: features.payment_method_affinity_pairs(fct),
+    }
+    _concurrently({name: (lambda name=name, make=make: _write(spark, make(), base, name, out))
+                   for name, make in consumer_tables.items()})
     if run_tests:
         models = {name: spark.read.parquet(path) for name, path in out.items()}
         models.update({name: getattr(platform, name) for name in
