@@ -126,11 +126,14 @@ def lag_by_group(df: DataFrame, group: str, order: list[str], value: str,
         "_pid",
         F.lag("_last").over(Window.orderBy("_pid")).alias("_prev"))
     border = border.select("_pid", F.col(f"_prev.{group}").alias("_prev_group"),
-                           F.col("_prev._val").alias("_prev_val"))
+                           F.col("_prev._val").alias("_prev_val"),
+                           F.col("_prev").isNotNull().alias("_prev_pid"))
     j = local.join(F.broadcast(border), "_pid", "left")
-    fill = F.when(F.col("_first") & (F.col("_prev_group") == F.col(group)), F.col("_prev_val"))
-    return (j.withColumn(out, F.coalesce(F.col(out), fill))
-            .drop("_pid", "_first", "_prev_group", "_prev_val"))
+    # null-safe: rows with a NULL group form one group, as in a plain window
+    same_group = F.col("_prev_group").eqNullSafe(F.col(group)) & F.col("_prev_pid").isNotNull()
+    fill = F.when(F.col("_first") & same_group, F.col("_prev_val"))
+    return (j.withColumn(out, F.when(F.col("_first"), fill).otherwise(F.col(out)))
+            .drop("_pid", "_first", "_prev_group", "_prev_val", "_prev_pid"))
 
 
 def bounded_cuts(values: Column, cuts: list[Column], ascending_scores=True) -> Column:

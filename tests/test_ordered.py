@@ -84,3 +84,14 @@ def test_order_gaps_with_a_hot_customer(spark, smoke_dir):
     assert want.select(cols).exceptAll(got.select(cols)).count() == 0
     hot_row = got.filter("customer_id = -1").collect()[0]
     assert hot_row.max_gap_days is not None
+
+
+def test_lag_by_group_null_keys_and_values(spark):
+    rows = [(None if i % 5 == 0 else i % 4, None if i % 7 == 0 else i % 30, i,
+             None if i % 11 == 0 else i * 2) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, t int, k int, v int")
+    got = lag_by_group(df, "g", ["t", "k"], "v", out="prev")
+    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("g").orderBy("t", "k")))
+    cols = ["g", "t", "k", "v", "prev"]
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert want.select(cols).exceptAll(got.select(cols)).count() == 0
