@@ -603,6 +603,24 @@ def _silver_sink(spark, sf_dir, entity):
     return paths.sink
 
 
+# The stream fixture's rules (FIXTURES §5).
+EVENT_RULES = [quality.Expectation("no_error_events", "event_type <> 'error'", "drop"),
+               quality.Expectation("value_cap", "value <= 200", "warn")]
+
+
+@register("silver_stream_events")
+def _sse(spark, sf_dir):
+    """``events`` as an append-only source: the silver stream operator with a
+    drop rule and a warn rule, drained with availableNow and read back."""
+    events = adapter.read_table(spark, sf_dir, "events")
+    source = _landing(spark, events, "events")
+    paths = medallion.stream_paths(spark, "silver-events", source)
+    stream = spark.readStream.schema(events.schema).format("parquet").load(source)
+    kept = quality.apply_expectations(stream, EVENT_RULES, observation="events_expectations")
+    medallion.await_streams([medallion.start_stream(kept, paths, "silver_events")])
+    return medallion.read_sink(spark, paths.sink)
+
+
 @register("silver_stream")
 def _ss(spark, sf_dir):
     return medallion.read_sink(spark, _silver_sink(spark, sf_dir, "orders"))

@@ -60,6 +60,11 @@ def await_streams(queries: list, timeout_s: float | None = 600) -> list:
     return queries
 
 
+def start_stream(df: DataFrame, paths: StreamPaths, name: str, trigger: dict | None = None):
+    """Start any streaming DataFrame into a parquet sink with a checkpoint."""
+    return _start_available_now(df, paths, name, trigger)
+
+
 def _run_available_now(df: DataFrame, paths: StreamPaths, name: str, timeout_s: float | None):
     return await_streams([_start_available_now(df, paths, name)], timeout_s)[0]
 
