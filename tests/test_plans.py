@@ -61,3 +61,20 @@ def test_co_bucketed_marts_need_no_shuffle(spark, smoke_dir, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
     assert df.count() == dim.count()
+
+
+SIDE_EFFECT_KEYS = {"bronze_stream", "silver_stream", "silver_stream_events", "gold_refresh",
+                    "append_batch", "scan_source", "bronze_copy", "create_typed_table",
+                    "materialize_table"}
+
+
+def test_no_registered_plan_has_expand_or_cartesian(spark, smoke_dir):
+    bad = {}
+    for name, fn in entry.queries().items():
+        if name in SIDE_EFFECT_KEYS:
+            continue
+        plan = fn(spark, smoke_dir)._jdf.queryExecution().executedPlan().toString()
+        found = [op for op in ("Expand", "CartesianProduct") if op in plan]
+        if found:
+            bad[name] = found
+    assert bad == {}
