@@ -121,3 +121,13 @@ def test_processing_time_trigger_picks_up_new_files(spark, smoke_dir):
     finally:
         q.stop()
     assert spark.read.parquet(paths.sink).count() == orders.count()
+
+
+def test_cli_build(spark, smoke_dir, tmp_path):
+    from martlet.__main__ import main
+
+    result = main(["build", "--source", smoke_dir, "--out", str(tmp_path / "job"),
+                   "--buckets", "4"], spark=spark)
+    assert len(result["medallion"]) == 13 and "fct_orders" in result["marts"]
+    assert result["quality"]["fail"] >= 1          # the known non-unique order_item_id
+    assert set(result["expectations"]) == {"customers", "orders", "order_items", "products", "payments"}
