@@ -119,7 +119,8 @@ for _name in ("stg_customers", "stg_orders", "stg_order_items", "stg_products",
     register(_name)(lambda spark, sf_dir, _n=_name: getattr(P(spark, sf_dir), _n))
 
 for _entity in ("customers", "orders", "order_items", "products", "payments"):
-    register(f"silver_{_entity}")(lambda spark, sf_dir, _e=_entity: getattr(Medallion.from_driver(spark, sf_dir), _e))
+    register(f"silver_{_entity}")(
+        lambda spark, sf_dir, _e=_entity: getattr(Medallion.from_driver(spark, sf_dir), _e))
 
 
 # ---------------------------------------------------------------------- marts
