@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from scripts.oracle_check import TABLES, rows_of
+from scripts.oracle_check import TABLES, rows_of, type_mismatches
 
 
 @pytest.fixture(scope="module")
@@ -29,9 +29,10 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle(spark, duck, smoke_dir, name):
     df = entry.queries()[name](spark, smoke_dir)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.execute(entry.oracle_sql()[name])
-    d_cols, d_rows = [c[0] for c in res.description], res.fetchall()
+    rel = duck.sql(entry.oracle_sql()[name])
+    d_cols, d_types, d_rows = rel.columns, rel.types, rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    assert type_mismatches(df.schema, d_cols, d_types) == {}
     assert len(s_rows) == len(d_rows)
     assert rows_of(s_rows, s_cols) == rows_of(d_rows, d_cols)
 
