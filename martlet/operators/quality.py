@@ -204,9 +204,9 @@ REPORT_COLUMNS = ["model", "test", "column_name", "severity", "failures", "statu
 def _row_tests_pass(model: str, df: DataFrame, tests: list[ColumnTest]) -> DataFrame | None:
     """not_null / accepted_values / expression tests in ONE aggregate pass.
 
-    accepted_values counts distinct failing values (one failing row per value
-    in the dbt convention); that distinct count is bounded by the column's
-    domain and runs as a second, distinct-aggregate phase of the same job.
+    accepted_values counts distinct failing values (the test reports one row
+    per failing value); that distinct count is bounded by the column's domain
+    and runs as a second, distinct-aggregate phase of the same job.
     """
     exprs, meta = [], []
     for i, t in enumerate(tests):
