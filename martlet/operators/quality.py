@@ -157,7 +157,7 @@ def _uq(c):
     return ColumnTest("unique", c)
 
 
-# Declared tests of the governed models (50 column tests + 1 custom).
+# Declared tests of the governed models (50 column tests + 1 custom).
 MODEL_TESTS: dict[str, list[ColumnTest]] = {
     "stg_customers": [_nn("customer_id"), _uq("customer_id"), _nn("email"), _nn("created_date")],
     "stg_orders": [_nn("order_id"), _uq("order_id"), _nn("customer_id"),

@@ -58,7 +58,7 @@ def stg_payments(raw_payments: DataFrame) -> DataFrame:
     )
 
 
-# Silver expectations: (name, predicate, action) as declared by the pipeline.
+# Silver expectations (name, predicate, action) as declared.
 SILVER_RULES = {
     "customers": [Expectation("valid_email", "email IS NOT NULL", "warn"),
                   Expectation("valid_customer_id", "customer_id IS NOT NULL", "drop")],
