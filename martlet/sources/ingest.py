@@ -89,8 +89,25 @@ def append_batch(batch: DataFrame, path: str, fmt: str = "parquet",
                  stamp_column: str = "_loaded_at") -> None:
     """Append rows stamped with the load time: one ``localtimestamp`` per
     query (the whole batch shares one stamp), TIMESTAMP_NTZ like the raw
-    tables' ``_loaded_at`` so appended files keep one column type."""
-    batch.withColumn(stamp_column, F.localtimestamp()).write.mode("append").format(fmt).save(path)
+    tables' ``_loaded_at``.
+
+    When the table exists, the batch is cast to its schema (by name; a
+    missing or extra column fails), so every file of the table carries the
+    same physical types — mixed INT32/INT64 files would make later reads fail.
+    """
+    stamped = batch.withColumn(stamp_column, F.localtimestamp())
+    spark = batch.sparkSession
+    try:
+        target = spark.read.format(fmt).load(path).schema
+    except Exception:  # noqa: BLE001 - no table yet: the batch defines it
+        target = None
+    if target is not None:
+        have, want = set(stamped.columns), [f.name for f in target.fields]
+        if have != set(want):
+            raise ValueError(f"batch columns {sorted(have)} do not match table {sorted(want)}")
+        stamped = stamped.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+                                   for f in target.fields])
+    stamped.write.mode("append").format(fmt).save(path)
 
 
 def next_surrogate_keys(existing: DataFrame, new_rows: DataFrame, key: str,
@@ -119,7 +136,9 @@ def next_surrogate_keys(existing: DataFrame, new_rows: DataFrame, key: str,
         .select("_pid", (F.col("_base") + F.col("_offset")).alias("_start")))
     keyed = tagged.join(F.broadcast(offsets), "_pid")
     cols = [c for c in new_rows.columns if c != new_key]
-    return keyed.select((F.col("_start") + F.col("_pos") + 1).alias(new_key), *cols)
+    # keep the key's own type (an INT key stays INT; ANSI raises on overflow)
+    key_type = existing.schema[key].dataType
+    return keyed.select((F.col("_start") + F.col("_pos") + 1).cast(key_type).alias(new_key), *cols)
 
 
 def load_audit(tables: dict[str, DataFrame], stamp_column: str = "_loaded_at") -> DataFrame:

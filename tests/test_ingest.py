@@ -70,3 +70,14 @@ def test_metric_grains(spark):
     days = filled.collect()
     assert len(days) == (dt.date(2026, 3, 25) - dt.date(2025, 6, 1)).days + 1
     assert sum(r.total_recognised_revenue for r in days) == D("670.00")
+
+
+def test_append_casts_batch_to_table_types(spark, tmp_path):
+    raw = seed_raw(spark)
+    path = str(tmp_path / "orders")
+    ingest.write_table(raw.orders, path)
+    wide = raw.orders.drop("_loaded_at").withColumn("order_id", F.col("order_id").cast("bigint") + 1000)
+    ingest.append_batch(wide, path)
+    for f in spark.read.parquet(path).schema.fields:
+        assert f.dataType == raw.orders.schema[f.name].dataType
+    assert spark.read.parquet(path).count() == 2 * len(ORDERS)
