@@ -140,7 +140,7 @@ def oph_signatures(h: np.ndarray, own: np.ndarray, n: int, k: int) -> np.ndarray
     step = 0
     while len(row):  # optimal densification: each empty bin asks its own sequence of bins
         if step < 4 * k:
-            ask = (mix64(col.astype(np.uint64) * _U(0x9E3779B1) + _U(step + 1) * _U(0xC2B2AE3D27D4EB4F))
+            ask = (mix64(col.astype(np.uint64) * _U(0x9E3779B1) + _U((step + 1) * 0xC2B2AE3D27D4EB4F & 0xFFFFFFFFFFFFFFFF))
                    % _U(k)).astype(np.int64)
         else:
             ask = (col + step) % k

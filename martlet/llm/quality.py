@@ -49,7 +49,7 @@ def _without(text: Column, chars: str) -> Column:
 
 def _repeat_words(hashes: Column) -> Column:
     """Words that lie in a 3-word window which the text holds twice or more."""
-    everything = F.lit(2**31 - 1)
+    everything = F.lit(1 << 30)
     pairs = F.zip_with(hashes, F.slice(hashes, F.lit(2), everything), lambda a, b: F.xxhash64(a, b))
     windows = F.zip_with(pairs, F.slice(hashes, F.lit(3), everything), lambda a, b: F.xxhash64(a, b))
     return F.slice(windows, F.lit(1), F.greatest(F.size(hashes) - 2, F.lit(0)))
@@ -57,7 +57,7 @@ def _repeat_words(hashes: Column) -> Column:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus the measurements that the rules use."""
-    everything = F.lit(2**31 - 1)
+    everything = F.lit(1 << 30)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(ASCII_SPACE)) != "")

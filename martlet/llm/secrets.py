@@ -166,4 +166,4 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
                         F.when(r.s >= s.at, F.concat(s.out, fresh)).otherwise(s.out).alias("out"))
 
     done = F.aggregate(spans, state, step)
-    return F.concat(F.concat_ws("", done["out"]), F.substring(t, done["at"] + 1, F.lit(2**31 - 1)))
+    return F.concat(F.concat_ws("", done["out"]), F.substring(t, done["at"] + 1, F.lit(1 << 30)))
