@@ -25,6 +25,17 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a written table up to which a join broadcasts it (some tens of MB
+#: in memory); a longer table is joined by a shuffle.
+BROADCAST_ROWS = 1 << 18
+
+
+def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``table`` (written, so its count reads footers only), marked for
+    broadcast when its measured row count allows it."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser (a bijection on 64-bit values)."""
     x = x ^ (x >> np.uint64(30))

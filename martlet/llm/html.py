@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import sized, store
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -258,5 +258,5 @@ def extract(pages: DataFrame) -> DataFrame:
     winners = store(host_paths(pages), "html-paths")
     row = F.struct(*[F.col(f"`{c}`") for c in pages.columns])
     keyed = pages.select(row.alias("row"), host_of(F.col("url")).alias("host"))
-    joined = keyed.join(winners.select("host", "path"), "host", "left")
+    joined = keyed.join(sized(winners.select("host", "path")), "host", "left")
     return joined.select("row.*", again(F.col("row.html"), F.col("path")).alias("main_text"))

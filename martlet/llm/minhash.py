@@ -5,9 +5,9 @@ the least hash of each of ``BANDS * ROWS`` bins is kept, and an empty bin takes
 the value of a full one chosen by a shared hash sequence.  Bands of the
 signature name buckets.  In every bucket one centre is compared with all others
 (star edges), on the full shingle sets; buckets that still hold more than one
-component get another centre in the next round, first the member with most
-links, then a hashed one, until a round of at least ``MIN_ROUNDS`` adds no link.
-So a bucket of m members costs m - 1 pairs a round, never m * m.
+component get up to ``CENTRES`` others in the next round (the member with most
+links, and some by hashes of their own per bucket), until a round adds no link.
+So a bucket of m members costs at most CENTRES * m pairs a round, never m * m.
 
 Documents with one shingle set (copies) are one node from the start.
 
@@ -26,11 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, mix64, store
+from .common import connected_components, mix64, sized, store
 
-BANDS, ROWS, MIN_ROUNDS = 40, 6, 3
+BANDS, ROWS = 40, 6
+#: Centres per unresolved bucket in the rounds after the first.
+CENTRES = 12
 #: Bytes hashed at once: bounds the numpy arrays of a task (about 60 x this).
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
@@ -231,7 +233,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     comp = connected_components(links)
     classes = store(nodes.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("id"), "left")
                     .select("k1", "k2", F.coalesce("component", "rep").alias("component")), "mh-classes")
-    out = signed.drop("bands").join(classes, ["k1", "k2"], "left").select(
+    out = signed.drop("bands").join(sized(classes), ["k1", "k2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -241,7 +243,7 @@ def _links(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
     centre = store(members.groupBy("bucket")
                    .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("rep"), "rep")).alias("c"))
                    .where("m > 1").select("bucket", F.col("c.rep").alias("centre")), "mh-centres")
-    star = store(members.join(centre, "bucket").select("bucket", "rep", "centre"), "mh-star")
+    star = store(members.join(sized(centre), "bucket").select("bucket", "rep", "centre"), "mh-star")
     todo = star.where("rep <> centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
     tested, links, done = None, None, 0
     while True:
@@ -251,32 +253,33 @@ def _links(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
         pairs = store(pairs, "mh-pairs")
         found = store(_confirm(src, pairs, width, percent), "mh-links")
         done += 1
-        new = not found.isEmpty()
         links = found if links is None else links.union(found)
-        if done >= MIN_ROUNDS and not new or pairs.isEmpty():
+        if done > 1 and found.isEmpty():
             return links
         tested = pairs if tested is None else tested.union(pairs)
-        if new or done == 1:
-            comp = connected_components(links)
-            degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
-                      .agg(F.count(F.lit(1)).alias("degree")))
-            label = store(degree.join(comp.withColumnRenamed("id", "rep"), "rep"), "mh-labels")
-        known = star.select("bucket", "rep").join(label, "rep", "left").select(
+        degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
+                  .agg(F.count(F.lit(1)).alias("degree")))
+        label = sized(store(degree.join(connected_components(links).withColumnRenamed("id", "rep"), "rep"), "mh-labels"))
+        # centres of the next round: the member with most links, and some by a
+        # hash of their own for each bucket and round
+        known = store(star.select("bucket", "rep").join(label, "rep", "left").select(
             "bucket", "rep", F.coalesce("component", "rep").alias("component"),
-            (F.coalesce("degree", F.lit(0)) if done == 1 else F.lit(0)).alias("degree"))
-        known = store(known, "mh-known")
+            F.coalesce("degree", F.lit(0)).alias("degree")), "mh-known")
+        orders = ["degree", *(F.xxhash64(F.lit(done * CENTRES + i), "bucket", "rep") for i in range(1, CENTRES))]
         again = store(known.groupBy("bucket").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.max(F.struct("degree", F.xxhash64(F.lit(done), "rep"), "rep", "component")).alias("c"))
-            .where("lo <> hi").select("bucket", F.col("c.rep").alias("centre"), F.col("c.component").alias("own")),
-            "mh-again")
-        todo = (known.join(again, "bucket").where("component <> own")
+            F.array(*[F.max(F.struct(F.col(o).alias("o") if isinstance(o, str) else o.alias("o"), "rep", "component"))
+                      for o in orders]).alias("cs"))
+            .where("lo <> hi").select("bucket", F.explode(F.array_distinct(F.transform(
+                "cs", lambda c: F.struct(c.rep.alias("centre"), c.component.alias("own"))))).alias("c"))
+            .select("bucket", "c.centre", "c.own"), "mh-again")
+        todo = (known.join(sized(again), "bucket").where("component <> own")
                 .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")))
 
 
 def _confirm(src: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = sized(store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "mh-ids"))
     sets = store(src.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
                  .dropDuplicates(["id"]).mapInArrow(_sets(width), "id long, sh binary"), "mh-sets")
     return (pairs.join(sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
