@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, mix64, sized, store
+from .common import ASCII_SPACE, BROADCAST_ROWS, mix64, store
 
 KEYS_PER_SHARD = 4096
 #: Probes per group; hot shards (more probes than this) are at most 2**18.
@@ -167,7 +167,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_cha
     drops = frequent_lines(docs, line_index(docs, text, min_chars), text, min_docs, min_chars)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                         F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), F.col(text)).alias("t2"))
-    joined = keyed.join(sized(drops), ["t1", "t2"], "left")
+    held = drops.agg(F.sum(F.size("drops") + 2)).first()[0] or 0
+    joined = keyed.join(F.broadcast(drops) if held <= BROADCAST_ROWS else drops, ["t1", "t2"], "left")
     lines = split_lines(F.col("row")[text])
     kept = F.when(F.col("drops").isNull(), lines).otherwise(F.filter(
         lines, lambda x: (F.char_length(line_key(x)) < min_chars)
