@@ -5,8 +5,8 @@ the least hash of each of ``BANDS * ROWS`` bins is kept, and an empty bin takes
 the value of a full one chosen by a shared hash sequence.  Bands of the
 signature name buckets.  In every bucket one centre is compared with all others
 (star edges), on the full shingle sets; buckets that still hold more than one
-component get up to ``CENTRES`` others in the next round (the member with most
-links, and some by hashes of their own per bucket), until a round adds no link.
+component get up to ``CENTRES`` others in the next round, until a round adds no
+link.
 So a bucket of m members costs at most CENTRES * m pairs a round, never m * m.
 
 Documents with one shingle set (copies) are one node from the start.
@@ -30,7 +30,7 @@ from .common import connected_components, mix64, sized, store
 
 BANDS, ROWS = 40, 6
 #: Centres per unresolved bucket in the rounds after the first.
-CENTRES = 12
+CENTRES = 4
 #: Bytes hashed at once: bounds the numpy arrays of a task (about 60 x this).
 SEGMENT = 1 << 20
 
@@ -259,19 +259,22 @@ def _links(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFr
         tested = pairs if tested is None else tested.union(pairs)
         degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
                   .agg(F.count(F.lit(1)).alias("degree")))
-        label = sized(store(degree.join(connected_components(links).withColumnRenamed("id", "rep"), "rep"), "mh-labels"))
-        # centres of the next round: the member with most links, and some by a
-        # hash of their own for each bucket and round
+        comp = connected_components(links)
+        sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+        label = sized(store(degree.join(comp.withColumnRenamed("id", "rep"), "rep").join(sizes, "component"), "mh-labels"))
+        # centres of the next round: the member with most links, some hashed ones
+        # of the largest component (the bucket's rest is compared with them), and
+        # a hashed one of the whole bucket; hashes differ by bucket and round
         known = store(star.select("bucket", "rep").join(label, "rep", "left").select(
             "bucket", "rep", F.coalesce("component", "rep").alias("component"),
-            F.coalesce("degree", F.lit(0)).alias("degree")), "mh-known")
-        orders = ["degree", *(F.xxhash64(F.lit(done * CENTRES + i), "bucket", "rep") for i in range(1, CENTRES))]
+            F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("size", F.lit(1)).alias("size")), "mh-known")
+        hashed = [F.xxhash64(F.lit(done * CENTRES + i), "bucket", "rep") for i in range(CENTRES - 1)]
+        orders = [F.struct("degree"), F.struct(hashed[0]), *(F.struct("size", h) for h in hashed[1:])]
         again = store(known.groupBy("bucket").agg(
             F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.array(*[F.max(F.struct(F.col(o).alias("o") if isinstance(o, str) else o.alias("o"), "rep", "component"))
-                      for o in orders]).alias("cs"))
-            .where("lo <> hi").select("bucket", F.explode(F.array_distinct(F.transform(
-                "cs", lambda c: F.struct(c.rep.alias("centre"), c.component.alias("own"))))).alias("c"))
+            F.array_distinct(F.array(*[F.max_by(F.struct(F.col("rep").alias("centre"), F.col("component").alias("own")), o)
+                                       for o in orders])).alias("cs"))
+            .where("lo <> hi").select("bucket", F.explode("cs").alias("c"))
             .select("bucket", "c.centre", "c.own"), "mh-again")
         todo = (known.join(sized(again), "bucket").where("component <> own")
                 .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")))
