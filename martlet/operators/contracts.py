@@ -7,7 +7,7 @@ of a contract is a row filter that raises inside the tasks on a violation.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,13 +16,15 @@ class ContractError(ValueError):
     pass
 
 
-def contract_cast(df: DataFrame, contract: T.StructType, enforce_not_null: bool = True) -> DataFrame:
+def contract_cast(df: DataFrame, contract: T.StructType, enforce_not_null: bool = True,
+                  primary_key: list[str] | None = None) -> DataFrame:
     """Return ``df`` in the contract's column order and types.
 
     Missing or extra columns fail at once (before any job).  Casts run in
     ANSI mode, so an overflow (e.g. a decimal(22,2) sum into decimal(18,2))
     raises instead of wrapping.  Not-null columns raise on a NULL.
-    Column docs are attached as field metadata.
+    Column docs are attached as field metadata.  With ``primary_key`` a second
+    row of a key raises (one shuffle by the key).
     """
     have = set(df.columns)
     want = [f.name for f in contract.fields]
@@ -41,6 +43,12 @@ def contract_cast(df: DataFrame, contract: T.StructType, enforce_not_null: bool
                 ok = ok & F.col(name).isNotNull()
             msg = f"contract violation: NULL in one of {required}"
             out = out.filter(F.when(ok, F.lit(True)).otherwise(F.raise_error(F.lit(msg))))
+    if primary_key:
+        msg = f"contract violation: primary key {primary_key} is not unique"
+        place = F.row_number().over(Window.partitionBy(*primary_key).orderBy(*primary_key))
+        out = (out.withColumn("_place", place)
+               .filter(F.when(F.col("_place") == 1, F.lit(True)).otherwise(F.raise_error(F.lit(msg))))
+               .drop("_place"))
     return out
 
 

@@ -221,6 +221,12 @@ def customer_churn_features(dim_customers: DataFrame, fct_orders: DataFrame, as_
 
 
 # -------------------------------------------------------------------- affinity
+def _wide(name: str, scale: int = 0):
+    """A factor whose product with another one stays a decimal: a hot
+    customer's counts multiply beyond 64 bits."""
+    return F.col(name).cast(f"decimal({17 + scale},{scale})")
+
+
 def payment_method_affinity_pairs(fct_orders: DataFrame) -> DataFrame:
     """Unordered method pairs (a < b) used by the same customer on completed
     orders: distinct customers and each side's average spend.
@@ -240,11 +246,11 @@ def payment_method_affinity_pairs(fct_orders: DataFrame) -> DataFrame:
     pairs = a.join(b, (a.customer_id == b.customer_id) & (a.method_a < b.method_b))
     g = pairs.groupBy("method_a", "method_b").agg(
         F.count_distinct(a.customer_id).alias("shared_customers"),
-        F.sum(F.col("s_a") * F.col("n_b")).alias("_sa"), F.sum(F.col("nn_a") * F.col("n_b")).alias("_ca"),
-        F.sum(F.col("s_b") * F.col("n_a")).alias("_sb"), F.sum(F.col("nn_b") * F.col("n_a")).alias("_cb"))
+        F.sum(_wide("s_a", 2) * _wide("n_b")).alias("_sa"), F.sum(_wide("nn_a") * _wide("n_b")).alias("_ca"),
+        F.sum(_wide("s_b", 2) * _wide("n_a")).alias("_sb"), F.sum(_wide("nn_b") * _wide("n_a")).alias("_cb"))
 
     def avg2(s, c):
-        return exact_ratio(s, c, 2)
+        return F.round(F.col(s).cast("decimal(38,2)") / F.nullif(F.col(c), F.lit(0)).cast("decimal(30,0)"), 2)
 
     return (g.select("method_a", "method_b", "shared_customers",
                      avg2("_sa", "_ca").alias("avg_spend_method_a"),

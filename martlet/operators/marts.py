@@ -106,8 +106,10 @@ def fct_orders(stg_orders: DataFrame, stg_order_items: DataFrame,
 
 
 def time_spine_daily(as_of=None, start="2024-01-01", end="2027-01-01",
-                     bounds: DataFrame | None = None, spark=None) -> DataFrame:
-    """Daily spine ``[start, end)`` kept where ``as_of - 5y < day < as_of + 30d``.
+                     bounds: DataFrame | None = None, spark=None,
+                     lookback_months: int | None = 60, lookahead_days: int | None = 30) -> DataFrame:
+    """Daily spine ``[start, end)`` kept where ``as_of - lookback_months < day <
+    as_of + lookahead_days``; ``None`` leaves that side untrimmed.
 
     ``bounds`` may be a one-row DataFrame with ``start``/``end`` date columns
     derived from the data (e.g. min/max order day); the spine is then exploded
@@ -121,8 +123,11 @@ def time_spine_daily(as_of=None, start="2024-01-01", end="2027-01-01",
     day = as_of_date(as_of)
     spine = bounds.select(F.explode(F.sequence(F.col("start"), F.date_sub(F.col("end"), 1),
                                                F.expr("INTERVAL 1 DAY"))).alias("date_day"))
-    return spine.filter((F.col("date_day") > F.add_months(day, -60))
-                        & (F.col("date_day") < F.date_add(day, 30)))
+    if lookback_months is not None:
+        spine = spine.filter(F.col("date_day") > F.add_months(day, -lookback_months))
+    if lookahead_days is not None:
+        spine = spine.filter(F.col("date_day") < F.date_add(day, lookahead_days))
+    return spine
 
 
 # ------------------------------------------------------------------------- gold

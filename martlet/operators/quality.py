@@ -231,7 +231,8 @@ def _row_tests_pass(model: str, df: DataFrame, tests: list[ColumnTest]) -> DataF
 
 def quality_report(models: dict[str, DataFrame],
                    tests: dict[str, list[ColumnTest]] | None = None) -> DataFrame:
-    """Run the declared tests of every model present in ``models``.
+    """Run the declared tests; a model or parent that is missing is an error
+    (pass a shorter ``tests`` for fewer models).
 
     Returns (model, test, column_name, severity, failures, status) where
     status is ``pass``, ``warn`` or ``fail`` by the test's severity.
@@ -240,7 +241,7 @@ def quality_report(models: dict[str, DataFrame],
     parts: list[DataFrame] = []
     for model, model_tests in tests.items():
         if model not in models:
-            continue
+            raise ValueError(f"the tests name a model that was not given: {model}")
         df = models[model]
         row_part = _row_tests_pass(model, df, model_tests)
         if row_part is not None:
@@ -250,7 +251,7 @@ def quality_report(models: dict[str, DataFrame],
                 failures = test_unique(df, t.column).agg(F.count(F.lit(1)).alias("failures"))
             elif t.kind == "relationships":
                 if t.parent not in models:
-                    continue
+                    raise ValueError(f"{model}.{t.column} refers to a model that was not given: {t.parent}")
                 failures = (test_relationships(df.select(t.column), t.column,
                                                models[t.parent], t.field)
                             .agg(F.count(F.lit(1)).alias("failures")))

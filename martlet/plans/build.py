@@ -15,6 +15,7 @@ Folders live under ``base`` (default: a fresh folder under the shared
 
 from __future__ import annotations
 
+import zlib
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -54,10 +55,10 @@ def _write_bucketed(spark: SparkSession, df: DataFrame, base: str, name: str, ou
 
     Two tables bucketed by the same key into the same number of buckets join
     and group by that key without any shuffle: the partitioning is in the
-    files.  The table name is unique per build folder; the data lives under
+    files.  The table name follows from the build folder; the data lives under
     ``base`` (shared storage), the catalog holds only the bucket spec."""
     path = f"{base}/{name}"
-    table = f"martlet_{abs(hash(base)) % 10**10}_{name}"
+    table = f"martlet_{zlib.crc32(base.encode()):08x}_{name}"
     (df.write.mode("overwrite").format("parquet").option("path", path)
      .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
     out[name] = path
@@ -122,8 +123,8 @@ def build_marts(spark: SparkSession, platform: Platform, base: str | None = None
     def governed(name: str) -> DataFrame:
         df = getattr(platform, name)
         if enforce_contracts:
-            make_contract, _ = CONTRACTS[name]
-            df = contract_cast(df, make_contract(id_type))
+            make_contract, key = CONTRACTS[name]
+            df = contract_cast(df, make_contract(id_type), primary_key=key)
         return df
 
     if customer_buckets:

@@ -84,7 +84,7 @@ def _next_surrogate_keys(spark, sf_dir):
     """Keys continuing after max(customer_id) for a re-load of every customer."""
     raw = adapter.raw_customers(spark, sf_dir)
     return ingest.next_surrogate_keys(raw, raw.select("customer_id", "email"), "customer_id",
-                                      new_key="new_customer_id").select("new_customer_id")
+                                      new_key="new_customer_id", order_by="customer_id")
 
 
 @register("append_batch")
@@ -93,9 +93,11 @@ def _append_batch(spark, sf_dir):
     raw = adapter.raw_customers(spark, sf_dir)
     path = scratch_path(spark, "raw_customers_appended")
     ingest.write_table(raw, path)
-    batch = ingest.next_surrogate_keys(raw, _no_stamp(raw), "customer_id")
+    batch = ingest.next_surrogate_keys(raw, _no_stamp(raw).withColumn("_old", F.col("customer_id")),
+                                       "customer_id", order_by="_old")
     ingest.append_batch(batch.select(*[c for c in raw.columns if c != "_loaded_at"]), path)
-    return spark.read.parquet(path).select("customer_id")
+    return spark.read.parquet(path).withColumn("_loaded_at", F.col("_loaded_at").isNotNull()) \
+        .withColumnRenamed("_loaded_at", "is_stamped")
 
 
 @register("materialize_table")
@@ -132,12 +134,12 @@ for _name in ("int_order_payments", "int_customer_orders", "int_order_items_enri
 def _data_spine(fct: DataFrame, as_of=AS_OF) -> DataFrame:
     bounds = fct.agg(F.min("order_date").alias("start"),
                      F.date_add(F.max("order_date"), 1).alias("end"))
-    return marts.time_spine_daily(as_of, bounds=bounds)
+    return marts.time_spine_daily(as_of, bounds=bounds, lookback_months=None, lookahead_days=None)
 
 
 @register("time_spine_daily")
 def _time_spine(spark, sf_dir):
-    """Daily spine over the order-date range of the data, trimmed at as_of."""
+    """Daily spine over the whole order-date range of the data."""
     return _data_spine(P(spark, sf_dir).fct_orders)
 
 
@@ -217,6 +219,11 @@ def _pfr(spark, sf_dir):
     return consumers.medallion_fct_revenue(Medallion.from_driver(spark, sf_dir).gold_fct_orders)
 
 
+@register("medallion_fct_revenue_py")
+def _pfr_py(spark, sf_dir):
+    return consumers.medallion_fct_revenue(Medallion.from_driver(spark, sf_dir).gold_fct_orders, "python")
+
+
 @register("medallion_revenue_by_product")
 def _prbp(spark, sf_dir):
     s = Medallion.from_driver(spark, sf_dir)
@@ -283,7 +290,7 @@ def _pmap(spark, sf_dir):
 class _Models(Mapping):
     """The metric layer's model map, building a mart only when it is used."""
 
-    names = ("fct_orders", "dim_customers", "dim_products")
+    names = ("fct_orders", "dim_customers", "dim_products", "stg_order_items")
 
     def __init__(self, platform: Platform):
         self._p = platform
@@ -344,6 +351,12 @@ def _md(spark, sf_dir):
     return M.metric_query(_models(spark, sf_dir), ["revenue_per_customer"], dims=["country"])
 
 
+@register("metric_return_rate_by_category_segment")
+def _mrc(spark, sf_dir):
+    return M.metric_query(_models(spark, sf_dir), ["return_rate", "total_orders"],
+                          dims=["category", "customer_segment"])
+
+
 @register("metric_time_spine")
 def _mts(spark, sf_dir):
     models = _models(spark, sf_dir)
@@ -357,8 +370,7 @@ def _omv(spark, sf_dir):
 
 @register("customers_metric_view")
 def _cmv(spark, sf_dir):
-    return M.query_metric_view(M.CUSTOMERS_VIEW, P(spark, sf_dir).dim_customers,
-                               dimensions=["country", "customer_segment"])
+    return M.query_metric_view(M.CUSTOMERS_VIEW, P(spark, sf_dir).dim_customers)
 
 
 @register("all_metrics")
@@ -485,10 +497,43 @@ def _pr(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- quality
+# Rows added to the full tables so that the quality keys see
+# failures.  A customer without orders, one whose completed order was never
+# paid, an orphan payment, and one row against every silver rule.
+EDGE_ROWS: dict[str, list[dict]] = {
+    "customers": [{"customer_id": -1, "email": "NONE@Example.com", "country": "x"},
+                  {"customer_id": -2, "email": "UNPAID@Example.com", "country": "x"}],
+    "orders": [{"order_id": -1, "customer_id": -2, "status": "completed", "amount": "10.00"}],
+    "payments": [{"payment_id": -1, "order_id": -9, "status": "success", "amount": "5.00"}],
+}
+BAD_ROWS: dict[str, list[dict]] = {
+    "customers": [{"customer_id": None, "email": "a@Example.com"}, {"customer_id": -3, "email": None}],
+    "orders": [{"order_id": None, "status": "placed"}, {"order_id": -2, "status": "lost"}],
+    "order_items": [{"order_item_id": None, "quantity": 1}, {"order_item_id": -1, "quantity": 0}],
+    "products": [{"product_id": None}, {"product_id": None}],
+    "payments": [{"payment_id": None, "amount": "1.00"}, {"payment_id": -2, "amount": "0.00"}],
+}
+
+
+def _plus_rows(spark, df: DataFrame, rows: list[dict]) -> DataFrame:
+    """``df`` and a few literal rows; columns not given are NULL."""
+    for row in rows:
+        one = spark.range(1).select(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in df.schema])
+        df = df.unionByName(one)
+    return df
+
+
+def _edge_platform(spark, sf_dir) -> Platform:
+    raw = adapter.load_raw(spark, sf_dir)
+    tables = {e: _plus_rows(spark, getattr(raw, e), EDGE_ROWS.get(e, []))
+              for e in ("customers", "products", "orders", "order_items", "payments", "reviews")}
+    return Platform(adapter.RawTables(**tables), as_of=AS_OF, high=HIGH, mid=MID)
+
+
 @register("test_not_null")
 def _tnn(spark, sf_dir):
     """Customers without any order have no most_recent_order_date."""
-    return quality.test_not_null(P(spark, sf_dir).dim_customers, "most_recent_order_date")
+    return quality.test_not_null(_edge_platform(spark, sf_dir).dim_customers, "most_recent_order_date")
 
 
 @register("test_unique")
@@ -505,7 +550,7 @@ def _tav(spark, sf_dir):
 
 @register("test_relationships")
 def _tr(spark, sf_dir):
-    p = P(spark, sf_dir)
+    p = _edge_platform(spark, sf_dir)
     return quality.test_relationships(p.stg_payments, "order_id", p.stg_orders, "order_id") \
         .select("payment_id", "order_id")
 
@@ -525,7 +570,7 @@ def _tb(spark, sf_dir):
 
 @register("test_positive_revenue")
 def _tpr(spark, sf_dir):
-    return quality.test_positive_revenue(P(spark, sf_dir).fct_orders)
+    return quality.test_positive_revenue(_edge_platform(spark, sf_dir).fct_orders)
 
 
 def _silver_report(spark, sf_dir, action):
@@ -536,8 +581,14 @@ def _silver_report(spark, sf_dir, action):
     for entity, rules in staging.SILVER_RULES.items():
         chosen = [r for r in rules if r.action == action]
         if chosen:
-            rows = staging.SILVER_PROJECTIONS[entity](bronze[entity])
-            parts.append(quality.expectation_report(rows, chosen)
+            rows = staging.SILVER_PROJECTIONS[entity](_plus_rows(spark, bronze[entity], BAD_ROWS[entity]))
+            # what the operator itself lets through, beside the counts of the rules
+            kept = rows
+            for r in chosen:
+                operator = quality.expect_or_drop if action == "drop" else quality.expect_warn
+                kept = operator(kept, r.name, r.predicate)
+            report = quality.expectation_report(rows, chosen).drop("kept_records")
+            parts.append(report.crossJoin(F.broadcast(kept.agg(F.count(F.lit(1)).alias("kept_records"))))
                          .select(F.lit(f"silver_{entity}").alias("table_name"), "*"))
     out = parts[0]
     for part in parts[1:]:
@@ -562,12 +613,24 @@ def _ef(spark, sf_dir):
 
 @register("quality_report")
 def _qr(spark, sf_dir):
-    return quality.quality_report(P(spark, sf_dir).models())
+    """All 51 declared tests of the 15 governed models."""
+    p = P(spark, sf_dir)
+    dim, fct, prod = p.dim_customers, p.fct_orders, p.dim_products
+    return quality.quality_report({
+        **p.models(),
+        "mart_customer_segments": consumers.mart_customer_segments(dim, fct, AS_OF),
+        "mart_country_performance": consumers.mart_country_performance(dim, fct),
+        "fct_revenue": consumers.fct_revenue(fct),
+        "fct_revenue_by_product": consumers.fct_revenue_by_product(fct, prod),
+        "rfm_customer_features": features.rfm_scores(dim, fct, AS_OF),
+        "customer_churn_features": features.customer_churn_features(dim, fct, AS_OF),
+        "payment_method_affinity_pairs": features.payment_method_affinity_pairs(fct)})
 
 
 @register("contract_cast")
 def _cc(spark, sf_dir):
-    return contracts.contract_cast(P(spark, sf_dir).fct_orders, schemas.fct_orders_contract(LongType()))
+    make, key = schemas.CONTRACTS["fct_orders"]
+    return contracts.contract_cast(P(spark, sf_dir).fct_orders, make(LongType()), primary_key=key)
 
 
 @register("source_freshness")

@@ -11,8 +11,10 @@ dimensions.  Nothing is collected; the result is a DataFrame.
 
 from __future__ import annotations
 
+import ast
 import re
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -57,7 +59,7 @@ METRICS: dict[str, Metric] = {m.name: m for m in [
     Metric("total_orders", model="fct_orders", agg="count_distinct", expr="order_id",
            label="Total Orders"),
     Metric("completed_orders", model="fct_orders", agg="count_distinct",
-           expr="CASE WHEN status = 'completed' THEN order_id END", label="Completed Orders"),
+           expr="order_id", filter="status = 'completed'", label="Completed Orders"),
     Metric("total_items_sold", model="fct_orders", agg="sum", expr="number_of_items",
            label="Total Items Sold"),
     Metric("return_flag", model="fct_orders", agg="sum",
@@ -69,6 +71,8 @@ METRICS: dict[str, Metric] = {m.name: m for m in [
            inputs=("total_recognised_revenue", "total_customers"),
            formula="total_recognised_revenue / total_customers",
            label="Revenue per Customer (USD)"),
+    Metric("unrecognised_revenue", kind="derived", inputs=("total_revenue", "total_recognised_revenue"),
+           formula="total_revenue - total_recognised_revenue", label="Unrecognised Revenue (USD)"),
 ]}
 
 # Time dimension each model aggregates on, and entity keys for joins.
@@ -148,18 +152,63 @@ def _aggregate(df: DataFrame, group_cols: list[str], parts) -> DataFrame:
     return grain.groupBy(*group_cols).agg(*level2) if group_cols else grain.agg(*level2)
 
 
+def _formula(text: str) -> Column:
+    """A derived metric's formula over the finished input metrics: names,
+    numbers, + - * / and parentheses; a quotient is exact, rounded to 4 places,
+    and NULL for a zero denominator."""
+    def build(node: ast.AST) -> Column:
+        if isinstance(node, ast.Name):
+            return F.col(node.id)
+        if isinstance(node, ast.Constant) and isinstance(node.value, (int, float)):
+            return F.lit(Decimal(str(node.value)))
+        if isinstance(node, ast.UnaryOp) and isinstance(node.op, ast.USub):
+            return -build(node.operand)
+        if isinstance(node, ast.BinOp):
+            left, right = build(node.left), build(node.right)
+            if isinstance(node.op, ast.Add):
+                return left + right
+            if isinstance(node.op, ast.Sub):
+                return left - right
+            if isinstance(node.op, ast.Mult):
+                return left * right
+            if isinstance(node.op, ast.Div):
+                counts = isinstance(node.right, ast.Name) and METRICS[node.right.id].agg in ("count", "count_distinct")
+                if counts:
+                    return exact_ratio(left, right, 4)
+                return F.round(left.cast("decimal(28,6)") / F.nullif(right.cast("decimal(28,6)"), F.lit(0)), 4)
+        raise ValueError(f"not a metric formula: {text!r}")
+
+    return build(ast.parse(text, mode="eval").body)
+
+
+def _named(where: str) -> set[str]:
+    """Words of a predicate outside quoted strings."""
+    return set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", re.sub(r"'(?:[^']|'')*'", " ", where)))
+
+
+def _product_bridge(models: dict[str, DataFrame], dims: list[str]) -> DataFrame:
+    """Order -> product dimensions, each combination of an order once: an order
+    with several lines of a category counts once in it."""
+    return (models["stg_order_items"].select("order_id", "product_id")
+            .join(models["dim_products"].select("product_id", *dims), "product_id")
+            .select("order_id", *dims).distinct())
+
+
 def _model_frame(models: dict[str, DataFrame], model: str, dims: list[str],
                  where: str | None = None) -> DataFrame:
     """The model, joined to another model's dimensions through its entity key
     when a requested dimension (or a column named in ``where``) lives there."""
     df = models[model]
+    by_product = [d for d in dims if d in MODEL_DIMENSIONS["dim_products"]]
+    if model == "fct_orders" and by_product and "stg_order_items" in models:
+        df = df.join(_product_bridge(models, by_product), "order_id")
     own = MODEL_DIMENSIONS.get(model, set()) | set(df.columns)
     foreign = [d for d in dims if d not in own and d not in ("metric_time",)]
     for (fact, dim_model), key in ENTITY_JOINS.items():
         if fact != model or dim_model not in models:
             continue
         if where:
-            named = set(re.findall(r"[A-Za-z_][A-Za-z0-9_]*", where))
+            named = _named(where)
             foreign += [c for c in models[dim_model].columns
                         if c in named and c not in own and c not in foreign]
         if foreign and all(d in models[dim_model].columns for d in foreign):
@@ -186,9 +235,10 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
     """Answer ``metrics`` grouped by ``dims`` (+ ``metric_time`` at ``grain``).
 
     ``where`` is a SQL predicate over the model's (and joined) columns.
-    Ratio metrics are num/den of two conditional aggregates; derived metrics
-    evaluate their formula over the input metrics after joining the
-    per-model aggregates on the requested dimensions.
+    It filters the models that reach all of its columns, and is an error when
+    none does.  Ratio metrics are num/den of two conditional aggregates; derived
+    metrics evaluate their formula over the finished input metrics after
+    joining the per-model aggregates on the requested dimensions.
     """
     dims = list(dims or [])
     wanted = [METRICS[m] for m in metrics]
@@ -199,14 +249,18 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
             if alias not in [a for a, _, _ in parts]:
                 parts.append((alias, simple, extra))
     group_cols = dims + (["metric_time"] if grain else [])
-    frames = []
+    frames, filtered = [], False
+    columns = {c for m in models for c in models[m].columns} if where else set()
     for model, parts in by_model.items():
         df = _model_frame(models, model, dims, where)
-        if where:
-            df = df.filter(F.expr(where))
+        # the predicate goes to the models that reach all of its columns
+        if where and (_named(where) & columns) <= set(df.columns):
+            df, filtered = df.filter(F.expr(where)), True
         if grain:
             df = df.withColumn("metric_time", F.date_trunc(grain, F.col(AGG_TIME[model])).cast("date"))
         frames.append(_aggregate(df, group_cols, parts))
+    if where and not filtered:
+        raise ValueError(f"no requested model owns the columns of {where!r}")
     if len(frames) == 1:
         out = frames[0]
     elif group_cols:
@@ -214,6 +268,9 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
     else:
         # one-row aggregates: the product of single rows is a single row
         out = reduce(lambda a, b: a.crossJoin(b), frames)
+    finished = {name for m in wanted if m.kind == "derived" for name in m.inputs if METRICS[name].kind == "ratio"}
+    for name in sorted(finished):
+        out = out.withColumn(name, exact_ratio(f"_{name}_num", f"_{name}_den", 6, "decimal(20,0)"))
     selects = list(group_cols)
     for m in wanted:
         if m.kind == "simple":
@@ -222,8 +279,7 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
             selects.append(exact_ratio(f"_{m.name}_num", f"_{m.name}_den", 6, "decimal(20,0)")
                            .alias(m.name))
         else:
-            num, den = m.inputs
-            selects.append(exact_ratio(num, den, 4).alias(m.name))
+            selects.append(_formula(m.formula).alias(m.name))
     return out.select(*selects)
 
 

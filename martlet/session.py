@@ -43,8 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime defaults above where the session leaves them unset
-    or off; never overrides an explicit cluster setting for shuffle width."""
+    """Apply the runtime defaults above where the session leaves them unset; an
+    explicit setting, also an explicit ``false``, stays."""
     for key, value in _RUNTIME_DEFAULTS.items():
         if key == "spark.sql.session.timeZone":
             # Dates in this library never depend on the session zone (the
@@ -52,7 +52,7 @@ def tune(spark: SparkSession) -> SparkSession:
             if spark.conf.get(key, None) in (None, ""):
                 spark.conf.set(key, value)
             continue
-        if spark.conf.get(key, "false") != "true":
+        if key not in spark.conf.getAll and spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
     return spark
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,8 +100,10 @@ def append_batch(batch: DataFrame, path: str, fmt: str = "parquet",
     spark = batch.sparkSession
     try:
         target = spark.read.format(fmt).load(path).schema
-    except Exception:  # noqa: BLE001 - no table yet: the batch defines it
-        target = None
+    except AnalysisException as exc:
+        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        target = None  # no table yet: the batch defines it
     if target is not None:
         have, want = set(stamped.columns), [f.name for f in target.fields]
         if have != set(want):
@@ -111,8 +114,9 @@ def append_batch(batch: DataFrame, path: str, fmt: str = "parquet",
 
 
 def next_surrogate_keys(existing: DataFrame, new_rows: DataFrame, key: str,
-                        new_key: str | None = None) -> DataFrame:
-    """Give ``new_rows`` integer keys continuing from ``max(existing.key)``.
+                        new_key: str | None = None, order_by: str | None = None) -> DataFrame:
+    """Give ``new_rows`` integer keys continuing from ``max(existing.key)``, in
+    the order of ``order_by`` when given (a range partitioning, no global sort).
 
     No global sort or single-partition ``row_number``: rows are tagged with
     their partition and in-partition position, the per-partition counts (one
@@ -122,7 +126,10 @@ def next_surrogate_keys(existing: DataFrame, new_rows: DataFrame, key: str,
     """
     new_key = new_key or key
     base = existing.agg(F.coalesce(F.max(key), F.lit(0)).cast("bigint").alias("_base"))
-    tagged = (new_rows
+    placed = new_rows
+    if order_by:
+        placed = new_rows.repartitionByRange(order_by).sortWithinPartitions(order_by)
+    tagged = (placed
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))

@@ -47,10 +47,11 @@ def _start_available_now(df: DataFrame, paths: StreamPaths, name: str,
             .start(paths.sink))
 
 
-def await_streams(queries: list, timeout_s: float | None = 600) -> list:
-    """Wait until every ``availableNow`` query has drained; raise on failure."""
+def await_streams(queries: list, timeout_s: float | None = None) -> list:
+    """Wait until every ``availableNow`` query has drained, however long that
+    takes unless ``timeout_s`` is given; raise on failure."""
     for query in queries:
-        query.awaitTermination(timeout_s)
+        query.awaitTermination(timeout_s) if timeout_s is not None else query.awaitTermination()
         if query.isActive:
             for q in queries:
                 q.stop()
@@ -65,10 +66,6 @@ def start_stream(df: DataFrame, paths: StreamPaths, name: str, trigger: dict | N
     return _start_available_now(df, paths, name, trigger)
 
 
-def _run_available_now(df: DataFrame, paths: StreamPaths, name: str, timeout_s: float | None):
-    return await_streams([_start_available_now(df, paths, name)], timeout_s)[0]
-
-
 def bronze_query(spark: SparkSession, schema: T.StructType, paths: StreamPaths,
                  name: str = "bronze", max_files_per_trigger: int | None = None,
                  trigger: dict | None = None):
@@ -88,7 +85,7 @@ def silver_query(spark: SparkSession, entity: str, bronze_schema: T.StructType,
 
 
 def bronze_stream(spark: SparkSession, schema: T.StructType, paths: StreamPaths,
-                  name: str = "bronze", timeout_s: float | None = 600,
+                  name: str = "bronze", timeout_s: float | None = None,
                   max_files_per_trigger: int | None = None):
     """Append every new file of ``paths.source`` to ``paths.sink``."""
     return await_streams([bronze_query(spark, schema, paths, name, max_files_per_trigger)],
@@ -96,7 +93,7 @@ def bronze_stream(spark: SparkSession, schema: T.StructType, paths: StreamPaths,
 
 
 def silver_stream(spark: SparkSession, entity: str, bronze_schema: T.StructType, paths: StreamPaths,
-                  timeout_s: float | None = 600):
+                  timeout_s: float | None = None):
     """Silver table ``entity`` from a bronze folder, with its expectations;
     per-batch violation counts appear in ``query.lastProgress['observedMetrics']``."""
     return await_streams([silver_query(spark, entity, bronze_schema, paths)], timeout_s)[0]
