@@ -4,7 +4,7 @@ and read again; all but the last return the columns of ``documents``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlet.llm import langid, line_dedup, minhash, packing, queries, secrets
@@ -14,12 +14,11 @@ from martlet.llm.common import read_table, store
 MIN_SCORE = 0.5
 
 
-def _with_text(docs: DataFrame, source: DataFrame, text) -> DataFrame:  # noqa: ANN001
-    """The columns of ``docs`` with a new text and its length."""
-    made = source.withColumn("_new_text", text)
+def _with_text(docs: DataFrame, made: DataFrame, row: Column, text: Column) -> DataFrame:
+    """The columns of ``docs`` from ``row``, with a new text and its length."""
     return made.select(*[
-        F.col("_new_text").alias("text") if c == "text"
-        else F.char_length("_new_text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`")
+        text.alias("text") if c == "text"
+        else F.char_length(text).cast("long").alias(c) if c == "n_chars" else row[c].alias(c)
         for c in docs.columns])
 
 
@@ -32,7 +31,9 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes lines found in ten documents or more; every document stays."""
-    return _with_text(docs, line_dedup.dedup_lines(docs), F.col("line_dedup.kept"))
+    rows = line_dedup.dedup_lines(docs)
+    whole = rows.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("line_dedup.kept").alias("new"))
+    return _with_text(docs, whole, F.col("row"), F.col("new"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,11 +45,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark; every document stays."""
-    rows = secrets.scan(docs)
-    spans = F.sort_array(F.concat("base", "added"))
-    made = rows.withColumn("spans", spans).select("row.*", "spans")
-    clean = F.when(F.size("spans") > 0, secrets.redact(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
-    return _with_text(docs, made, clean)
+    found = secrets.scan(docs).select("row", F.sort_array(F.concat("base", "added")).alias("spans"))
+    text = F.col("row")["text"]
+    clean = F.when(F.size("spans") > 0, secrets.redact(text, F.col("spans"))).otherwise(text)
+    return _with_text(docs, found.withColumn("new", clean), F.col("row"), F.col("new"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

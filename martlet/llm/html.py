@@ -10,8 +10,8 @@ there keeps its own best path.
 
 Defined cases: null or empty html gives an empty text; a page without a host
 votes for itself only; unclosed and stray tags are tolerated; rows that repeat
-vote as often as they occur; other columns stay; an empty table gives an empty
-result.
+vote as often as they occur; other columns stay (one named ``main_text`` is
+replaced); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -256,7 +256,7 @@ def extract(pages: DataFrame) -> DataFrame:
         return pd.Series([extract_page(h, p) for h, p in zip(html, path)], dtype=object)
 
     winners = store(host_paths(pages), "html-paths")
-    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "main_text"])
     keyed = pages.select(row.alias("row"), host_of(F.col("url")).alias("host"))
     joined = keyed.join(sized(winners.select("host", "path")), "host", "left")
     return joined.select("row.*", again(F.col("row.html"), F.col("path")).alias("main_text"))

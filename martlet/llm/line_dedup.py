@@ -14,7 +14,8 @@ are salted, so a line found in a third of all documents meets no single task.
 Defined cases: null or empty text is one empty line; keys shorter than
 ``min_chars`` are never dropped; every row counts as a document, also when rows
 repeat; a text whose lines all go becomes the empty string; an empty table
-gives an empty result; all other columns are carried along untouched.
+gives an empty result; all other columns are carried along untouched (one
+named ``line_dedup`` is replaced).
 """
 
 from __future__ import annotations
@@ -165,7 +166,7 @@ def frequent_lines(docs: DataFrame, index: DataFrame, text: str = "text",
 def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` plus ``line_dedup: struct<n_lines, n_dropped, kept>``."""
     drops = frequent_lines(docs, line_index(docs, text, min_chars), text, min_docs, min_chars)
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "line_dedup"]).alias("row"),
                         F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), F.col(text)).alias("t2"))
     held = drops.agg(F.sum(F.size("drops") + 2)).first()[0] or 0
     joined = keyed.join(F.broadcast(drops) if held <= BROADCAST_ROWS else drops, ["t1", "t2"], "left")

@@ -213,7 +213,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` plus ``pii: struct<text, found: array<struct<kind, new>>>``."""
     t = F.col("row")[text]
     hits = F.when(t.rlike(PATTERN), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
-    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("hits", hits)
+    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"]).alias("row")).withColumn("hits", hits)
     got = got.withColumn("typed", F.transform("hits", lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind"))))
 
     def made(x: Column) -> Column:
