@@ -82,7 +82,8 @@ def test_quality_report(spark, bad_orders):
     customers = spark.createDataFrame([(10, "a@b", dt.date(2024, 1, 1))],
                                       "customer_id int, email string, created_date date")
     rep = {(r.test, r.column_name): r for r in quality.quality_report(
-        {"stg_orders": stg, "stg_customers": customers}).filter("model = 'stg_orders'").collect()}
+        {"stg_orders": stg, "stg_customers": customers},
+        {"stg_orders": quality.MODEL_TESTS["stg_orders"]}).collect()}
     assert rep[("not_null", "order_id")].failures == 1
     assert rep[("unique", "order_id")].failures == 1
     assert rep[("accepted_values", "status")].failures == 1
@@ -90,6 +91,18 @@ def test_quality_report(spark, bad_orders):
     assert rep[("not_null", "amount")].failures == 1
     assert rep[("not_null", "customer_id")].status == "pass"
     assert rep[("not_null", "amount")].status == "fail"
+    with pytest.raises(ValueError, match="stg_order_items"):
+        quality.quality_report({"stg_orders": stg, "stg_customers": customers})
+    with pytest.raises(ValueError, match="stg_customers"):
+        quality.quality_report({"stg_orders": stg}, {"stg_orders": quality.MODEL_TESTS["stg_orders"]})
+
+
+def test_contract_rejects_a_second_row_of_a_key(spark):
+    schema = T.StructType([T.StructField("id", T.LongType(), False), T.StructField("v", T.StringType())])
+    once = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    assert contracts.contract_cast(once, schema, primary_key=["id"]).count() == 2
+    with pytest.raises(Exception, match="is not unique"):
+        contracts.contract_cast(once.union(once), schema, primary_key=["id"]).collect()
 
 
 def test_source_freshness(spark):
