@@ -36,6 +36,13 @@ def sized(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def shrink(df: DataFrame, rows: int, per_task: int = 1 << 15) -> DataFrame:
+    """``df``, which holds at most ``rows`` rows, in no more tasks than these
+    need: a round over a small table does not pay for every shuffle partition.
+    A large table keeps its partitions."""
+    return df.coalesce(max(8, -(-rows // per_task)))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser (a bijection on 64-bit values)."""
     x = x ^ (x >> np.uint64(30))
@@ -45,24 +52,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """``edges(a long, b long)`` -> ``(id, component)``, the smallest id that
-    each node can reach.  Every round takes the least label among a node's
-    neighbours (partial aggregates, so a hub costs one row per map task) and
-    then jumps to that label's own label; rounds stop when nothing changes.
-    Nothing is gathered on the driver but one count per round."""
-    e = store(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "cc-edges")
-    lab = store(e.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                .select("id", F.least("id", "m").alias("component")), "cc-labels")
+def connected_components(edges: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` ``edges(a long, b long)`` -> ``(id, component)``, the
+    smallest id that each node can reach.  Every round takes the least label
+    among a node's neighbours (partial aggregates, so a hub costs one row per
+    map task) and then jumps to that label's own label; rounds stop when nothing
+    changes.  Nothing is gathered on the driver but one count per round."""
+    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct()
+    e = store(shrink(both, 2 * rows), "cc-edges")
+    n = e.count()
+    lab = store(shrink(e.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
+                       .select("id", F.least("id", "m").alias("component")), n), "cc-labels")
     while True:
         near = (e.join(lab.withColumnRenamed("id", "b"), "b")
                 .groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m")))
-        hooked = store(lab.join(near, "id").select(
+        hooked = store(shrink(lab.join(near, "id").select(
             "id", F.col("component").alias("was"),
-            F.least("component", "m").alias("component")), "cc-hooked")
+            F.least("component", "m").alias("component")), n), "cc-hooked")
         root = hooked.select(F.col("id").alias("component"), F.col("component").alias("root"))
-        jumped = store(hooked.join(root, "component").select(
-            "id", "was", F.col("root").alias("component")), "cc-jumped")
+        jumped = store(shrink(hooked.join(root, "component").select(
+            "id", "was", F.col("root").alias("component")), n), "cc-jumped")
         lab = jumped.select("id", "component")
         if jumped.where("component <> was").isEmpty():
             return lab

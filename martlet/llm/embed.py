@@ -144,7 +144,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, block: int = BLOCK
     columns = [*key, "a", "b", "side", "rep", "n", "unit"]
     found = store(left.select(columns).union(right.select(columns)).groupBy(*key, "a", "b")
                   .applyInArrow(_join_blocks(threshold), "rep long, links long, anchor long"), "vec-links")
-    comp = connected_components(found.where("rep <> anchor").select(F.col("rep").alias("a"), F.col("anchor").alias("b")))
+    comp = connected_components(found.where("rep <> anchor").select(F.col("rep").alias("a"), F.col("anchor").alias("b")),
+                                found.count())
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = store(nodes.drop("unit").join(links, "rep", "left").join(comp.withColumnRenamed("id", "rep"), "rep", "left")
                     .select("grp", "k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),

@@ -4,10 +4,12 @@ One 64-bit hash per word shingle; the hash's place in its range names the bin,
 the least hash of each of ``BANDS * ROWS`` bins is kept, and an empty bin takes
 the value of a full one chosen by a shared hash sequence.  Bands of the
 signature name buckets.  In every bucket one centre is compared with all others
-(star edges), on the full shingle sets; buckets that still hold more than one
-component get up to ``CENTRES`` others in the next round, until a round adds no
-link.
-So a bucket of m members costs at most CENTRES * m pairs a round, never m * m.
+(star edges), on the full shingle sets.  In the second round every member of a
+bucket of up to ``SMALL`` is a centre, which settles it; larger buckets that
+still hold more than one component get up to ``CENTRES`` others a round, until a
+round adds no link.
+So a bucket of m members costs at most max(SMALL, CENTRES) * m pairs a round,
+never m * m.  Pairs whose set sizes alone rule the similarity out are left out.
 
 Documents with one shingle set (copies) are one node from the start.
 
@@ -23,14 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, mix64, sized, store
+from .common import connected_components, mix64, shrink, sized, store
 
 BANDS, ROWS = 40, 6
-#: Centres per unresolved bucket in the rounds after the first.
-CENTRES = 4
+#: Centres per unresolved bucket in the rounds after the first, and the members
+#: up to which all are centres in the second.
+CENTRES, SMALL = 4, 16
 #: Bytes hashed at once: bounds the numpy arrays of a task (about 60 x this).
 SEGMENT = 1 << 20
 
@@ -228,9 +231,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
                                   "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "mh-signed")
     # one node per shingle set
     nodes = store(signed.where("k1 is not null and doc_id is not null").groupBy("k1", "k2")
-                  .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "mh-nodes")
-    links = _links(src, nodes, width, percent)
-    comp = connected_components(links)
+                  .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "mh-nodes")
+    comp = _components(src, nodes, width, percent)
     classes = store(nodes.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("id"), "left")
                     .select("k1", "k2", F.coalesce("component", "rep").alias("component")), "mh-classes")
     out = signed.drop("bands").join(sized(classes), ["k1", "k2"], "left").select(
@@ -238,53 +240,101 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    members = nodes.select("rep", F.explode("bands").alias("bucket"))
+def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels(id, component)`` after the new links ``found(a, b)``: only the
+    components that they join are walked again, as single nodes."""
+    table = sized(labels)
+    roots = (found.join(table.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
+             .join(table.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left")
+             .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b"))
+    moved = connected_components(roots, found.count())
+    to = sized(moved).select(F.col("id").alias("component"), F.col("component").alias("to"))
+    old = labels.join(to, "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return store(old.union(moved.join(table, "id", "left_anti").select("id", "component")), "mh-components")
+
+
+def _fits(x: Column, y: Column, percent: int) -> Column:
+    """Sets of these sizes can reach the similarity."""
+    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+
+
+def _ordered(x: Column, y: Column) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _small_pairs(known: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in the buckets of at most ``SMALL``."""
+    seen = F.collect_list(F.struct("rep", "n", "component"))
+    pairs = F.flatten(F.transform("seen", lambda x: F.transform(
+        F.filter("seen", lambda y: (x.rep < y.rep) & (x.component != y.component) & _fits(x.n, y.n, percent)),
+        lambda y: F.struct(x.rep.alias("a"), y.rep.alias("b")))))
+    return (known.where(F.col("m") <= SMALL).groupBy("bucket").agg(seen.alias("seen"))
+            .select(F.explode(pairs).alias("p")).select("p.a", "p.b"))
+
+
+def _star_pairs(known: DataFrame, done: int, percent: int) -> DataFrame:
+    """The next centres of the larger buckets against the members of other
+    components: the member with most links, some hashed ones of the largest
+    component (the bucket's rest is compared with them), and a hashed one of the
+    whole bucket; hashes differ by bucket and round."""
+    large = known.where(F.col("m") > SMALL)
+    hashed = [F.xxhash64(F.lit(done * CENTRES + i), "bucket", "rep") for i in range(CENTRES - 1)]
+    orders = [F.struct("degree"), F.struct(hashed[0]), *(F.struct("size", h) for h in hashed[1:])]
+    member = F.struct(F.col("rep").alias("centre"), F.col("component").alias("own"), F.col("n").alias("cn"))
+    again = store(shrink(
+        large.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                    F.array_distinct(F.array(*[F.max_by(member, o) for o in orders])).alias("cs"))
+        .where("lo <> hi").select("bucket", F.explode("cs").alias("c")).select("bucket", "c.*"), known.count()), "mh-again")
+    return (large.join(sized(again).withColumnRenamed("bucket", "at"),
+                       (F.col("bucket") == F.col("at")) & (F.col("component") != F.col("own"))
+                       & _fits(F.col("n"), F.col("cn"), percent))
+            .select(*_ordered(F.col("rep"), F.col("centre"))))
+
+
+def _components(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(id, component)`` of the nodes that have a link."""
+    members = nodes.select("rep", "n", F.explode("bands").alias("bucket"))
     centre = store(members.groupBy("bucket")
-                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("rep"), "rep")).alias("c"))
-                   .where("m > 1").select("bucket", F.col("c.rep").alias("centre")), "mh-centres")
-    star = store(members.join(sized(centre), "bucket").select("bucket", "rep", "centre"), "mh-star")
-    todo = star.where("rep <> centre").select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b"))
-    tested, links, done = None, None, 0
+                   .agg(F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("rep"), "rep", "n")).alias("c"))
+                   .where("m > 1").select("bucket", "m", F.col("c.rep").alias("centre"), F.col("c.n").alias("cn")), "mh-centres")
+    star = store(members.join(sized(centre), "bucket"), "mh-star")
+    todo = (star.where((F.col("rep") != F.col("centre")) & _fits(F.col("n"), F.col("cn"), percent))
+            .select(*_ordered(F.col("rep"), F.col("centre"))))
+    rows, tested, links, comp, done = star.count(), None, None, None, 0
     while True:
         pairs = todo.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = store(pairs, "mh-pairs")
+        pairs = store(shrink(pairs, rows), "mh-pairs")
         found = store(_confirm(src, pairs, width, percent), "mh-links")
         done += 1
-        links = found if links is None else links.union(found)
         if done > 1 and found.isEmpty():
-            return links
+            return comp
+        links = found if links is None else links.union(found)
+        comp = connected_components(found, found.count()) if comp is None else _merge(comp, found)
         tested = pairs if tested is None else tested.union(pairs)
         degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
                   .agg(F.count(F.lit(1)).alias("degree")))
-        comp = connected_components(links)
         sizes = comp.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        label = sized(store(degree.join(comp.withColumnRenamed("id", "rep"), "rep").join(sizes, "component"), "mh-labels"))
-        # centres of the next round: the member with most links, some hashed ones
-        # of the largest component (the bucket's rest is compared with them), and
-        # a hashed one of the whole bucket; hashes differ by bucket and round
-        known = store(star.select("bucket", "rep").join(label, "rep", "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("component"),
+        label = store(shrink(degree.join(comp.withColumnRenamed("id", "rep"), "rep").join(sizes, "component"),
+                             comp.count()), "mh-labels")
+        known = store(star.select("bucket", "m", "rep", "n").join(sized(label), "rep", "left").select(
+            "bucket", "m", "rep", "n", F.coalesce("component", "rep").alias("component"),
             F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("size", F.lit(1)).alias("size")), "mh-known")
-        hashed = [F.xxhash64(F.lit(done * CENTRES + i), "bucket", "rep") for i in range(CENTRES - 1)]
-        orders = [F.struct("degree"), F.struct(hashed[0]), *(F.struct("size", h) for h in hashed[1:])]
-        again = store(known.groupBy("bucket").agg(
-            F.min("component").alias("lo"), F.max("component").alias("hi"),
-            F.array_distinct(F.array(*[F.max_by(F.struct(F.col("rep").alias("centre"), F.col("component").alias("own")), o)
-                                       for o in orders])).alias("cs"))
-            .where("lo <> hi").select("bucket", F.explode("cs").alias("c"))
-            .select("bucket", "c.centre", "c.own"), "mh-again")
-        todo = (known.join(sized(again), "bucket").where("component <> own")
-                .select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")))
+        todo = _star_pairs(known, done, percent)
+        if done == 1:
+            todo = todo.union(_small_pairs(known, percent))
+            star = star.where(F.col("m") > SMALL)
+        rows = known.count() * CENTRES
 
 
 def _confirm(src: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity."""
-    ids = sized(store(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "mh-ids"))
-    sets = store(src.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi")
-                 .dropDuplicates(["id"]).mapInArrow(_sets(width), "id long, sh binary"), "mh-sets")
-    return (pairs.join(sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
-            .mapInArrow(_verify(percent), "a long, b long"))
+    n = pairs.count()
+    ids = store(shrink(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * n), "mh-ids")
+    sets = (src.withColumnRenamed("doc_id", "id").join(sized(ids), "id", "left_semi")
+            .mapInArrow(_sets(width), "id long, sh binary").dropDuplicates(["id"]))
+    sets = store(shrink(sets, ids.count(), 1024), "mh-sets")
+    return shrink(pairs.join(sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
+                  .join(sets.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
+                  .mapInArrow(_verify(percent), "a long, b long"), n, 2048)
