@@ -1,3 +1,195 @@
-"""DuckDB statements that the registered queries must equal."""
+"""DuckDB statements that the registered queries must equal.
 
-ORACLES: dict[str, str] = {}
+Written from the contracts, not from the operators: frequent lines by a join
+on the lines themselves, repeated word windows by counting, near duplicates and
+near vectors by comparing every pair, window entropy by counting every window.
+Tokenising, extraction, language ID, Feistel pseudonyms and packing have no
+statement; ``tests/llm`` compares them with plain-Python versions.
+"""
+
+from __future__ import annotations
+
+from . import quality, secrets
+
+_SPACE = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Least id that each node reaches: ``pair(a, b)`` holds both directions.
+_REACH = """
+reach(id, other) AS (
+  SELECT a, b FROM pair
+  UNION
+  SELECT r.id, p.b FROM reach r JOIN pair p ON p.a = r.other
+),
+least_id AS (SELECT id, least(id, min(other)) AS component FROM reach GROUP BY id)
+"""
+
+OP3 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+),
+lines AS (
+  SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM docs
+),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^{_SPACE}+', ''), '{_SPACE}+$', ''),
+                      '{_UPPER}', '{_LOWER}') AS line_key FROM lines
+),
+frequent AS (
+  SELECT line_key FROM keyed WHERE line_key <> '' GROUP BY line_key HAVING count(DISTINCT rid) >= 10
+)
+SELECT k.doc_id, count(*) AS n_lines, count(f.line_key) AS n_dropped,
+       sha256(coalesce(string_agg(k.line, chr(10) ORDER BY k.i) FILTER (WHERE f.line_key IS NULL), '')) AS kept_sha256
+FROM keyed k LEFT JOIN frequent f ON k.line_key = f.line_key
+GROUP BY k.rid, k.doc_id
+"""
+
+OP5 = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents
+),
+shingle AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+                          ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM docs)
+),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id
+),
+linked AS (
+  SELECT a, b FROM shared JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+  WHERE 100 * shared.n >= 80 * (p.n + q.n - shared.n)
+),
+pair AS (SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked),
+{_REACH}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id,
+       d.doc_id = coalesce(l.component, d.doc_id) AS kept
+FROM docs d LEFT JOIN size s ON s.doc_id = d.doc_id LEFT JOIN least_id l ON l.id = d.doc_id
+"""
+
+_FAILED = "\n       + ".join(f"CASE WHEN {fails} THEN {1 << i} ELSE 0 END" for i, (_, fails) in enumerate(quality.RULES))
+
+OP7 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+),
+word AS (
+  SELECT rid, unnest(w) AS x, unnest(range(len(w))) AS i
+  FROM (SELECT rid, regexp_extract_all(t, '{_WORD}') AS w FROM docs)
+),
+win AS (
+  SELECT rid, i, x, lead(x, 1) OVER o AS y, lead(x, 2) OVER o AS z FROM word WINDOW o AS (PARTITION BY rid ORDER BY i)
+),
+seen AS (
+  SELECT rid, i, CASE WHEN z IS NOT NULL AND count(*) OVER (PARTITION BY rid, x, y, z) > 1 THEN 1 ELSE 0 END AS again FROM win
+),
+cover AS (
+  SELECT rid, max(again) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit FROM seen
+),
+repeated AS (SELECT rid, count(*) AS n_words, sum(hit) AS n_repeat_words FROM cover GROUP BY rid),
+line AS (
+  SELECT rid, count(*) AS n_text_lines, count(*) - count(DISTINCT l) AS n_dup_lines
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM docs) WHERE regexp_matches(l, '{_WORD}') GROUP BY rid
+),
+measured AS (
+  SELECT d.doc_id, coalesce(r.n_words, 0)::BIGINT AS n_words, coalesce(r.n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         length(regexp_replace(t, '{_SPACE}', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         length(regexp_replace(t, '[^A-Z]', '', 'g'))::BIGINT AS n_upper,
+         coalesce(l.n_text_lines, 0)::BIGINT AS n_text_lines, coalesce(l.n_dup_lines, 0)::BIGINT AS n_dup_lines
+  FROM docs d LEFT JOIN repeated r ON r.rid = d.rid LEFT JOIN line l ON l.rid = d.rid
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       failed_bits = 0 AS kept, failed_bits
+FROM (SELECT *, ({_FAILED})::BIGINT AS failed_bits FROM measured)
+"""
+
+OP8 = f"""
+WITH RECURSIVE vec AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+),
+usable AS (
+  SELECT * FROM vec
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+pair AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id <> y.vec_id
+  WHERE len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.93
+),
+degree AS (SELECT a AS id, count(*) AS n FROM pair GROUP BY a),
+{_REACH}
+SELECT e.vec_id, coalesce(g.n, 0) AS n_links, coalesce(l.component, e.vec_id)::BIGINT AS component_id,
+       e.vec_id = coalesce(l.component, e.vec_id) AS kept
+FROM vec e LEFT JOIN degree g ON g.id = e.vec_id LEFT JOIN least_id l ON l.id = e.vec_id
+"""
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _found(kind: str, pattern: str, group: int) -> str:
+    """Spans of one kind: every match follows its gap, so its start is the sum
+    of the gaps up to it and of the matches before it."""
+    p = _quoted(pattern)
+    return f"""
+  SELECT rid, {secrets.KINDS.index(kind)} AS k, (upto - len(hit))::BIGINT AS s, upto::BIGINT AS e, v FROM (
+    SELECT rid, hit, v, sum(len(gap) + len(hit)) OVER (PARTITION BY rid ORDER BY i) AS upto FROM (
+      SELECT rid, unnest(range(len(hits))) AS i, unnest(hits) AS hit, unnest(gaps[:len(hits)]) AS gap, unnest(vals) AS v
+      FROM (SELECT rid, regexp_extract_all(t, {p}) AS hits, regexp_extract_all(t, {p}, {group}) AS vals,
+                   string_split_regex(t, {p}) AS gaps FROM docs)))"""
+
+
+_CLASS_BITS = "CASE " + " ".join(f"WHEN regexp_matches(v, {_quoted(shape)}) THEN {bits}" for _, shape, bits in secrets.CLASSES) + " END"
+_ALLOWED = " OR ".join(f"regexp_matches(v, {_quoted(shape)})" for shape in secrets.ALLOW)
+_NAMES = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
+_RENDER = f"string_agg({_NAMES}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k, e)"
+
+OP9 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents
+),
+base AS (
+  {_found("assign", secrets.ASSIGN, 1)} WHERE len(v) >= 6
+  UNION ALL {_found("access", secrets.ACCESS, 0)}
+  UNION ALL {_found("hex", secrets.HEX, 0)}
+),
+candidate AS ({_found("entropy", secrets.CANDIDATE, 0)}),
+free AS (
+  SELECT c.* FROM candidate c
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.s < c.e AND c.s < b.e)
+),
+form AS (SELECT DISTINCT v FROM free WHERE NOT ({_ALLOWED})),
+place AS (SELECT v, unnest(range(0, len(v) - {secrets.WINDOW - 1})) AS pos FROM form),
+letter AS (SELECT v, pos, substr(v, pos::BIGINT + 1 + j::BIGINT, 1) AS c FROM place, range(0, {secrets.WINDOW}) r(j)),
+counted AS (SELECT v, pos, c, count(*) AS n FROM letter GROUP BY v, pos, c),
+entropy AS (
+  SELECT v, pos, log2({secrets.WINDOW}) - sum(n * log2(n)) / {secrets.WINDOW} AS bits FROM counted GROUP BY v, pos
+),
+bad AS (SELECT v FROM entropy GROUP BY v HAVING round(max(bits), 9) >= {_CLASS_BITS}),
+spans AS (
+  SELECT rid, k, s, e FROM base
+  UNION ALL SELECT rid, k, s, e FROM free WHERE v IN (SELECT v FROM bad)
+),
+per_doc AS (
+  SELECT rid, count(*) FILTER (WHERE k = 0) AS n_assign, count(*) FILTER (WHERE k = 1) AS n_access,
+         count(*) FILTER (WHERE k = 2) AS n_hex, {_RENDER} FILTER (WHERE k < 3) AS base, {_RENDER} AS spans
+  FROM spans GROUP BY rid
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(p.base, '')) AS base_sha256, coalesce(p.spans, '') AS spans
+FROM docs d LEFT JOIN per_doc p ON p.rid = d.rid
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": OP3,
+    "op5_near_duplicates": OP5,
+    "op7_quality_rules": OP7,
+    "op8_embedding_dedup": OP8,
+    "op9_secret_scan": OP9,
+}
