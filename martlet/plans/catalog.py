@@ -72,6 +72,12 @@ def _bronze_copy(spark, sf_dir):
     return _no_stamp(ingest.bronze_copy(spark, adapter.raw_customers(spark, sf_dir), "bronze_customers"))
 
 
+for _entity in ("orders", "order_items", "products", "payments"):
+    register(f"bronze_copy_{_entity}")(
+        lambda spark, sf_dir, _e=_entity: _no_stamp(ingest.bronze_copy(
+            spark, adapter.load_raw(spark, sf_dir).as_dict()[f"raw_{_e}"], f"bronze_{_e}")))
+
+
 @register("create_typed_table")
 def _create_typed_table(spark, sf_dir):
     return _no_stamp(ingest.create_typed_table(spark, adapter.raw_payments(spark, sf_dir),
@@ -690,8 +696,14 @@ def _ss(spark, sf_dir):
     return medallion.read_sink(spark, _silver_sink(spark, sf_dir, "orders"))
 
 
-@register("gold_refresh")
-def _gr(spark, sf_dir):
+for _entity in ("customers", "order_items", "products", "payments"):
+    register(f"bronze_stream_{_entity}")(
+        lambda spark, sf_dir, _e=_entity: _no_stamp(medallion.read_sink(spark, _bronze(spark, sf_dir, f"raw_{_e}"))))
+    register(f"silver_stream_{_entity}")(
+        lambda spark, sf_dir, _e=_entity: medallion.read_sink(spark, _silver_sink(spark, sf_dir, _e)))
+
+
+def _gold(spark, sf_dir):
     """Bronze streams of four sources run together, then their silver streams
     together, then the gold batch over the drained silver folders."""
     entities = ("customers", "orders", "order_items", "payments")
@@ -711,7 +723,22 @@ def _gr(spark, sf_dir):
                                               paths))
         silver_paths[e] = paths.sink
     medallion.await_streams(queries)
-    return medallion.gold_refresh(spark, silver_paths, HIGH, MID)["gold_fct_orders"]
+    return medallion.gold_refresh(spark, silver_paths, HIGH, MID)
+
+
+@register("gold_refresh")
+def _gr(spark, sf_dir):
+    return _gold(spark, sf_dir)["gold_fct_orders"]
+
+
+@register("gold_refresh_dim_customers")
+def _grc(spark, sf_dir):
+    return _gold(spark, sf_dir)["gold_dim_customers"]
+
+
+@register("gold_refresh_fct_revenue")
+def _grr(spark, sf_dir):
+    return _gold(spark, sf_dir)["gold_fct_revenue"]
 
 
 def queries() -> dict[str, Query]:

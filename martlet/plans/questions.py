@@ -133,7 +133,10 @@ def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame) -> DataFrame
     if by == "segment":
         if metric in ("customers", "ltv"):
             return base.groupBy(F.col("customer_segment").alias("period")).agg(value.alias("value"))
-        j = base.join(dim.select("customer_id", "customer_segment"), "customer_id")
+        # one row per customer meets the dimension, so a hot customer's orders never do
+        per = base.groupBy("customer_id").agg(F.sum("amount_paid").alias("_s"), F.count("amount_paid").alias("_n"))
+        j = per.join(dim.select("customer_id", "customer_segment"), "customer_id")
+        value = F.sum("_s") if metric == "revenue" else _div(F.sum("_s"), F.sum("_n"), 4)
         return j.groupBy(F.col("customer_segment").alias("period")).agg(value.alias("value"))
     if by == "payment_method":
         col = "country" if metric in ("customers", "ltv") else "payment_method"

@@ -86,6 +86,21 @@ def test_order_gaps_with_a_hot_customer(spark, smoke_dir):
     assert hot_row.max_gap_days is not None
 
 
+def test_gaps_from_days_equal_gaps_from_orders(spark):
+    """Same-day orders, a null day, a null customer, one order, a hot customer."""
+    from martlet.operators import features
+
+    rng = random.Random(3)
+    rows = [(0 if i % 3 == 0 else None if i % 17 == 0 else i % 40 + 1, i,
+             None if i % 23 == 0 else f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}") for i in range(1200)]
+    rows += [(99, 5000, "2024-01-01"), (98, 5001, None), (97, 5002, "2024-02-02"), (97, 5003, "2024-02-02")]
+    df = spark.createDataFrame(rows, "customer_id long, order_id long, day string").select(
+        "customer_id", "order_id", F.col("day").cast("date").alias("order_date"))
+    got, want = features.order_day_gaps(df), features.order_gaps(df)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_lag_by_group_null_keys_and_values(spark):
     rows = [(None if i % 5 == 0 else i % 4, None if i % 7 == 0 else i % 30, i,
              None if i % 11 == 0 else i * 2) for i in range(3000)]
