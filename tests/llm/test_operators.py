@@ -315,3 +315,19 @@ def test_pipeline_stages(docs, tmp_path):
     assert rows[12].text == "[SECRET] token: 'abc' [SECRET] [SECRET]"
     assert rows[12].n_chars == len(rows[12].text)
     assert "shared" not in "".join(r.text.lower() for i, r in rows.items() if 20 <= i < 32)
+
+
+@pytest.mark.parametrize("name", ["op3_line_dedup", "op5_near_duplicates", "op7_quality_rules", "op8_embedding_dedup",
+                                  "op9_secret_scan"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from martlet.llm import queries
+
+    folder, con = "/root/testdata/sf0.001", duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    want = con.sql(queries.oracle_sql()[name])
+    got = queries.queries()[name](spark, folder)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
