@@ -6,10 +6,16 @@ the value of a full one chosen by a shared hash sequence.  Bands of the
 signature name buckets.  In every bucket one centre is compared with all others
 (star edges), on the full shingle sets.  In the second round every member of a
 bucket of up to ``SMALL`` is a centre, which settles it; larger buckets that
-still hold more than one component get up to ``CENTRES`` others a round, until a
-round adds no link.
-So a bucket of m members costs at most max(SMALL, CENTRES) * m pairs a round,
-never m * m.  Pairs whose set sizes alone rule the similarity out are left out.
+still hold more than one component get up to ``CENTRES`` others in each of the
+first ``ROUNDS`` rounds.  So a bucket of m members costs at most
+max(SMALL, CENTRES) * m pairs a round, never m * m.
+
+A last round settles the larger buckets that are still open, exactly: their
+members' shingles are put in one order, rarest first, and sets that reach the
+similarity share one of their first (1 - similarity) * size + 1 shingles.  Only
+pairs of different components that share such a shingle are compared.  Pairs
+whose set sizes, or whose places of the shared shingle, rule the similarity out
+are left out.
 
 Documents with one shingle set (copies) are one node from the start.
 
@@ -34,6 +40,9 @@ BANDS, ROWS = 40, 6
 #: Centres per unresolved bucket in the rounds after the first, and the members
 #: up to which all are centres in the second.
 CENTRES, SMALL = 4, 16
+#: Star rounds before the last one, and the slots in which the last one counts
+#: shingles (a shingle's rank needs no exact count; 2 MB, whatever the input).
+ROUNDS, SLOTS_LOG2 = 3, 18
 #: Bytes hashed at once: bounds the numpy arrays of a task (about 60 x this).
 SEGMENT = 1 << 20
 
@@ -209,6 +218,45 @@ def _sets(width: int):
     return run
 
 
+def _slots(h: np.ndarray) -> np.ndarray:
+    return (h >> _U(64 - SLOTS_LOG2)).astype(np.int64)
+
+
+def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << SLOTS_LOG2, np.int64)
+    for batch in batches:
+        for x in batch.column("sh"):
+            total += np.bincount(_slots(np.frombuffer(x.as_buffer(), np.uint64)), minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["slot", "c"])
+
+
+def _prefixes(percent: int, counts):  # noqa: ANN001, ANN202
+    """The first shingles of every set, rarest first, and their places."""
+    def rows(sets: list[tuple[int, int, int, np.ndarray]]) -> pa.RecordBatch:
+        size = [len(t) for *_, t in sets]
+        ids, comps, ns = (np.repeat(np.array([x[j] for x in sets], np.int64), size) for j in range(3))
+        tokens = np.concatenate([t for *_, t in sets]) if sets else np.zeros(0, np.uint64)
+        place = np.concatenate([np.arange(n) for n in size]) if sets else np.zeros(0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(tokens.view(np.int64)), pa.array(ids), pa.array(comps), pa.array(ns),
+             pa.array(place.astype(np.int64))], names=["token", "id", "component", "n", "place"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for i, c, x in zip(batch.column("id").to_pylist(), batch.column("component").to_pylist(), batch.column("sh")):
+                h = np.frombuffer(x.as_buffer(), np.uint64)
+                first = len(h) + (-percent * len(h)) // 100 + 1
+                held.append((i, c, len(h), h[np.lexsort((h, counts.value[_slots(h)]))[:first]]))
+                size += first
+                if size > 1 << 18:
+                    yield rows(held)
+                    held, size = [], 0
+            yield rows(held)
+    return run
+
+
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,6 +339,32 @@ def _star_pairs(known: DataFrame, done: int, percent: int) -> DataFrame:
             .select(*_ordered(F.col("rep"), F.col("centre"))))
 
 
+def _rest_pairs(src: DataFrame, known: DataFrame, width: int, percent: int) -> DataFrame:
+    """Every pair of different components that meets in a larger bucket and can
+    reach the similarity, by the shingles that such a pair must share."""
+    large = known.where(F.col("m") > SMALL)
+    open_ = store(large.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                  .where("lo <> hi").select("bucket"), "mh-open")
+    left = store(large.join(sized(open_), "bucket", "left_semi")
+                 .select(F.col("rep").alias("id"), "component").distinct(), "mh-left")
+    sets = _stored_sets(src, left.select("id"), left.count(), width)
+    counts = np.zeros(1 << SLOTS_LOG2, np.int64)
+    for r in sets.mapInArrow(_count_slots, "slot long, c long").groupBy("slot").agg(F.sum("c").alias("c")).collect():
+        counts[r["slot"]] = r["c"]  # at most 2 ** SLOTS_LOG2 rows
+    shared = src.sparkSession.sparkContext.broadcast(counts)
+    prefix = store(sets.join(sized(left), "id").mapInArrow(
+        _prefixes(percent, shared), "token long, id long, component long, n long, place long"), "mh-prefix")
+    mixed = store(prefix.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                  .where("lo <> hi").select("token"), "mh-mixed")
+    live = store(prefix.join(sized(mixed), "token", "left_semi"), "mh-live")
+    x, y = (live.select("token", *[F.col(c).alias(c + side) for c in live.columns[1:]]) for side in "xy")
+    most = F.least(F.col("nx") - F.col("placex"), F.col("ny") - F.col("placey"))
+    return (x.join(y, "token").where(
+        (F.col("idx") < F.col("idy")) & (F.col("componentx") != F.col("componenty"))
+        & _fits(F.col("nx"), F.col("ny"), percent) & ((100 + percent) * most >= percent * (F.col("nx") + F.col("ny"))))
+        .select(F.col("idx").alias("a"), F.col("idy").alias("b")))
+
+
 def _components(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """``(id, component)`` of the nodes that have a link."""
     members = nodes.select("rep", "n", F.explode("bands").alias("bucket"))
@@ -301,6 +375,7 @@ def _components(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
     todo = (star.where((F.col("rep") != F.col("centre")) & _fits(F.col("n"), F.col("cn"), percent))
             .select(*_ordered(F.col("rep"), F.col("centre"))))
     rows, tested, links, comp, done = star.count(), None, None, None, 0
+    last = False
     while True:
         pairs = todo.distinct()
         if tested is not None:
@@ -308,10 +383,13 @@ def _components(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
         pairs = store(shrink(pairs, rows), "mh-pairs")
         found = store(_confirm(src, pairs, width, percent), "mh-links")
         done += 1
-        if done > 1 and found.isEmpty():
+        more = done == 1 or not found.isEmpty()
+        if more:
+            links = found if links is None else links.union(found)
+            comp = connected_components(found, found.count()) if comp is None else _merge(comp, found)
+        if last:
             return comp
-        links = found if links is None else links.union(found)
-        comp = connected_components(found, found.count()) if comp is None else _merge(comp, found)
+        last = not more or done == ROUNDS
         tested = pairs if tested is None else tested.union(pairs)
         degree = (links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep")
                   .agg(F.count(F.lit(1)).alias("degree")))
@@ -321,20 +399,25 @@ def _components(src: DataFrame, nodes: DataFrame, width: int, percent: int) -> D
         known = store(star.select("bucket", "m", "rep", "n").join(sized(label), "rep", "left").select(
             "bucket", "m", "rep", "n", F.coalesce("component", "rep").alias("component"),
             F.coalesce("degree", F.lit(0)).alias("degree"), F.coalesce("size", F.lit(1)).alias("size")), "mh-known")
-        todo = _star_pairs(known, done, percent)
+        todo = _rest_pairs(src, known, width, percent) if last else _star_pairs(known, done, percent)
         if done == 1:
             todo = todo.union(_small_pairs(known, percent))
             star = star.where(F.col("m") > SMALL)
         rows = known.count() * CENTRES
 
 
+def _stored_sets(src: DataFrame, ids: DataFrame, n: int, width: int) -> DataFrame:
+    """``(id, sh)``: the shingle sets of the ``n`` documents ``ids``."""
+    sets = (src.withColumnRenamed("doc_id", "id").join(sized(ids), "id", "left_semi")
+            .mapInArrow(_sets(width), "id long, sh binary").dropDuplicates(["id"]))
+    return store(shrink(sets, n, 1024), "mh-sets")
+
+
 def _confirm(src: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity."""
     n = pairs.count()
     ids = store(shrink(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), 2 * n), "mh-ids")
-    sets = (src.withColumnRenamed("doc_id", "id").join(sized(ids), "id", "left_semi")
-            .mapInArrow(_sets(width), "id long, sh binary").dropDuplicates(["id"]))
-    sets = store(shrink(sets, ids.count(), 1024), "mh-sets")
+    sets = _stored_sets(src, ids, ids.count(), width)
     return shrink(pairs.join(sets.select(F.col("id").alias("a"), F.col("sh").alias("sa")), "a")
                   .join(sets.select(F.col("id").alias("b"), F.col("sh").alias("sb")), "b")
                   .mapInArrow(_verify(percent), "a long, b long"), n, 2048)

@@ -317,6 +317,28 @@ def test_pipeline_stages(docs, tmp_path):
     assert "shared" not in "".join(r.text.lower() for i, r in rows.items() if 20 <= i < 32)
 
 
+def test_large_buckets_of_many_groups(spark):
+    """Texts of one template: most pairs are just under the similarity, so every
+    bucket is large and holds many groups, which no few centres can part."""
+    rng = np.random.default_rng(11)
+    shared = [f"common{i}" for i in range(140)]
+    texts = []
+    for g in range(60):
+        own = [f"group{g}x{i}" for i in range(36)]
+        for v in range(int(rng.integers(1, 7))):
+            words = shared + own
+            for at in rng.integers(0, len(words), int(rng.integers(0, 7))):
+                words[at] = f"edit{g}x{v}x{at}"
+            texts.append(" ".join(words))
+    order = rng.permutation(len(texts))
+    frame_ = spark.createDataFrame([(int(i), texts[k]) for i, k in enumerate(order)], "doc_id long, text string")
+    sets = [{tuple(w[i:i + 2]) for i in range(len(w) - 1)} for w in (texts[k].split() for k in order)]
+    want = brute_components(sets, list(range(len(sets))), 80)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame_, width=2).collect()}
+    assert got == want
+    assert 20 < len(set(got.values())) < len(sets)
+
+
 @pytest.mark.parametrize("name", ["op3_line_dedup", "op5_near_duplicates", "op7_quality_rules", "op8_embedding_dedup",
                                   "op9_secret_scan"])
 def test_queries_equal_their_sql(spark, name):
