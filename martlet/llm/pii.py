@@ -8,9 +8,10 @@ documents.  Separators stay where they are.  E-mail addresses get keyed names.
 
 DataFrame functions only; the key is a parameter.  Defined cases: null text
 stays null; empty text stays empty; matches do not overlap (the leftmost, then
-the kind listed first); digits that no rule validates stay as they are; every
-row is treated on its own; other columns stay; an empty table gives an empty
-result.
+the kind listed first); an IBAN or card ends where its check sum holds, so text
+or digits beside it do not hide it; digits that no rule validates stay as they
+are; every row is treated on its own; other columns stay; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -19,18 +20,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Kind and pattern; the order decides between matches at one place.
+#: Kind and pattern; the order decides between matches at one place.  IBANs and
+#: cards are matched by ``valid_numbers``, between e-mail addresses and the rest.
 KINDS: tuple[tuple[str, str], ...] = (
-    ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("iban", r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
-    ("card", r"[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9A-Za-z])"),
-    ("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
+    ("email", r"(?<!-)[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
+    ("ssn", r"(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"),
     ("ip", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"),
     ("date", r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})(?![0-9A-Za-z])"),
     ("phone", r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
               r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![0-9A-Za-z])"),
 )
-PATTERN = r"(?<![A-Za-z0-9_+@.-])(?:" + "|".join(p for _, p in KINDS) + ")"
+_LEFT = r"(?<![A-Za-z0-9_+@.])"
+_END = r"(?![0-9A-Za-z])"
+_HEAD = f"{_LEFT}(?:{KINDS[0][1]}|"
+_TAIL = "|".join(p for _, p in KINDS[1:]) + ")"
+PATTERN = _HEAD + _TAIL
+#: The longest text from one place that may be an IBAN; its prefixes are tried.
+IBAN = r"[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?" + _END
+#: Lengths of the IBAN registry by country.
+IBAN_LENGTHS = {code: n for n, codes in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for code in codes.split()}
+#: One to five groups of four digits or more (the last may be shorter), from
+#: every place; Luhn decides.
+CARD_GROUPS = (r"[0-9]{13,19}" + _END, *(
+    rf"[0-9]{{4,15}}(?:[ -][0-9]{{4,15}}){{{n}}}[ -][0-9]{{1,15}}" + _END for n in range(4)))
+#: A whole run of 13-19 digits in any grouping, unless it holds a date, a social
+#: security number or a phone number.
+CARD_RUN = r"(?<![0-9][ -])[2-6](?:[ -]?[0-9]){12,18}(?![ -]?[0-9]|[A-Za-z])"
+_OTHER_RUN = r"(?<![0-9])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{3}[ -][0-9]{2,3}[ -][0-9]{4})(?![0-9])"
 
 
 def _round(key: str, tweak: Column, i: Column, other: Column, size: Column) -> Column:
@@ -97,13 +118,17 @@ def luhn_sum(digits: Column, shift: int = 0) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda s, x: s + x)
 
 
+def _card_valid(value: Column) -> Column:
+    d = _only_digits(value)
+    return F.char_length(d).between(13, 19) & (F.pmod(luhn_sum(d), F.lit(10)) == 0)
+
+
 def _card(value: Column, key: str) -> Column:
     d = _only_digits(value)
     first = F.substring(d, 1, 1)
     body = F.concat(first, permute_digits(F.substring(d, F.lit(2), F.char_length(d) - 2), key, "card"))
     check = F.pmod(F.lit(10) - F.pmod(luhn_sum(body, 1), F.lit(10)), F.lit(10)).cast("string")
-    return F.when(F.char_length(d).between(13, 19) & (F.pmod(luhn_sum(d), F.lit(10)) == 0),
-                  fill(value, F.concat(body, check)))
+    return F.when(_card_valid(value), fill(value, F.concat(body, check)))
 
 
 def _mod97(text: Column) -> Column:
@@ -115,14 +140,19 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
+def _iban_valid(value: Column) -> Column:
+    flat = F.regexp_replace(value, " ", "")
+    turned = F.concat(F.substring(flat, F.lit(5), F.lit(100)), F.substring(flat, 1, 4))
+    return F.char_length(flat).between(15, 34) & (_mod97(turned) == 1)
+
+
 def _iban(value: Column, key: str) -> Column:
     flat = F.regexp_replace(value, " ", "")
     country, rest = F.substring(flat, 1, 2), F.substring(flat, F.lit(5), F.lit(100))
     digits = permute_digits(_only_digits(rest), key, "iban")
     new = fill(rest, digits)
     check = F.lpad((F.lit(98) - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    valid = (_mod97(F.concat(rest, F.substring(flat, 1, 4))) == 1) & F.char_length(flat).between(15, 34)
-    return F.when(valid, fill(value, F.concat(check, digits)))
+    return F.when(_iban_valid(value), fill(value, F.concat(check, digits)))
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -202,19 +232,57 @@ def _email(value: Column, key: str) -> Column:
 _MAKERS = {"email": _email, "iban": _iban, "card": _card, "ssn": _ssn, "ip": _ip, "date": _date, "phone": _phone}
 
 
-def kind_of(value: Column) -> Column:
+def valid_numbers(t: Column) -> Column:
+    """The valid IBANs and cards of a text as ``array<string>``, in the order in
+    which they are to be tried at one place: IBANs of their country's length,
+    other IBANs, cards, each the longest first."""
+    def at_every_place(pattern: str) -> Column:
+        return F.regexp_extract_all(t, F.lit(f"{_LEFT}(?=({pattern}))"), F.lit(1))
+
+    def prefixes(m: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(15), F.char_length(m)), lambda n: F.struct(
+            F.substring(m, F.lit(1), n).alias("v"), F.substring(m, n + 1, F.lit(1)).alias("next")))
+        whole = F.filter(cut, lambda x: x.next.isin("", " ") & ~x.v.endswith(" ") & _iban_valid(x.v))
+        return F.transform(whole, lambda x: x.v)
+
+    none = F.array().cast("array<string>")
+    ibans = F.flatten(F.transform(F.filter(at_every_place(IBAN), lambda m: F.char_length(m) >= 15), prefixes))
+    ibans = F.when(t.rlike(_LEFT + IBAN), ibans).otherwise(none)
+    runs = F.filter(at_every_place(CARD_RUN), lambda v: ~v.rlike(_OTHER_RUN))
+    cards = F.filter(F.concat(runs, *[at_every_place(p) for p in CARD_GROUPS]), _card_valid)
+    cards = F.when(t.rlike(r"[0-9](?:[ -]?[0-9]){12}"), cards).otherwise(none)
+    known = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+
+    def ranked(v: Column, rank: Column) -> Column:
+        return F.struct(rank.alias("rank"), (-F.char_length(v)).alias("n"), v.alias("v"))
+
+    ranks = F.concat(
+        F.transform(ibans, lambda v: ranked(v, F.when(F.try_element_at(known, F.substring(v, 1, 2)) == F.char_length(
+            F.regexp_replace(v, " ", "")), F.lit(0)).otherwise(F.lit(1)))),
+        F.transform(cards, lambda v: ranked(v, F.lit(2))))
+    return F.transform(F.sort_array(F.array_distinct(ranks)), lambda x: x.v)
+
+
+def kind_of(value: Column, numbers: Column) -> Column:
     kind = F.lit(None).cast("string")
     for name, pattern in reversed(KINDS):
         kind = F.when(value.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(kind)
-    return kind
+    number = F.when(value.rlike("^[A-Z]"), F.lit("iban")).otherwise(F.lit("card"))
+    return F.when(F.array_contains(numbers, value), number).otherwise(kind)
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` plus ``pii: struct<text, found: array<struct<kind, new>>>``."""
     t = F.col("row")[text]
-    hits = F.when(t.rlike(PATTERN), F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)))
-    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"]).alias("row")).withColumn("hits", hits)
-    got = got.withColumn("typed", F.transform("hits", lambda v: F.struct(v.alias("v"), kind_of(v).alias("kind"))))
+    got = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "pii"]).alias("row"))
+    got = got.withColumn("numbers", valid_numbers(t))
+    # valid numbers are literal text in the row's pattern, so what fails its check hides nothing
+    own = F.concat(F.lit(_HEAD + "(?:"), F.array_join("numbers", "|"), F.lit(f"){_END}|{_TAIL}"))
+    got = got.withColumn("pattern", F.when(F.size("numbers") > 0, own).otherwise(F.lit(PATTERN)))
+    hits = F.when((F.size("numbers") > 0) | t.rlike(PATTERN), F.regexp_extract_all(t, F.col("pattern"), F.lit(0)))
+    got = got.withColumn("hits", hits)
+    got = got.withColumn("typed", F.transform("hits", lambda v: F.struct(
+        v.alias("v"), kind_of(v, F.col("numbers")).alias("kind"))))
 
     def made(x: Column) -> Column:
         new = F.lit(None).cast("string")
@@ -223,7 +291,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         return F.struct(x.kind.alias("kind"), x.v.alias("old"), new.alias("new"))
 
     got = got.withColumn("found", F.transform("typed", made))
-    parts = F.zip_with(F.split(t, PATTERN, -1), "found",
+    parts = F.zip_with(F.split(t, F.col("pattern"), -1), "found",
                        lambda gap, x: F.concat(gap, F.coalesce(x.new, x.old, F.lit(""))))
     out = F.when(F.col("found").isNull(), t).otherwise(F.concat_ws("", parts))
     kept = F.transform(F.filter(F.coalesce("found", F.array().cast("array<struct<kind:string,old:string,new:string>>")),

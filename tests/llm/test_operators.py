@@ -169,6 +169,33 @@ def test_pii(docs, none):
     assert pii.pseudonymise(none, "k").count() == 0
 
 
+def test_pii_beside_other_text(spark):
+    cases = [  # text, kinds, what may not stay
+        ("BE68 5390 0754 7034 EUR 500", ["iban"], ["5390 0754 7034"]),
+        ("ES91 2100 0418 4502 0005 1332 2024", ["iban"], ["0418 4502 0005 1332"]),
+        ("IBAN AT61 1904 3002 3457 3201 BIC", ["iban"], ["1904 3002 3457 3201"]),
+        ("GB82 WEST 1234 5698 7654 32 GBP", ["iban"], ["1234 5698 7654 32"]),
+        ("amex 3782 822463 10005 ok", ["card"], ["822463"]),
+        ("3782-822463-10005", ["card"], ["822463"]),
+        ("37 8282 24 6310 005", ["card"], ["8282 24 6310"]),
+        ("4111 1111 1111 1111 123", ["card"], ["1111 1111 1111"]),
+        ("XX12 4111 1111 1111 1111", ["card"], ["1111 1111 1111"]),
+        ("01/02/2020-03/04/2020", ["date", "date"], ["01/02/2020", "03/04/2020"]),
+        ("2021-02-28 2021-03-01", ["date", "date"], ["2021-02-28", "2021-03-01"]),
+        ("call 1-800-555-0199", ["phone"], ["800-555-0199"]),
+        ("415 555 0134 415 555 0135", ["phone", "phone"], ["555 0134", "555 0135"]),
+        ("BE68 5390 0754 7035 EUR, 3782 822463 10006", [], []),
+    ]
+    rows = {r.doc_id: r.pii for r in pii.pseudonymise(frame(spark, [c[0] for c in cases]), "k").collect()}
+    for i, (text, kinds, secret) in enumerate(cases):
+        assert [x.kind for x in rows[i].found] == kinds, text
+        assert not [s for s in secret if s in rows[i].text], text
+        assert re.sub("[0-9]", "0", rows[i].text) == re.sub("[0-9]", "0", text)
+        if not kinds:
+            assert rows[i].text == text
+    assert rows[0].text.endswith(" EUR 500") and rows[1].text.endswith(" 2024") and rows[7].text.endswith(" 123")
+
+
 def test_feistel_permutes_and_is_keyed(spark):
     nums = spark.range(1000).select(F.lpad(F.col("id").cast("string"), 3, "0").alias("d"))
     for key in ("a", "b"):
