@@ -3,9 +3,11 @@
 Per page, text blocks are read with the chain of containers they stand in;
 containers of menus, notices, adverts, forms, comments and the like are set
 aside.  Every container's generalised tag-class path is scored (kept text less
-twice the set-aside text below it) and the page votes for its best path.  The
-votes of a host are summed in Spark, and every page is extracted again from its
-host's winning path; a page that holds less than half of its own best text
+twice the navigational text that extraction from it would let through, except in
+an article element; set-aside text never gets through and does not count).  The
+best path is widened to its ancestors, up to an article or main element, while
+that adds mostly kept text, and the page votes for it.  The votes of a host are summed in Spark, and every
+page is extracted again from its host's winning path; a page that holds less than half of its own best text
 there keeps its own best path.
 
 Defined cases: null or empty html gives an empty text; a page without a host
@@ -178,25 +180,44 @@ def read_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool, int]]:
     return out
 
 
-def score_paths(blocks: list[tuple[str, tuple[str, ...], bool, int]]) -> dict[tuple[str, ...], tuple[float, int]]:
-    """Container path -> (score, kept characters)."""
+Scores = dict[tuple[str, ...], tuple[float, int, int]]
+
+
+def score_paths(blocks: list[tuple[str, tuple[str, ...], bool, int]]) -> Scores:
+    """Container path -> (score, kept characters, navigational characters)."""
     good: dict[tuple[str, ...], int] = {}
     bad: dict[tuple[str, ...], int] = {}
     for text, path, aside, links in blocks:
-        poor = aside or 2 * links > len(text)
+        if aside:
+            continue
+        into = bad if 2 * links > len(text) else good
         for depth in range(len(path) + 1):
-            into = bad if poor else good
             into[path[:depth]] = into.get(path[:depth], 0) + len(text)
     out = {}
     for path, n in good.items():
         words = set(_WORDS.findall(path[-1].replace(".", " "))) if path else set()
-        boost = 1.5 if path and path[-1].split(".")[0] in ("article", "main") else 1.25 if words & _HINTS else 1.0
-        out[path] = ((n - 2 * bad.get(path, 0)) * boost, n)
+        tag = path[-1].split(".")[0] if path else ""
+        boost = 1.5 if tag in ("article", "main") else 1.25 if words & _HINTS else 1.0
+        through = 0 if tag == "article" else bad.get(path, 0)  # links inside an article are its own
+        out[path] = ((n - 2 * through) * boost, n, bad.get(path, 0))
     return out
 
 
-def best_path(scores: dict[tuple[str, ...], tuple[float, int]]) -> tuple[str, ...] | None:
-    return max(scores, key=lambda p: (scores[p][0], len(p), p), default=None)
+def best_path(scores: Scores) -> tuple[str, ...] | None:
+    """The path of the best score, widened while that adds more kept than
+    navigational text; an article or main element is not left."""
+    best = max(scores, key=lambda p: (scores[p][0], len(p), p), default=None)
+    if best is None:
+        return None
+    least = next((i + 1 for i, name in enumerate(best) if name.split(".")[0] in ("article", "main")), 0)
+    for n in range(len(best) - 1, least - 1, -1):
+        up = best[:n]
+        good, bad = (scores[up][i] - scores[best][i] for i in (1, 2))
+        if good > bad:
+            best = up
+        elif bad:
+            break
+    return best
 
 
 def text_below(blocks: list[tuple[str, tuple[str, ...], bool, int]], path: tuple[str, ...]) -> str:

@@ -86,6 +86,19 @@ def test_html(spark):
     assert html.host_paths(pages).where("host = 'a.com'").first().path == "article.post-#"
 
 
+def test_html_keeps_title_and_lead_beside_comments():
+    body = "".join(f"<p>{f'body {i} ' * 20}</p>" for i in range(25))
+    parts = f"<h1>The title</h1><p>{'lead ' * 50}</p><div class='entry-content'>{body}</div>"
+    comments = f"<section class='comments'><p>{'me too ' * 120}</p></section>"
+    related = "".join(f"<p><a href=/{i}>{'see also ' * 8}</a></p>" for i in range(12))
+    for page in (f"<article>{parts}{comments}</article>", f"<article>{parts}{related}</article>",
+                 f"<div class='page'>{parts}{comments}</div>",
+                 f"<main><h1>The title</h1><article><p>{'lead ' * 50}</p>{body}{related}</article></main>"):
+        got = html.extract_page(f"<body><nav>{'menu ' * 400}</nav>{page}<footer>{'foot ' * 400}</footer></body>")
+        assert got.startswith("The title\nlead lead") and "body 24" in got
+        assert not re.search("me too|menu|foot", got)
+
+
 def test_line_dedup(docs, none):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
