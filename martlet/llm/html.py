@@ -7,8 +7,8 @@ twice the navigational text that extraction from it would let through, except in
 an article element; set-aside text never gets through and does not count).  The
 best path is widened to its ancestors, up to an article or main element, while
 that adds mostly kept text, and the page votes for it.  The votes of a host are summed in Spark, and every
-page is extracted again from its host's winning path; a page that holds less than half of its own best text
-there keeps its own best path.
+page is extracted again from its host's winning path; a page with kept text of
+its own best path outside that one is extracted from the path common to both.
 
 Defined cases: null or empty html gives an empty text; a page without a host
 votes for itself only; unclosed and stray tags are tolerated; rows that repeat
@@ -234,8 +234,11 @@ def extract_page(html: str | None, voted: str | None = None) -> str:
         return ""
     if voted is not None:
         path = tuple(voted.split(">")) if voted else ()
-        if path in scores and 2 * scores[path][1] >= scores[own][1]:
-            own = path
+        if path in scores:
+            n = next((i for i, (x, y) in enumerate(zip(own, path)) if x != y), min(len(own), len(path)))
+            both = path if len(own) == n else own if len(path) == n else None
+            # the voted path must hold all kept text of the page's own
+            own = path if both is not None and scores[both][1] == scores[own][1] else own[:n]
     return text_below(blocks, own)
 
 

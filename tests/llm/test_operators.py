@@ -99,6 +99,20 @@ def test_html_keeps_title_and_lead_beside_comments():
         assert not re.search("me too|menu|foot", got)
 
 
+def test_html_vote_drops_no_text_of_a_page(spark):
+    story, intro = "<div class='story'><p>{}</p></div>", "<div class='intro'><p>{}</p></div>"
+    links = f"<div class='x'><p><a href=/>{'go there ' * 90}</a></p></div>"
+    rows = [(i, f"http://h.com/{i}", links + story.format(f"text {i} " * 60)) for i in range(5)]
+    rows += [(5, "http://h.com/5", intro.format("intro " * 45) + story.format("story " * 55)),
+             (6, "http://h.com/6", links + story.format("first " * 30) + intro.format("other " * 70))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert html.host_paths(pages).first().path == "div.story"
+    got = {r.page_id: r.main_text for r in html.extract(pages).collect()}
+    assert got[0] == ("text 0 " * 60).strip()
+    assert got[5].count("intro") == 45 and got[5].count("story") == 55
+    assert got[6].count("first") == 30 and got[6].count("other") == 70
+
+
 def test_line_dedup(docs, none):
     def key(line):
         return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
