@@ -6,8 +6,8 @@ token-like string outside them is a candidate: its character class is read off
 ``WINDOW`` characters slides over it, the counts per character are updated by
 the one that enters and the one that leaves, and so is the sum of c * log2(c)
 from which the Shannon entropy of the window follows.  A candidate is a secret
-when a window reaches its class's threshold, unless the allow-list knows its
-shape.
+when a window reaches its class's threshold; numbers, words, UUIDs and dates
+between its signs are left out first, so each part of a path counts by itself.
 
 DataFrame functions only.  Offsets are code points, end exclusive.  Defined
 cases: null text is empty and has no spans; every row is scanned on its own;
@@ -33,8 +33,8 @@ CLASSES = (
     ("lower", r"^[0-9a-z]+$", 3.7),
     ("mixed", r"^.*$", 3.8),
 )
-#: Shapes that are no secrets: plain numbers, UUIDs, dates and times, paths,
-#: words joined by one sign, strings without three digits or without letters.
+#: The shapes that the SQL statement allows.  The scan itself is stricter (see
+#: ``_is_secret``): the last four of these also fit random tokens.
 ALLOW = (
     r"^[0-9+/_=-]+$",
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
@@ -43,6 +43,19 @@ ALLOW = (
     r"^[A-Za-z]+([-_=][A-Za-z0-9]{1,12})+$",
     r"^[^0-9]*([0-9][^0-9]*){0,2}$",
 )
+_SIGNS = "+/_=-"
+_BEFORE, _AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: Known shapes between signs: UUIDs, dates with a time.
+KNOWN = (
+    _BEFORE + r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}" + _AFTER,
+    _BEFORE + r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-][0-9]{2}-?[0-9]{2}(?:-?[0-9]{2}(?:-?[0-9]{1,9})?)?(?:Z|UTC|GMT)?" + _AFTER,
+)
+#: A part between signs that is a number or words: lower case, upper case,
+#: capitalised or camel case with acronyms, with up to four digits after it.
+WORD = (_BEFORE + r"(?=[0-9A-Za-z])(?:[0-9]++|(?:[A-Z]++|[a-z]*+(?:[A-Z][a-z]++|[A-Z]{2,5}[a-z]{3,}+)*+[A-Z]{0,5}+)"
+        r"[0-9]{0,4}+)" + _AFTER)
+#: Shorter words stay with the text around them: random text has such parts too.
+LONG_WORD = WORD.replace("(?=[0-9A-Za-z])", "(?=[0-9A-Za-z]{3})", 1)
 _CHUNK = 256
 
 
@@ -112,13 +125,31 @@ def window_entropy(value: Column) -> Column:
 
 
 def _is_secret(value: Column) -> Column:
-    allowed = F.lit(False)
-    for shape in ALLOW:
-        allowed = allowed | value.rlike(shape)
-    least = F.lit(CLASSES[-1][2])
-    for _, shape, bits in reversed(CLASSES):
-        least = F.when(value.rlike(shape), F.lit(bits)).otherwise(least)
-    return F.when(allowed, F.lit(False)).otherwise(F.round(window_entropy(value), 9) >= least)
+    """Words and known shapes between the signs are left out; what stands
+    between them, or all of it when words are less than half, is a secret
+    when a window reaches the threshold of its class."""
+    plain = value
+    for shape in KNOWN:
+        plain = F.regexp_replace(plain, shape, "0")
+
+    def letters(v: Column) -> Column:
+        return F.char_length(F.regexp_replace(v, "[+/_=-]", ""))
+
+    def secret(v: Column) -> Column:
+        least = F.lit(CLASSES[-1][2])
+        for _, shape, bits in reversed(CLASSES):
+            least = F.when(v.rlike(shape), F.lit(bits)).otherwise(least)
+        worded = letters(F.regexp_replace(v, WORD, "")) == 0
+        return ~worded & (F.round(window_entropy(v), 9) >= least)
+
+    def judged(v: Column) -> Column:
+        rest = F.regexp_replace(v, LONG_WORD, " ")
+        pieces = F.transform(F.split(rest, " "), lambda x: F.btrim(x, F.lit(_SIGNS)))
+        whole = 2 * letters(F.regexp_replace(v, WORD, "")) > letters(v)
+        return F.exists(F.when(whole, F.array(v)).otherwise(pieces),
+                        lambda x: F.when(F.char_length(x) >= WINDOW, secret(x)).otherwise(F.lit(False)))
+
+    return F.element_at(F.transform(F.array(plain), judged), 1)
 
 
 _ARRAY = "array<struct<s:int,k:int,e:int,v:string>>"

@@ -312,6 +312,19 @@ def test_secret_scan(docs, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_secret_shapes(spark):
+    found = ["com/services/T01AB2CD3/B04EF5GH6/k9XzQ2wLr7VbN4mTc8YpJ1sD", "api/v1/q8Zr2LmX0vB7nK4tY6wP1cD9sF3gH5jA",
+             "2024-01-02-k9XzQ2wLr7VbN4mTc8", "commit-aB3dE5fG7hI9-kL2mN4oP6qR8", "qZrTLmXwvBdnKptYgwPcyDjsF7gHh"]
+    plain = ["path/to/some/long/file/name/here/x", "getElementsByClassNameFromURL", "some-article-title-2024-part-2",
+             "2024-01-02T10-20-30Z", "2024-01-02-my-blog-post-title", "files/550e8400-e29b-41d4-a716-446655440000/view",
+             "CONSTANT_NAME_VALUE_LONG", "my-app-build-a1b2c3d4e5", "1/2/3/4/5/6/7/8/9/10/11/12", "-" * 40, "AbCd" * 9000]
+    got = {r.row.doc_id: r for r in secrets.scan(frame(spark, found + plain)).collect()}
+    for i, v in enumerate(found + plain):
+        assert [s.v for s in got[i].added] == ([v] if i < len(found) else []), v
+    clean = corpus_pipeline.secret_stage(spark, frame(spark, found), "")
+    assert {r.text for r in clean.collect()} == {"[SECRET]"}
+
+
 def test_window_entropy(spark):
     values = ["Zx9Qw8Er7Ty6Ui5Op4As3Df2", "a" * 30, "abc", "ab" * 15, "0123456789abcdef" * 3, "aaaaabbbbbcccccddddd!"]
     rows = spark.createDataFrame([(v,) for v in values], "v string").select("v", secrets.window_entropy(F.col("v")).alias("h"))
