@@ -1,7 +1,7 @@
 """Secret scans: patterns and sliding-window entropy.
 
 Patterns give the spans of three kinds (assign, access, hex).  Every long
-token-like string outside them is a candidate: its character class is read off
+token-like string, without the spans in it, is a candidate: its character class is read off
 (hex, upper case and digits, lower case and digits, mixed), a window of
 ``WINDOW`` characters slides over it, the counts per character are updated by
 the one that enters and the one that leaves, and so is the sum of c * log2(c)
@@ -152,6 +152,21 @@ def _is_secret(value: Column) -> Column:
     return F.element_at(F.transform(F.array(plain), judged), 1)
 
 
+def _outside(r: Column) -> Column:
+    """The parts of a candidate outside the base spans that hold a window."""
+    inside = F.filter("base", lambda b: (b.s < r.e) & (r.s < b.e))
+    state = F.struct(r.s.alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+
+    def step(x: Column, b: Column) -> Column:
+        gap = F.array(F.struct(x.at.alias("s"), b.s.alias("e")))
+        return F.struct(F.greatest(x.at, b.e).alias("at"), F.concat(x.out, gap).alias("out"))
+
+    parts = F.aggregate(inside, state, step, lambda x: F.concat(
+        x.out, F.array(F.struct(x.at.alias("s"), r.e.alias("e")))))
+    return F.transform(F.filter(parts, lambda x: x.e - x.s >= WINDOW), lambda x: F.struct(
+        x.s.alias("s"), r.k.alias("k"), x.e.alias("e"), F.substring(r.v, x.s - r.s + 1, x.e - x.s).alias("v")))
+
+
 _ARRAY = "array<struct<s:int,k:int,e:int,v:string>>"
 
 
@@ -175,8 +190,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         F.when(F.col("keyed"), _spans(F.col("t"), ACCESS, "access")).otherwise(none).cast(_ARRAY).alias("access"),
         F.when(F.col("long"), _spans(F.col("t"), HEX, "hex")).otherwise(none).cast(_ARRAY).alias("hex"))
     got = got.select("row", "t", "long", F.sort_array(F.concat("assign", "access", "hex")).alias("base"))
-    added = F.filter(_spans(F.col("t"), CANDIDATE, "entropy"),
-                     lambda r: ~F.exists("base", lambda b: (b.s < r.e) & (r.s < b.e)) & _is_secret(r.v))
+    added = F.filter(F.flatten(F.transform(_spans(F.col("t"), CANDIDATE, "entropy"), _outside)),
+                     lambda r: _is_secret(r.v))
     return got.select("row", "base", F.when(F.col("long"), added).otherwise(none).cast(_ARRAY).alias("added"))
 
 
