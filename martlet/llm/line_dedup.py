@@ -153,7 +153,9 @@ def frequent_lines(docs: DataFrame, index: DataFrame, text: str = "text",
     hot = F.broadcast(index.where("salts > 1").select("shard", "salts"))
     probes = (docs.select(F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), F.col(text)).alias("t2"),
                           F.explode(_distinct_hashes(F.col(text), min_chars)).alias("h"))
-              .select("t1", "t2", "h.h1", "h.h2", F.pmod("h.h1", F.lit(shards)).alias("shard"))
+              .select("t1", "t2", "h.h1", "h.h2")
+              .distinct()  # exact copies of a text share their drops and would share one salt
+              .withColumn("shard", F.pmod("h1", F.lit(shards)))
               .join(hot, "shard", "left")
               .withColumn("salt", F.pmod("t2", F.coalesce("salts", F.lit(1))).cast("int")).drop("salts"))
     copies = (index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.greatest(F.col("salts"), F.lit(1)) - 1)))
