@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed, html, langid, line_dedup, minhash, packing, pii, quality, secrets
+from . import bpe, embed, html, langid, line_dedup, minhash, mixing, packing, pii, quality, secrets
 from .common import read_table
 
 
@@ -89,6 +89,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         {"<|endoftext|>": 50256})
 
 
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out = mixing.mix(docs, keep_text=False)
+    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +104,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe_tokens, op2_main_text, op3_line_dedup, op4_language_id, op5_near_duplicates, op6_pii_pseudonyms,
-        op7_quality_rules, op8_embedding_dedup, op9_secret_scan, op10_packing, pipeline)}
+        op7_quality_rules, op8_embedding_dedup, op9_secret_scan, op10_packing,
+        op13_source_mix, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

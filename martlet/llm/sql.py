@@ -186,10 +186,82 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM docs d LEFT JOIN per_doc p ON p.rid = d.rid
 """
 
+_SQL_WEIGHT = "CASE (row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END"
+
+OP13 = rf"""
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, source AS src, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
+         (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 13))::BIGINT + 0.5)
+           / 4503599627370496.0::DOUBLE AS u
+  FROM documents
+),
+source AS (
+  SELECT src, sum(size)::BIGINT AS source_size, {_SQL_WEIGHT} AS weight FROM docs GROUP BY src
+),
+-- targets as stated: share, stop pos three times the size, share the excess again
+shares AS (
+  SELECT 0::BIGINT AS round, src, source_size, weight, false AS "full" FROM source
+  UNION ALL
+  SELECT round + 1, src, source_size, weight, "full" OR
+         ((SELECT sum(source_size) FROM source) - sum(CASE WHEN "full" THEN 3 * source_size ELSE 0 END) OVER ()) * weight
+           >= 3 * source_size::HUGEINT * sum(CASE WHEN "full" THEN 0 ELSE weight END) OVER ()
+  FROM shares WHERE round < (SELECT count(*) FROM source)
+),
+target AS (
+  SELECT src, source_size, CASE WHEN "full" THEN (3 * source_size)::DOUBLE ELSE
+         (((SELECT sum(source_size) FROM source) - sum(CASE WHEN "full" THEN 3 * source_size ELSE 0 END) OVER ()) * weight)::DOUBLE
+           / (sum(CASE WHEN "full" THEN 0 ELSE weight END) OVER ())::DOUBLE END AS target
+  FROM shares WHERE round = (SELECT count(*) FROM source)
+),
+stratum AS (
+  SELECT src, cls, sum(size) AS words, CASE WHEN cls = 0 THEN 0.0::DOUBLE ELSE sqrt(sqrt(pow(2.0::DOUBLE, cls))) END AS tilt
+  FROM (SELECT src, size, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS cls FROM docs) GROUP BY src, cls
+),
+factor AS (
+  SELECT s.*, t.source_size, t.target,
+         (target - 3 * coalesce(sum(words) OVER (PARTITION BY s.src ORDER BY cls DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / nullif(sum(tilt * words) OVER (PARTITION BY s.src ORDER BY cls DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 0) AS f
+  FROM stratum s JOIN target t ON s.src IS NOT DISTINCT FROM t.src
+),
+capped AS (
+  SELECT *, target >= 3 * source_size OR f * tilt >= 3 AS "full" FROM factor
+),
+copies AS (
+  SELECT *, CASE WHEN words = 0 THEN 0.0 WHEN "full" THEN 3.0
+                 ELSE least(3.0, tilt * arg_max(f, cls) FILTER (WHERE NOT "full" AND tilt > 0) OVER (PARTITION BY src)) END AS n FROM capped
+),
+plan AS (
+  SELECT *, n - floor(n) AS p, target - sum(floor(n) * words) OVER (PARTITION BY src) AS rest FROM copies
+),
+ranked AS (
+  SELECT d.*, c.source_size, c.target, floor(c.n)::BIGINT AS whole, c.rest,
+         CASE WHEN c.p > 0 AND d.size > 0 THEN (u / (1 - u)) * ((1 - c.p) / c.p) END AS q
+  FROM docs d JOIN plan c ON d.src IS NOT DISTINCT FROM c.src
+    AND c.cls = CASE WHEN d.size > 0 THEN length(bin(d.size)) ELSE 0 END
+),
+placed AS (SELECT *, least(floor(q / (1 + q) * 281474976710656.0::DOUBLE), 281474976710655)::BIGINT AS pos FROM ranked),
+summed AS (
+  SELECT *, sum(size) OVER (PARTITION BY src ORDER BY pos) AS upto, sum(size) OVER (PARTITION BY src, pos) AS same_at FROM placed WHERE pos IS NOT NULL
+),
+fitting AS (
+  SELECT *, upto < rest AS fits, rest - coalesce(max(CASE WHEN upto < rest THEN upto END) OVER (PARTITION BY src), 0) AS gap FROM summed
+),
+last AS (
+  SELECT src, arg_min(pos, (abs(size - gap), pos)) AS pos FROM fitting WHERE NOT fits AND abs(size - gap) < gap GROUP BY src
+),
+drawn AS (
+  SELECT rid FROM fitting f LEFT JOIN last l ON l.src IS NOT DISTINCT FROM f.src WHERE fits OR f.pos = l.pos
+)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       p.size * CASE WHEN p.size = 0 THEN 0 ELSE p.whole + (d.rid IS NOT NULL)::BIGINT END AS taken
+FROM placed p LEFT JOIN drawn d ON d.rid = p.rid
+"""
+
 ORACLES: dict[str, str] = {
     "op3_line_dedup": OP3,
     "op5_near_duplicates": OP5,
     "op7_quality_rules": OP7,
     "op8_embedding_dedup": OP8,
     "op9_secret_scan": OP9,
+    "op13_source_mix": OP13,
 }
