@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embed, html, langid, line_dedup, minhash, mixing, packing, pii, quality, secrets
+from . import alignment, bpe, embed, html, langid, line_dedup, minhash, mixing, packing, pii, quality, secrets
 from .common import read_table
 
 
@@ -89,6 +89,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         {"<|endoftext|>": 50256})
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = alignment.align(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                          vocabulary("piece_bpe_32k.model"), keep_text=False)
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "alignment.*")
+
+
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     out = mixing.mix(docs, keep_text=False)
@@ -105,7 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe_tokens, op2_main_text, op3_line_dedup, op4_language_id, op5_near_duplicates, op6_pii_pseudonyms,
         op7_quality_rules, op8_embedding_dedup, op9_secret_scan, op10_packing,
-        op13_source_mix, pipeline)}
+        op12_token_alignment, op13_source_mix, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
