@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, bpe, embed, html, langid, line_dedup, minhash, mixing, packing, pii, quality, secrets
+from . import alignment, bpe, embed, html, langid, line_dedup, minhash, mixing, negatives, packing, pii, quality, secrets
 from .common import read_table
 
 
@@ -89,6 +89,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         {"<|endoftext|>": 50256})
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(read_table(spark, sf_dir, "embeddings"), anchor_every=100, shift_every=7)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -114,7 +118,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_bpe_tokens, op2_main_text, op3_line_dedup, op4_language_id, op5_near_duplicates, op6_pii_pseudonyms,
         op7_quality_rules, op8_embedding_dedup, op9_secret_scan, op10_packing,
-        op12_token_alignment, op13_source_mix, pipeline)}
+        op11_hard_negatives, op12_token_alignment, op13_source_mix, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

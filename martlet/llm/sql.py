@@ -186,6 +186,30 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM docs d LEFT JOIN per_doc p ON p.rid = d.rid
 """
 
+OP11 = """
+WITH usable AS (
+  SELECT row_number() OVER () AS rid, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.rid AS anchor, a.vec_id AS anchor_id, c.rid, c.vec_id, a.label = c.label AS same,
+         list_inner_product(a.v, c.v)::BIGINT AS score
+  FROM usable a JOIN usable c ON a.rid <> c.rid AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0
+),
+positive AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, rid) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id, row_number() OVER best AS rank, n.vec_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+  AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW best AS (PARTITION BY p.anchor, p.rid ORDER BY n.score DESC, n.vec_id NULLS LAST, n.rid)
+QUALIFY rank <= 10
+"""
+
 _SQL_WEIGHT = "CASE (row_number() OVER (ORDER BY src NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END"
 
 OP13 = rf"""
@@ -263,5 +287,6 @@ ORACLES: dict[str, str] = {
     "op7_quality_rules": OP7,
     "op8_embedding_dedup": OP8,
     "op9_secret_scan": OP9,
+    "op11_hard_negatives": OP11,
     "op13_source_mix": OP13,
 }
