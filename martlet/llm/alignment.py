@@ -335,7 +335,7 @@ def align(docs: DataFrame, ranks_file: str, pattern: str, model_file: str, text:
     tok = Tokenizers(*shared.value)
     kept = [c for c in docs.columns if c != "alignment" and (keep_text or c != text)]
     src = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
-    row_type = src.schema["row"].dataType
+    row_type = _nullable(src.schema["row"].dataType)
     ids = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("row", row_type),
                         T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
     path = scratch_path(docs.sparkSession, "align-ids")
@@ -353,3 +353,14 @@ def align(docs: DataFrame, ranks_file: str, pattern: str, model_file: str, text:
     out = T.StructType([T.StructField("row", row_type), T.StructField("alignment", T._parse_datatype_string(STRUCT))])
     return (tokens.groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(_second_pass(shared), out).select("row.*", "alignment"))
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    """``kind`` as files and Arrow return it: every field may be null."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True, f.metadata) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType), True)
+    return kind
