@@ -9,7 +9,10 @@
    text, and the text is rebuilt without them.
 
 A shard that is probed more often than ``target`` is replicated and its probes
-are salted, so a line found in a third of all documents meets no single task.
+are dealt over the copies row by row, so a line found in a third of all documents,
+or in many copies of one text, meets no single task.  Texts meet their drop sets in
+one shuffle join at every size (a hot text's partition is split by the adaptive
+skew join); a rebuild hashes each line once, however many lines and drops a text has.
 
 Defined cases: null or empty text is one empty line; keys shorter than
 ``min_chars`` are never dropped; every row counts as a document, also when rows
@@ -22,10 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, BROADCAST_ROWS, mix64, store
+from .common import ASCII_SPACE, mix64, store
 
 KEYS_PER_SHARD = 4096
 #: Probes per group; hot shards (more probes than this) are at most 2**18.
@@ -151,13 +155,14 @@ def frequent_lines(docs: DataFrame, index: DataFrame, text: str = "text",
     target = max(PROBES_PER_GROUP, total >> MAX_HOT_SHARDS_LOG2)
     index = index.withColumn("salts", F.ceil(F.col("probes") / target).cast("int"))
     hot = F.broadcast(index.where("salts > 1").select("shard", "salts"))
+    # the text is hashed before its lines are exploded, not once per line
     probes = (docs.select(F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), F.col(text)).alias("t2"),
-                          F.explode(_distinct_hashes(F.col(text), min_chars)).alias("h"))
-              .select("t1", "t2", "h.h1", "h.h2")
-              .distinct()  # exact copies of a text share their drops and would share one salt
+                          _distinct_hashes(F.col(text), min_chars).alias("hs"))
+              .select("t1", "t2", F.explode("hs").alias("h"))
+              .select("t1", "t2", "h.h1", "h.h2", F.monotonically_increasing_id().alias("turn"))
               .withColumn("shard", F.pmod("h1", F.lit(shards)))
               .join(hot, "shard", "left")
-              .withColumn("salt", F.pmod("t2", F.coalesce("salts", F.lit(1))).cast("int")).drop("salts"))
+              .withColumn("salt", F.pmod("turn", F.coalesce("salts", F.lit(1))).cast("int")).drop("salts", "turn"))
     copies = (index.withColumn("salt", F.explode(F.sequence(F.lit(0), F.greatest(F.col("salts"), F.lit(1)) - 1)))
               .select("shard", "salt", "sizes", "bits", "prints", "counts"))
     hits = (probes.groupBy("shard", "salt").cogroup(copies.groupBy("shard", "salt"))
@@ -165,18 +170,41 @@ def frequent_lines(docs: DataFrame, index: DataFrame, text: str = "text",
     return store(hits.groupBy("t1", "t2").agg(F.collect_set("h1").alias("drops")), "line-drops")
 
 
+def _rebuilder(min_chars: int):  # noqa: ANN202
+    """Texts without the lines whose key hashes are in the drop set."""
+    strip, made = ASCII_SPACE.encode(), pa.struct([("kept", pa.string()), ("n_dropped", pa.int64())])
+
+    def dropped(line: bytes, drops: set[int]) -> bool:
+        key = line.strip(strip).lower()  # bytes: A-Z only
+        return xxhash.xxh64_intdigest(key, 42) in drops and (min_chars <= 1 or len(key.decode()) >= min_chars)
+
+    @F.arrow_udf("struct<kept: string, n_dropped: long>")
+    def rebuild(texts: pa.Array, drops: pa.Array) -> pa.Array:
+        out = []
+        for text, hashes in zip(texts, drops):
+            if not hashes.is_valid:
+                out.append(None)
+                continue
+            found = set(hashes.values.to_numpy().view(np.uint64).tolist())
+            lines = (text.as_py() or "").encode().split(b"\n")
+            kept = [line for line in lines if not dropped(line, found)]
+            out.append({"kept": b"\n".join(kept).decode(), "n_dropped": len(lines) - len(kept)})
+        return pa.array(out, made)
+
+    return rebuild
+
+
 def dedup_lines(docs: DataFrame, text: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` plus ``line_dedup: struct<n_lines, n_dropped, kept>``."""
     drops = frequent_lines(docs, line_index(docs, text, min_chars), text, min_docs, min_chars)
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "line_dedup"]).alias("row"),
                         F.xxhash64(text).alias("t1"), F.xxhash64(F.lit("second"), F.col(text)).alias("t2"))
-    held = drops.agg(F.sum(F.size("drops") + 2)).first()[0] or 0
-    joined = keyed.join(F.broadcast(drops) if held <= BROADCAST_ROWS else drops, ["t1", "t2"], "left")
-    lines = split_lines(F.col("row")[text])
-    kept = F.when(F.col("drops").isNull(), lines).otherwise(F.filter(
-        lines, lambda x: (F.char_length(line_key(x)) < min_chars)
-        | ~F.array_contains("drops", F.xxhash64(line_key(x)))))
-    out = joined.select("row", F.size(lines).cast("long").alias("n"), kept.alias("kept"))
+    joined = keyed.join(drops.hint("shuffle_hash"), ["t1", "t2"], "left")
+    whole, some = F.coalesce(F.col("row")[text], F.lit("")), F.col("drops").isNotNull()
+    # texts without drops stay in the JVM
+    made = _rebuilder(min_chars)(F.when(some, whole), F.col("drops"))
+    out = joined.select("row", whole.alias("whole"), made.alias("made"))
+    n_lines = F.char_length("whole") - F.char_length(F.replace("whole", F.lit("\n"), F.lit(""))) + 1
     return out.select("row.*", F.struct(
-        F.col("n").alias("n_lines"), (F.col("n") - F.size("kept")).cast("long").alias("n_dropped"),
-        F.concat_ws("\n", "kept").alias("kept")).alias("line_dedup"))
+        n_lines.cast("long").alias("n_lines"), F.coalesce("made.n_dropped", F.lit(0).cast("long")).alias("n_dropped"),
+        F.coalesce("made.kept", "whole").alias("kept")).alias("line_dedup"))

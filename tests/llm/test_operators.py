@@ -126,20 +126,7 @@ def test_line_dedup(docs, none):
     assert line_dedup.dedup_lines(docs.withColumn("line_dedup", F.lit(1))).count() == len(TEXTS)
 
 
-def test_line_dedup_probes_a_text_once(spark, monkeypatch):
-    real = line_dedup._prober
-
-    def checked(min_docs):
-        probe = real(min_docs)
-
-        def once(probes, index):
-            keys = list(zip(*[probes[c].to_pylist() for c in ("t1", "t2", "h1")]))
-            assert len(keys) == len(set(keys))
-            return probe(probes, index)
-
-        return once
-
-    monkeypatch.setattr(line_dedup, "_prober", checked)
+def test_line_dedup_of_copies(spark):
     copies = frame(spark, ["same line\nother line"] * 40 + [f"same line\nown {i}" for i in range(5)])
     rows = line_dedup.dedup_lines(copies).select("doc_id", "line_dedup.kept").collect()
     assert {r.doc_id: r.kept for r in rows} == {i: "" if i < 40 else f"own {i - 40}" for i in range(45)}
