@@ -18,8 +18,8 @@ from martlet.plans import metrics as M
 from martlet.plans import questions as Q
 from martlet.plans.platform import Medallion, Platform
 from martlet.session import scratch_path, tune
-from martlet.sources import adapter, ingest, schemas
-from martlet.streaming import medallion
+from martlet.sources import adapter, ingest, ledger, schemas
+from martlet.streaming import incremental, medallion
 
 AS_OF = adapter.DRIVER_AS_OF
 HIGH = adapter.DRIVER_HIGH
@@ -106,6 +106,23 @@ def _append_batch(spark, sf_dir):
         .withColumnRenamed("_loaded_at", "is_stamped")
 
 
+@register("append_batch_once")
+def _append_batch_once(spark, sf_dir):
+    """As ``append_batch``, through the batch ledger: the batch is written half
+    (staged, never committed), written, and retried twice; it counts once."""
+    raw = adapter.raw_customers(spark, sf_dir)
+    rest = [c for c in raw.columns if c != "_loaded_at"]
+    book = ledger.Ledger(spark, scratch_path(spark, "raw_customers_ledger"))
+    book.append("initial", {"raw_customers": raw})
+    keyed = ingest.next_surrogate_keys(raw, _no_stamp(raw).withColumn("_old", F.col("customer_id")),
+                                       "customer_id", order_by="_old").select(*rest)
+    book.stage("batch-1", "raw_customers", keyed.withColumn("_loaded_at", F.localtimestamp()))
+    for _ in range(3):
+        ledger.append_batch_once(book, "raw_customers", keyed, "batch-1")
+    return book.read("raw_customers").withColumn("_loaded_at", F.col("_loaded_at").isNotNull()) \
+        .withColumnRenamed("_loaded_at", "is_stamped")
+
+
 @register("materialize_table")
 def _materialize_table(spark, sf_dir):
     return ingest.materialize_table(spark, P(spark, sf_dir).fct_orders, "fct_orders")
@@ -653,10 +670,9 @@ def _landing(spark, df, name):
 
 
 def _bronze(spark, sf_dir, table="raw_orders"):
-    raw = adapter.load_raw(spark, sf_dir).as_dict()[table]
-    source = _landing(spark, raw, table)
-    paths = medallion.stream_paths(spark, f"bronze-{table}", source)
-    medallion.bronze_stream(spark, schemas.raw_schema(table, LongType()), paths, name=f"bronze_{table}")
+    """Bronze stream over the source's own files."""
+    paths = medallion.stream_paths(spark, f"bronze-{table}", sf_dir)
+    medallion.await_streams([medallion.start_stream(adapter.stream_raw(spark, sf_dir)[table], paths, f"bronze_{table}")])
     return paths.sink
 
 
@@ -707,15 +723,9 @@ def _gold(spark, sf_dir):
     """Bronze streams of four sources run together, then their silver streams
     together, then the gold batch over the drained silver folders."""
     entities = ("customers", "orders", "order_items", "payments")
-    raw = adapter.load_raw(spark, sf_dir).as_dict()
-    bronze_paths, queries = {}, []
-    for e in entities:
-        table = f"raw_{e}"
-        paths = medallion.stream_paths(spark, f"bronze-{table}", _landing(spark, raw[table], table))
-        queries.append(medallion.bronze_query(spark, schemas.raw_schema(table, LongType()), paths,
-                                              name=f"bronze_{table}"))
-        bronze_paths[e] = paths
-    medallion.await_streams(queries)
+    raw = adapter.stream_raw(spark, sf_dir)
+    bronze_paths = {e: medallion.stream_paths(spark, f"bronze-raw_{e}", sf_dir) for e in entities}
+    medallion.await_streams([medallion.start_stream(raw[f"raw_{e}"], bronze_paths[e], f"bronze_raw_{e}") for e in entities])
     silver_paths, queries = {}, []
     for e in entities:
         paths = medallion.stream_paths(spark, f"silver-{e}", bronze_paths[e].sink)
@@ -741,5 +751,51 @@ def _grr(spark, sf_dir):
     return _gold(spark, sf_dir)["gold_fct_revenue"]
 
 
+#: Days that cut the sources into batches: orders and items by load day, payments by
+#: payment day, so that some payments arrive before and some after their order.
+ORDER_CUTS, PAYMENT_CUTS = ("1996-01-01", "1998-06-01"), ("1995-01-01", "1998-06-15")
+
+
+def _incremental_gold(spark, sf_dir) -> tuple[incremental.GoldStore, DataFrame]:
+    """Three batches of silver rows, the second one sent twice, and a snapshot."""
+    raw = adapter.load_raw(spark, sf_dir).as_dict()
+    store = incremental.GoldStore(spark, scratch_path(spark, "gold-incremental"), block_rows=50_000)
+
+    def between(e, column, cuts, n):
+        rows = raw[f"raw_{e}"]
+        day = F.col(column).cast("date")
+        if n > 0:
+            rows = rows.where(day.isNull() | (day >= F.lit(cuts[n - 1]))) if n == len(cuts) else rows.where(day >= F.lit(cuts[n - 1]))
+        if n < len(cuts):
+            rows = rows.where(day < F.lit(cuts[n]))
+        return staging.silver(e, rows)
+
+    for n in range(3):
+        changes = incremental.order_changes(between("orders", "_loaded_at", ORDER_CUTS, n),
+                                            between("order_items", "_loaded_at", ORDER_CUTS, n),
+                                            between("payments", "payment_date", PAYMENT_CUTS, n))
+        store.refresh(f"batch-{n}", changes)
+        if n == 1:
+            store.refresh(f"batch-{n}", changes)
+            store.compact()
+    return store, staging.silver("customers", raw["raw_customers"])
+
+
+@register("gold_refresh_incremental")
+def _gri(spark, sf_dir):
+    return _incremental_gold(spark, sf_dir)[0].gold_fct_orders()
+
+
+@register("gold_refresh_incremental_dim_customers")
+def _gric(spark, sf_dir):
+    store, customers = _incremental_gold(spark, sf_dir)
+    return store.gold_dim_customers(customers, HIGH, MID)
+
+
+@register("gold_refresh_incremental_fct_revenue")
+def _grir(spark, sf_dir):
+    return _incremental_gold(spark, sf_dir)[0].gold_fct_revenue()
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

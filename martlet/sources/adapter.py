@@ -186,6 +186,24 @@ def load_raw(spark: SparkSession, sf_dir: str) -> DriverRawTables:
     return DriverRawTables(spark, sf_dir)
 
 
+def stream_raw(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> dict[str, DataFrame]:
+    """The raw tables but reviews as streams over the driver's own files: each new
+    file of a source folder is read once per checkpoint, nothing is copied first.
+    ``nation`` is a lookup and stays a batch table."""
+    def read(name: str) -> DataFrame:
+        table = read_table(spark, sf_dir, name)
+        if name == "nation":
+            return table
+        reader = spark.readStream.schema(table.schema)
+        if max_files:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        # a glob: a stream source takes one file by a pattern only, a folder either way
+        return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parque[t]")
+
+    builders = DriverRawTables._BUILDERS
+    return {f"raw_{e}": builders[e](spark, sf_dir, read=read) for e in builders if e != "reviews"}
+
+
 # The same mapping as DuckDB SQL, for the oracle (CTE text, no trailing comma).
 ADAPTER_SQL = """
 raw_customers AS (
