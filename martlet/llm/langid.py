@@ -114,39 +114,51 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     return langs, np.log((prior + 1) / (prior + 1).sum()), logp
 
 
-def score_texts(texts: list[str], prior: np.ndarray, logp: np.ndarray) -> np.ndarray:
-    """Posterior of every language for every text."""
-    total = np.tile(prior, (len(texts), 1))
+def score_texts(texts: list[str], prior: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every text, the posterior of every language, and how much more likely the
+    best one makes an n-gram than a uniform background does (mean log ratio)."""
+    total, n = np.tile(prior, (len(texts), 1)), np.zeros(len(texts))
     for bucket, own in grams(texts):
+        n += np.bincount(own, minlength=len(texts))
         for j in range(logp.shape[1]):
             total[:, j] += np.bincount(own, weights=logp[bucket, j], minlength=len(texts))
-    total -= total.max(axis=1, keepdims=True)
-    p = np.exp(total)
-    return p / p.sum(axis=1, keepdims=True)
+    return _posterior(total, prior, n)
 
 
-def _score_long(text: str, prior: np.ndarray, logp: np.ndarray) -> np.ndarray:
-    total = prior.copy()
+def _posterior(total: np.ndarray, prior: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    best = total.argmax(axis=1)
+    fit = (total[np.arange(len(total)), best] - prior[best]) / np.maximum(n, 1) + np.log(BUCKETS)
+    p = np.exp(total - total.max(axis=1, keepdims=True))
+    return p / p.sum(axis=1, keepdims=True), fit
+
+
+def _score_long(text: str, prior: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, float]:
+    total, n = prior.copy(), 0
     for piece in _pieces(text):
         for bucket, _ in grams([piece]):
+            n += len(bucket)
             total = total + np.bincount(bucket, minlength=BUCKETS) @ logp
-    p = np.exp(total - total.max())
-    return p / p.sum()
+    p, fit = _posterior(total[None, :], prior, np.array([n]))
+    return p[0], float(fit[0])
 
 
 def identify(docs: DataFrame, train_on: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """``docs`` plus ``lang_id: struct<lang_pred, score>``; learns from
-    ``train_on`` (default: ``docs`` itself), never from the held-out rows."""
+    """``docs`` plus ``lang_id: struct<lang_pred, score, fit>``; learns from
+    ``train_on`` (default: ``docs`` itself), never from the held-out rows.  ``fit`` is
+    the mean log ratio of the text's n-grams under the predicted language and under a
+    uniform background (0 for ``und``): above 0, the language explains the text; null
+    when there was nothing to learn from."""
     langs, prior, logp = train(docs if train_on is None else train_on)
     model = docs.sparkSession.sparkContext.broadcast((langs, prior, logp))
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, fit double")
     def predict(column):  # noqa: ANN001, ANN202
         import pandas as pd
 
         langs, prior, logp = model.value
         texts = column.tolist()
         pred, score = ["und"] * len(texts), np.zeros(len(texts))
+        fit = np.full(len(texts), 0.0 if langs else np.nan)
         ask = [i for i, t in enumerate(texts) if t and langs and _LETTER.search(t)]
         start, held = 0, 0
         for k, i in enumerate(ask):
@@ -156,11 +168,11 @@ def identify(docs: DataFrame, train_on: DataFrame | None = None, text: str = "te
             group, start, held = ask[start:k + 1], k + 1, 0
             long = [i for i in group if len(texts[i]) > SEGMENT]
             rest = [i for i in group if len(texts[i]) <= SEGMENT]
-            p = dict(zip(rest, score_texts([texts[i] for i in rest], prior, logp))) if rest else {}
-            p.update((i, _score_long(texts[i], prior, logp)) for i in long)
-            for i in group:
-                best = int(p[i].argmax())
-                pred[i], score[i] = langs[best], round(float(p[i][best]), 6)
-        return pd.DataFrame({"lang_pred": pred, "score": score})
+            made = dict(zip(rest, zip(*score_texts([texts[i] for i in rest], prior, logp)))) if rest else {}
+            made.update((i, _score_long(texts[i], prior, logp)) for i in long)
+            for i, (p, f) in made.items():
+                best = int(p.argmax())
+                pred[i], score[i], fit[i] = langs[best], round(float(p[best]), 6), round(float(f), 6)
+        return pd.DataFrame({"lang_pred": pred, "score": score, "fit": fit})
 
     return docs.withColumn("lang_id", predict(F.col(f"`{text}`")))

@@ -21,8 +21,12 @@ Documents with one shingle set (copies) are one node from the start.
 
 Defined cases: null, empty or blank text has an empty set and links with
 nothing; fewer words than the width make one shingle of the whole sequence;
-``doc_id`` is the key (rows that repeat it share a verdict); a null doc_id is
-its own component and is kept; an empty table gives an empty result.
+``doc_id`` is the key: rows that repeat id and text share a verdict; of an id with
+different texts each row is judged by its own text, joins the class of copies of that
+text under other ids, and is otherwise its own component (such an id stands for no
+class); a null doc_id is its own component and is kept; an empty table gives an
+empty result; texts of any length are read whole, ``SEGMENT`` bytes at a time; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -199,9 +203,9 @@ def _sign(width: int, bands: int, rows: int):
                     pa.array(np.concatenate(([0], np.cumsum(np.where(none, 0, bands)))), pa.int32()),
                     pa.array(key[~none].reshape(-1), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(n, pa.int64()),
+                    [batch.column("doc_id").slice(a, b - a), batch.column("tag").slice(a, b - a), pa.array(n, pa.int64()),
                      pa.array(sums[0], pa.int64(), mask=none), pa.array(sums[1], pa.int64(), mask=none), lists],
-                    names=["doc_id", "n_shingles", "k1", "k2", "bands"])
+                    names=["doc_id", "tag", "n_shingles", "k1", "k2", "bands"])
     return run
 
 
@@ -272,19 +276,26 @@ def _verify(percent: int):
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``docs(doc_id, text)`` -> ``doc_id, n_shingles, component_id, kept``."""
+                    bands: int = BANDS, rows: int = ROWS, tag: Column | None = None) -> DataFrame:
+    """``docs(doc_id, text)`` -> ``doc_id, n_shingles, component_id, kept``, and
+    ``tag``, a long of each row, if one is given."""
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = store(src.mapInArrow(_sign(width, bands, rows),
-                                  "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"), "mh-signed")
+    tagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                         (F.lit(0) if tag is None else tag).cast("long").alias("tag"))
+    signed = store(tagged.mapInArrow(_sign(width, bands, rows),
+                                     "doc_id long, tag long, n_shingles long, k1 long, k2 long, bands array<long>"), "mh-signed")
+    usable = signed.where("k1 is not null and doc_id is not null")
+    key = F.struct("k1", "k2")
+    repeated = store(usable.groupBy("doc_id").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+                     .where("lo <> hi").select("doc_id"), "mh-repeated")
     # one node per shingle set
-    nodes = store(signed.where("k1 is not null and doc_id is not null").groupBy("k1", "k2")
+    nodes = store(usable.join(sized(repeated), "doc_id", "left_anti").groupBy("k1", "k2")
                   .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "mh-nodes")
     comp = _components(src, nodes, width, percent)
     classes = store(nodes.select("k1", "k2", "rep").join(comp, F.col("rep") == F.col("id"), "left")
                     .select("k1", "k2", F.coalesce("component", "rep").alias("component")), "mh-classes")
     out = signed.drop("bands").join(sized(classes), ["k1", "k2"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), *([] if tag is None else ["tag"]))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 

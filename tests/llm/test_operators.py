@@ -154,7 +154,7 @@ def test_language_id(spark, docs, none):
     want = np.log(count + 0.5) - np.log((count + 0.5).sum(axis=0))
     assert np.allclose(logp, want)
     got = {r.doc_id: r.lang_id for r in langid.identify(docs, train_on=train).collect()}
-    assert [tuple(got[i]) for i in (0, 1, 2, 18)] == [("und", 0.0)] * 4
+    assert [tuple(got[i]) for i in (0, 1, 2, 18)] == [("und", 0.0, 0.0)] * 4
     assert got[10].lang_pred == "de" and got[11].lang_pred == "en" and 0 <= got[11].score <= 1
     assert langid.identify(none, train_on=train).count() == 0
     assert {r.lang_id.lang_pred for r in langid.identify(docs, train_on=train.limit(0)).collect()} == {"und"}
@@ -402,6 +402,38 @@ def test_pipeline_stages(docs, tmp_path):
     assert "shared" not in "".join(r.text.lower() for i, r in rows.items() if 20 <= i < 32)
 
 
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def test_pipeline_stages_of_nothing_and_of_clashing_names(docs, none):
+    clash = docs.selectExpr("*", "1 as lang_id", "2 as tag", "3 as kept", "4 as new", "5 as spans", "6 as t1", "7 as made",
+                            "8 as whole", "9 as gone_id", "10 as line_dedup_rows")
+    for name, run in corpus_pipeline.STAGES:
+        assert run(docs.sparkSession, none, "").count() == 0
+        out = run(docs.sparkSession, clash, "")
+        assert name == "packing" or out.columns == clash.columns
+        assert out.count() > 0
+
+
+def test_near_duplicate_stage_judges_id_and_text(spark):
+    rows = [(1, BASE), (5, "another text of its own " + BASE[:900:-1]), (5, BASE), (5, BASE), (None, BASE), (7, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.lit("en"))
+    kept = [(r.doc_id, r.text) for r in stage("near_duplicates")(spark, df, "").collect()]
+    assert sorted(kept, key=str) == sorted([rows[0], rows[1], (None, BASE), (7, None), (8, "")], key=str)
+
+
+def test_language_stage(spark):
+    english, german = "the cat and the dog ran over the hill ", "der hund und die katze liefen nicht weit "
+    rows = [(i, (german if i % 2 else english) * 5, "de" if i % 2 else "en") for i in range(40)]
+    rows += [(100, "漢字仮名交じり文の例です" * 20, None), (101, "x9#Qz7kP2vL0wR4tY6bN8mC1dF3gH5jS" * 10, None), (102, "1 2 3", None), (103, english, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r.doc_id for r in stage("language_id")(spark, df, "").collect()}
+    assert kept == {*range(40), 103}
+    unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
+    assert stage("language_id")(spark, unlabelled, "").count() == len(rows)  # nothing to learn from: nothing is dropped
+
+
 def test_large_buckets_of_many_groups(spark, monkeypatch):
     """Texts of one template: most pairs are just under the similarity, so every
     bucket is large and holds many groups; one star round leaves most of them to
