@@ -1,6 +1,12 @@
 """The corpus pipeline: language ID, line dedup, near-dedup, secret redaction,
 packing.  Each stage reads all that its predecessor kept, is written as Parquet
-and read again; all but the last return the columns of ``documents``."""
+and read again; all but the last return the columns of ``documents``.
+
+Defined cases, for every stage: null text counts as empty (language ID drops texts
+without a letter, so later stages see none of them); rows that repeat id and text are
+one document and share each decision, rows that repeat an id only are documents of
+their own; other columns, whatever their names, come out as they went in; an empty
+table gives an empty result; texts are read whole whatever their length."""
 
 from __future__ import annotations
 
@@ -10,9 +16,6 @@ from pyspark.sql import functions as F
 from martlet.llm import langid, line_dedup, minhash, packing, queries, secrets
 from martlet.llm.common import read_table, store
 
-#: A text is rejected without a letter or when no language reaches this share.
-MIN_SCORE = 0.5
-
 
 def _with_text(docs: DataFrame, made: DataFrame, row: Column, text: Column) -> DataFrame:
     """The columns of ``docs`` from ``row``, with a new text and its length."""
@@ -23,10 +26,11 @@ def _with_text(docs: DataFrame, made: DataFrame, row: Column, text: Column) -> D
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts whose language is not recognised (no letter, or no language
-    above ``MIN_SCORE``)."""
-    out = langid.identify(docs)
-    return out.where((F.col("lang_id.lang_pred") != "und") & (F.col("lang_id.score") >= MIN_SCORE)).select(*docs.columns)
+    """Drops texts whose language is not recognised: no letter, or n-grams that the
+    best learned language explains no better than a uniform background.  Keeps all
+    when no row has a label to learn from."""
+    fit = langid.identify(docs.select("doc_id", "text", "lang", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")))
+    return fit.where(F.isnan("lang_id.fit") | F.coalesce(F.col("lang_id.fit") > 0, F.lit(True))).select("row.*")
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +42,13 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates (five-word shingles,
-    similarity 0.8)."""
-    gone = minhash.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    similarity 0.8).  A decision holds for an id and text, not for an id alone."""
+    tag = F.xxhash64("text")
+    gone = (minhash.near_duplicates(docs.select("doc_id", "text"), tag=tag).where("not kept")
+            .select(F.col("doc_id").alias("gone_id"), F.col("tag").alias("gone_tag")).distinct().alias("gone"))
+    return docs.alias("docs").join(
+        gone, (F.col("docs.doc_id").cast("long") == F.col("gone.gone_id")) & (F.xxhash64("docs.text") == F.col("gone.gone_tag")),
+        "left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
