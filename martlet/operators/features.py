@@ -7,8 +7,8 @@ Rewrites (same results, cheaper plans):
 * quintile cut points are a lazy one-row aggregate joined back by broadcast
   (no ``approxQuantile`` driver round trips mid-plan); the exact form is a
   distributed ``percentile_disc`` (:func:`martlet.operators.ordered.exact_quantiles`);
-* inter-order gaps use a range-partitioned lag, so a customer with a third of
-  all orders is spread over many tasks;
+* inter-order gaps use a lag that cuts large customers into slices of time, so one
+  with a third of all orders is spread over many tasks;
 * payment-method pairs are built from (customer, method) aggregates — at
   most one row per method per customer — instead of order x order rows.
 """
@@ -25,6 +25,7 @@ from martlet.operators.grain import n_distinct_where, order_grain
 from martlet.session import shared_dir
 from martlet.operators.ordered import (approx_quantiles, bounded_cuts, exact_quantiles_multi,
                                       lag_by_group)
+from martlet.operators.skew import HotKeys, split_join
 
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
@@ -35,14 +36,17 @@ def _avg4(sum_col, count_col):
     return exact_ratio(sum_col, count_col, 4)
 
 
-def customer_order_history(dim_customers: DataFrame, fct_orders: DataFrame, as_of=None) -> DataFrame:
-    """Customer x order grain with recency and tenure (inner join)."""
+def customer_order_history(dim_customers: DataFrame, fct_orders: DataFrame, as_of=None,
+                           hot: HotKeys | None = None) -> DataFrame:
+    """Customer x order grain with recency and tenure (inner join); the orders of
+    ``hot`` customers are dealt over several tasks."""
     day = as_of_date(as_of)
     c = dim_customers.select("customer_id", "customer_segment", "country", "total_lifetime_value",
                              "number_of_orders", "first_order_date", "most_recent_order_date")
     o = fct_orders.select("customer_id", "order_id", "order_date", "status", "payment_method",
                           "number_of_items", "items_total", "amount_paid")
-    return (c.join(o, "customer_id")
+    names = [*c.columns, *[x for x in o.columns if x != "customer_id"]]
+    return (split_join(o, c, "customer_id", hot=hot).select(*names)
             .withColumn("days_since_last_order", F.datediff(day, F.col("most_recent_order_date")))
             .withColumn("customer_tenure_days",
                         F.datediff(F.col("most_recent_order_date"), F.col("first_order_date"))))
@@ -161,12 +165,13 @@ def churn_order_features(fct_orders: DataFrame) -> DataFrame:
         "last_order_date", "first_order_date", "distinct_payment_methods")
 
 
-def order_gaps(fct_orders: DataFrame) -> DataFrame:
+def order_gaps(orders: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Days between consecutive orders per customer (ordered by date, then
-    order id — a total order, trap T8): average, sample stddev and max."""
-    o = fct_orders.select("customer_id", "order_date", "order_id")
+    order id — a total order, trap T8): average, sample stddev and max.  ``orders``
+    is the order fact, or the staged orders, which hold the same three columns."""
+    o = orders.select("customer_id", "order_date", "order_id")
     lagged = lag_by_group(o, "customer_id", ["order_date", "order_id"], "order_date",
-                          out="prev_order_date")
+                          out="prev_order_date", hot=hot)
     gaps = (lagged.withColumn("gap", F.datediff("order_date", "prev_order_date"))
             .filter(F.col("gap").isNotNull()))
     return gaps.groupBy("customer_id").agg(

@@ -257,7 +257,7 @@ def _prbp(spark, sf_dir):
 @register("customer_order_history")
 def _coh(spark, sf_dir):
     p = P(spark, sf_dir)
-    return features.customer_order_history(p.dim_customers, p.fct_orders, AS_OF)
+    return features.customer_order_history(p.dim_customers, p.fct_orders, AS_OF, p.hot_customers)
 
 
 def _rfm(spark, sf_dir):
@@ -295,7 +295,8 @@ def _cof(spark, sf_dir):
 
 @register("order_gaps")
 def _og(spark, sf_dir):
-    return features.order_gaps(P(spark, sf_dir).fct_orders)
+    p = P(spark, sf_dir)
+    return features.order_gaps(p.stg_orders, p.hot_customers)
 
 
 @register("customer_churn_features")
@@ -334,6 +335,12 @@ def _models(spark, sf_dir):
     return _Models(P(spark, sf_dir))
 
 
+def _split_query(spark, sf_dir, metrics, dims):
+    """A metric query whose customer join deals the orders of hot customers."""
+    p = P(spark, sf_dir)
+    return M.metric_query(_Models(p), metrics, dims=dims, hot={"customer_id": p.hot_customers})
+
+
 for _metric in M.METRICS:
     register(f"metric_{_metric}")(
         lambda spark, sf_dir, _m=_metric: M.metric_query(_models(spark, sf_dir), [_m]))
@@ -354,8 +361,7 @@ def _mbm(spark, sf_dir):
 
 @register("metric_cross_model")
 def _mcm(spark, sf_dir):
-    return M.metric_query(_models(spark, sf_dir), ["total_recognised_revenue", "total_orders"],
-                          dims=["customer_segment"])
+    return _split_query(spark, sf_dir, ["total_recognised_revenue", "total_orders"], ["customer_segment"])
 
 
 @register("metric_filtered")
@@ -371,13 +377,12 @@ def _mr(spark, sf_dir):
 
 @register("metric_derived")
 def _md(spark, sf_dir):
-    return M.metric_query(_models(spark, sf_dir), ["revenue_per_customer"], dims=["country"])
+    return _split_query(spark, sf_dir, ["revenue_per_customer"], ["country"])
 
 
 @register("metric_return_rate_by_category_segment")
 def _mrc(spark, sf_dir):
-    return M.metric_query(_models(spark, sf_dir), ["return_rate", "total_orders"],
-                          dims=["category", "customer_segment"])
+    return _split_query(spark, sf_dir, ["return_rate", "total_orders"], ["category", "customer_segment"])
 
 
 @register("metric_time_spine")
@@ -442,8 +447,9 @@ def _breakdown(metric: str, by: str):
     def run(spark, sf_dir):
         p = P(spark, sf_dir)
         # customer metrics' fourth breakdown is by country (same explorer slot)
+        hot = p.hot_customers if (metric, by) == ("return_rate", "segment") else None
         return Q.breakdown(metric, "payment_method" if by == "country" else by,
-                           p.dim_customers, p.fct_orders)
+                           p.dim_customers, p.fct_orders, hot)
     return run
 
 
@@ -504,7 +510,7 @@ def _hvc(spark, sf_dir):
 def _rrcs(spark, sf_dir):
     p = P(spark, sf_dir)
     return Q.return_rate_by_category_segment(p.stg_order_items, p.dim_products, p.fct_orders,
-                                             p.dim_customers)
+                                             p.dim_customers, p.hot_customers)
 
 
 @register("revenue_quarter_country")

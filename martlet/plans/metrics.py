@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlet.functions import exact_ratio
+from martlet.operators.skew import HotKeys, split_join
 
 
 @dataclass(frozen=True)
@@ -195,7 +196,7 @@ def _product_bridge(models: dict[str, DataFrame], dims: list[str]) -> DataFrame:
 
 
 def _model_frame(models: dict[str, DataFrame], model: str, dims: list[str],
-                 where: str | None = None) -> DataFrame:
+                 where: str | None = None, hot: dict[str, HotKeys] | None = None) -> DataFrame:
     """The model, joined to another model's dimensions through its entity key
     when a requested dimension (or a column named in ``where``) lives there."""
     df = models[model]
@@ -212,7 +213,7 @@ def _model_frame(models: dict[str, DataFrame], model: str, dims: list[str],
             foreign += [c for c in models[dim_model].columns
                         if c in named and c not in own and c not in foreign]
         if foreign and all(d in models[dim_model].columns for d in foreign):
-            return df.join(models[dim_model].select(key, *foreign), key, "left")
+            return split_join(df, models[dim_model].select(key, *foreign), key, "left", (hot or {}).get(key))
     if foreign:
         raise ValueError(f"dimensions {foreign} not reachable from {model}")
     return df
@@ -231,14 +232,15 @@ def _simple_parts(metric: Metric) -> list[tuple[str, Metric, str | None]]:
 
 
 def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[str] | None = None,
-                 grain: str | None = None, where: str | None = None) -> DataFrame:
+                 grain: str | None = None, where: str | None = None, hot: dict[str, HotKeys] | None = None) -> DataFrame:
     """Answer ``metrics`` grouped by ``dims`` (+ ``metric_time`` at ``grain``).
 
     ``where`` is a SQL predicate over the model's (and joined) columns.
     It filters the models that reach all of its columns, and is an error when
     none does.  Ratio metrics are num/den of two conditional aggregates; derived
     metrics evaluate their formula over the finished input metrics after
-    joining the per-model aggregates on the requested dimensions.
+    joining the per-model aggregates on the requested dimensions.  ``hot`` names, per
+    entity key, the keys whose fact rows are dealt over several tasks of a join.
     """
     dims = list(dims or [])
     wanted = [METRICS[m] for m in metrics]
@@ -252,7 +254,7 @@ def metric_query(models: dict[str, DataFrame], metrics: list[str], dims: list[st
     frames, filtered = [], False
     columns = {c for m in models for c in models[m].columns} if where else set()
     for model, parts in by_model.items():
-        df = _model_frame(models, model, dims, where)
+        df = _model_frame(models, model, dims, where, hot)
         # the predicate goes to the models that reach all of its columns
         if where and (_named(where) & columns) <= set(df.columns):
             df, filtered = df.filter(F.expr(where)), True

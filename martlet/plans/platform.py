@@ -14,6 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from martlet.operators import marts, staging
+from martlet.operators.skew import HotKeys, hot_keys
 from martlet.sources.adapter import DRIVER_AS_OF, DRIVER_HIGH, DRIVER_MID, load_raw
 from martlet.sources.ingest import materialize_table
 
@@ -79,6 +80,12 @@ class Platform:
     def dim_products(self) -> DataFrame:
         return marts.dim_products(self.stg_products)
 
+    @cached_property
+    def hot_customers(self) -> HotKeys:
+        """Customers with more orders than an average partition (one sketch over
+        the orders' customer column)."""
+        return hot_keys(self.stg_orders, "customer_id")
+
     def models(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in (
             "stg_customers", "stg_orders", "stg_order_items", "stg_products", "stg_payments",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions import as_of_date, exact_ratio, is_completed, is_returned, money_zero
 from martlet.operators.grain import n_distinct, n_distinct_where, order_grain
+from martlet.operators.skew import HotKeys, split_join
 
 
 def _div(num, den, scale, num_type="decimal(22,2)"):
@@ -102,7 +103,7 @@ def _month(c):
     return F.trunc(c, "month")
 
 
-def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame) -> DataFrame:
+def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """The explorer's five metrics x {total, month, segment, payment method
     (country for customer metrics)}.  Output (metric_name, value) for
     ``total`` and (period, value) otherwise."""
@@ -115,7 +116,7 @@ def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame) -> DataFrame
         name = "total_recognised_revenue" if metric == "revenue" else "avg_order_value"
         time_col = "order_date"
     elif metric == "return_rate":
-        return _return_rate_breakdown(by, dim, fct)
+        return _return_rate_breakdown(by, dim, fct, hot)
     elif metric == "customers":
         base = dim
         value = F.count_distinct("customer_id")
@@ -144,15 +145,15 @@ def breakdown(metric: str, by: str, dim: DataFrame, fct: DataFrame) -> DataFrame
     raise ValueError(by)
 
 
-def _return_rate_breakdown(by: str, dim: DataFrame, fct: DataFrame) -> DataFrame:
+def _return_rate_breakdown(by: str, dim: DataFrame, fct: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Returned share of distinct orders, via the order grain (no Expand)."""
     if by == "total":
         base, keys = fct, []
     elif by == "month":
         base, keys = fct.withColumn("period", _month("order_date")), ["period"]
     elif by == "segment":
-        base = fct.join(dim.select("customer_id", F.col("customer_segment").alias("period")),
-                        "customer_id")
+        base = split_join(fct.select("customer_id", "order_id", "status"),
+                          dim.select("customer_id", F.col("customer_segment").alias("period")), "customer_id", hot=hot)
         keys = ["period"]
     elif by == "payment_method":
         base, keys = fct.withColumn("period", F.col("payment_method")), ["period"]
@@ -270,15 +271,14 @@ def high_value_customers(dim: DataFrame, high=500) -> DataFrame:
 
 
 def return_rate_by_category_segment(order_items: DataFrame, dim_products: DataFrame,
-                                    fct: DataFrame, dim: DataFrame) -> DataFrame:
+                                    fct: DataFrame, dim: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Per (customer segment, product category): distinct orders holding an
     item of the category, how many were returned, and the rate (%)."""
     order_cats = (order_items.select("order_id", "product_id")
                   .join(dim_products.select("product_id", "category"), "product_id")
                   .select("order_id", "category").distinct())
     o = fct.select("order_id", "customer_id", "status")
-    j = (order_cats.join(o, "order_id")
-         .join(dim.select("customer_id", "customer_segment"), "customer_id", "left"))
+    j = split_join(order_cats.join(o, "order_id"), dim.select("customer_id", "customer_segment"), "customer_id", "left", hot)
     g = (order_grain(j, ["customer_segment", "category"], flags={"_r": is_returned()})
          .groupBy("customer_segment", "category")
          .agg(n_distinct().alias("orders"), n_distinct_where("_r").alias("returned_orders")))

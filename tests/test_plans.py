@@ -4,6 +4,7 @@ no Expand on the order fact where distinct counts were rewritten."""
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from martlet.plans import catalog
@@ -47,10 +48,21 @@ def test_no_cartesian_products(spark, smoke_dir):
         assert "CartesianProduct" not in plan_of(spark, smoke_dir, name)
 
 
-def test_gaps_window_is_not_per_customer_only(spark, smoke_dir):
+def test_gaps_shuffle_the_orders_once(spark, smoke_dir):
+    """No pinned copy, no join while no customer is hot; a hot customer is cut into
+    slices that the window goes over."""
+    from martlet.operators import features
+    from martlet.plans.platform import Platform
+
     plan = plan_of(spark, smoke_dir, "order_gaps")
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert windows and all("_pid" in w for w in windows if "lag(" in w)
+    assert "Scan ExistingRDD" not in plan and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning(customer_id") == 1
+    orders = Platform.from_driver(spark, smoke_dir).stg_orders
+    hot = orders.withColumn("customer_id", F.when(F.col("order_id") % 3 == 0, F.lit(-1)).otherwise(F.col("customer_id")))
+    plan = features.order_gaps(hot)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line and "lag(order_date" in line]
+    assert windows and all("_slice" in w for w in windows)
+    assert "Scan ExistingRDD" not in plan
 
 
 def test_co_bucketed_marts_need_no_shuffle(spark, smoke_dir, tmp_path):
@@ -76,7 +88,7 @@ def test_co_bucketed_marts_need_no_shuffle(spark, smoke_dir, tmp_path):
 
 
 SIDE_EFFECT_KEYS = {"bronze_stream", "silver_stream", "silver_stream_events", "gold_refresh",
-                    "append_batch", "scan_source", "bronze_copy", "create_typed_table",
+                    "append_batch", "append_batch_once", "scan_source", "bronze_copy", "create_typed_table",
                     "materialize_table"}
 
 
