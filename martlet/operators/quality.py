@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlet.functions import as_of_timestamp
 
@@ -201,32 +202,62 @@ MODEL_TESTS: dict[str, list[ColumnTest]] = {
 REPORT_COLUMNS = ["model", "test", "column_name", "severity", "failures", "status"]
 
 
-def _row_tests_pass(model: str, df: DataFrame, tests: list[ColumnTest]) -> DataFrame | None:
-    """not_null / accepted_values / expression tests in ONE aggregate pass.
-
-    accepted_values counts distinct failing values (the test reports one row
-    per failing value); that distinct count is bounded by the column's domain
-    and runs as a second, distinct-aggregate phase of the same job.
-    """
-    exprs, meta = [], []
-    for i, t in enumerate(tests):
-        if t.kind == "not_null":
-            exprs.append(F.count(F.when(F.col(t.column).isNull(), 1)).alias(f"_t{i}"))
-        elif t.kind == "expression":
-            ok = F.coalesce(F.expr(t.predicate), F.lit(False))
-            exprs.append(F.count(F.when(~ok, 1)).alias(f"_t{i}"))
-        elif t.kind == "accepted_values":
-            bad = F.col(t.column).isNotNull() & ~F.col(t.column).isin(list(t.values))
-            exprs.append(F.count_distinct(F.when(bad, F.col(t.column))).alias(f"_t{i}"))
-        else:
-            continue
-        meta.append((i, t))
-    if not exprs:
-        return None
-    agg = df.agg(*exprs)
-    pairs = ", ".join(f"'{t.label}', '{t.column}', '{t.severity}', CAST(_t{i} AS BIGINT)"
-                      for i, t in meta)
-    return agg.select(F.expr(f"stack({len(meta)}, {pairs}) AS (test, column_name, severity, failures)"))
+def _key(c: Column, kind: T.DataType) -> list[Column]:
+    """A key in two longs: an integer as it is, anything else as 128 bits of hash."""
+    if isinstance(kind, T.IntegralType):
+        return [c.cast("bigint").alias("k1"), F.lit(0).cast("bigint").alias("k2")]
+    return [F.xxhash64(c).alias("k1"), F.xxhash64(F.lit("second"), c).alias("k2")]
+
+
+def _tag(test: int, key: list[Column] | None, when: Column, parent: bool = False) -> Column:
+    """One tagged row where ``when`` holds: the test, the key it is about, and whether
+    the row counts on the child's or the parent's side."""
+    key = key or [F.lit(0).cast("bigint").alias("k1"), F.lit(0).cast("bigint").alias("k2")]
+    return F.when(when, F.struct(F.lit(test).alias("test"), *key, F.lit(0 if parent else 1).cast("bigint").alias("child"),
+                                 F.lit(1 if parent else 0).cast("bigint").alias("parent")))
+
+
+def _tags(number: int, t: ColumnTest, df: DataFrame) -> Column:
+    c = F.col(t.column)
+    if t.kind == "not_null":
+        return _tag(number, None, c.isNull())
+    if t.kind == "expression":
+        return _tag(number, None, ~F.coalesce(F.expr(t.predicate), F.lit(False)))
+    key = _key(c, df.schema[t.column].dataType)
+    if t.kind == "accepted_values":
+        return _tag(number, key, c.isNotNull() & ~c.isin(list(t.values)))
+    if t.kind in ("unique", "relationships"):
+        return _tag(number, key, c.isNotNull())
+    raise ValueError(f"unknown test kind {t.kind!r}")
+
+
+def key_audit(models: dict[str, DataFrame], flat: list[tuple[str, ColumnTest]]) -> DataFrame:
+    """``(test, failures)`` of numbered tests that have any row to count.
+
+    Every model is read once: a row becomes one tagged row (test, key) per key test
+    and per failed row test, a parent's row one for each relationship that points
+    at it.  All of them go through one exchange with a combined count per (test,
+    key): a hot key, or a test that fails on every row, is one row per map task."""
+    emits: dict[str, list[Column]] = {}
+    for i, (model, t) in enumerate(flat):
+        emits.setdefault(model, []).append(_tags(i, t, models[model]))
+        if t.kind == "relationships":
+            field = F.col(t.field)
+            key = _key(field, models[t.parent].schema[t.field].dataType)
+            emits.setdefault(t.parent, []).append(_tag(i, key, field.isNotNull(), parent=True))
+    rows = reduce(DataFrame.union, [
+        models[model].select(F.explode(F.array(*tags)).alias("x")).where("x is not null").select("x.*")
+        for model, tags in emits.items()])
+    held = rows.groupBy("test", "k1", "k2").agg(F.sum("child").alias("child"), F.sum("parent").alias("parent"))
+
+    def is_kind(kind: str) -> Column:
+        return F.col("test").isin([i for i, (_, t) in enumerate(flat) if t.kind == kind])
+
+    failed = (F.when(is_kind("unique"), (F.col("child") > 1).cast("bigint"))
+              .when(is_kind("accepted_values"), F.lit(1).cast("bigint"))
+              .when(is_kind("relationships"), F.when(F.col("parent") == 0, F.col("child")).otherwise(0))
+              .otherwise(F.col("child")))
+    return held.groupBy("test").agg(F.sum(failed).alias("failures"))
 
 
 def quality_report(models: dict[str, DataFrame],
@@ -235,35 +266,28 @@ def quality_report(models: dict[str, DataFrame],
     (pass a shorter ``tests`` for fewer models).
 
     Returns (model, test, column_name, severity, failures, status) where
-    status is ``pass``, ``warn`` or ``fail`` by the test's severity.
+    status is ``pass``, ``warn`` or ``fail`` by the test's severity.  Failures are
+    null rows (``not_null``), rows against a predicate (``expression``), distinct
+    values outside a list (``accepted_values``), keys seen more than once
+    (``unique``) and child rows without a parent (``relationships``).
     """
     tests = MODEL_TESTS if tests is None else tests
-    parts: list[DataFrame] = []
-    for model, model_tests in tests.items():
+    flat = [(model, t) for model, model_tests in tests.items() for t in model_tests]
+    for model, t in flat:
         if model not in models:
             raise ValueError(f"the tests name a model that was not given: {model}")
-        df = models[model]
-        row_part = _row_tests_pass(model, df, model_tests)
-        if row_part is not None:
-            parts.append(row_part.select(F.lit(model).alias("model"), "*"))
-        for t in model_tests:
-            if t.kind == "unique":
-                failures = test_unique(df, t.column).agg(F.count(F.lit(1)).alias("failures"))
-            elif t.kind == "relationships":
-                if t.parent not in models:
-                    raise ValueError(f"{model}.{t.column} refers to a model that was not given: {t.parent}")
-                failures = (test_relationships(df.select(t.column), t.column,
-                                               models[t.parent], t.field)
-                            .agg(F.count(F.lit(1)).alias("failures")))
-            else:
-                continue
-            parts.append(failures.select(F.lit(model).alias("model"), F.lit(t.label).alias("test"),
-                                         F.lit(t.column).alias("column_name"),
-                                         F.lit(t.severity).alias("severity"),
-                                         F.col("failures").cast("bigint").alias("failures")))
-    if not parts:
+        if t.kind == "relationships" and t.parent not in models:
+            raise ValueError(f"{model}.{t.column} refers to a model that was not given: {t.parent}")
+    if not flat:
         raise ValueError("no model of the test suite was given")
-    report = reduce(DataFrame.unionByName, parts)
+    spark = models[flat[0][0]].sparkSession
+    declared = spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(i).alias("test_no"), F.lit(model).alias("model"), F.lit(t.label).alias("test"), F.lit(t.column).alias("column_name"),
+        F.lit(t.severity).alias("severity")) for i, (model, t) in enumerate(flat)])))
+    counted = key_audit(models, flat).select(F.col("test").alias("test_no"), F.col("failures").alias("n"))
+    # one row per declared test on either side
+    report = (declared.join(F.broadcast(counted), "test_no", "left")
+              .withColumn("failures", F.coalesce("n", F.lit(0)).cast("bigint")))
     status = (F.when(F.col("failures") == 0, F.lit("pass"))
               .when(F.col("severity") == "warn", F.lit("warn")).otherwise(F.lit("fail")))
     return report.withColumn("status", status).select(*REPORT_COLUMNS)

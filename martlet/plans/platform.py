@@ -9,6 +9,7 @@ cutting lineage for a multi-query session (the table-model materialisation).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,9 +107,10 @@ class Platform:
         """Write the named marts once (shared folder) and serve them from
         the written copy; later queries start from the parquet, not from the
         raw scans, and survive executor loss without recomputation."""
-        for name in names:
-            df = materialize_table(spark, getattr(self, name), name)
-            self.__dict__[name] = df
+        plans = [getattr(self, name) for name in names]
+        with ThreadPoolExecutor(max(1, len(plans))) as pool:  # independent writes run as concurrent jobs
+            written = list(pool.map(lambda x: materialize_table(spark, *x), zip(plans, names)))
+        self.__dict__.update(zip(names, written))
         return self
 
 

@@ -180,3 +180,27 @@ def test_contract_overflow_raises(spark):
         pytest.skip("ANSI mode off")
     with pytest.raises(Exception):
         contracts.contract_cast(big, contract).collect()
+
+
+def test_quality_report_reads_every_model_once(spark):
+    """All key tests of three models in one exchange per grouping, with the counts that
+    the single tests give."""
+    from martlet.operators.quality import ColumnTest as T
+
+    child = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (None, "a", 9), (3, None, 9), (4, "z", None)], "id int, s string, fk int")
+    parent = spark.createDataFrame([(5,), (5,), (None,)], "pk long")
+    other = spark.createDataFrame([("x",), ("x",), ("y",), (None,)], "k string")
+    tests = {"child": [T("not_null", "id"), T("unique", "id"), T("accepted_values", "s", ("a",)),
+                       T("relationships", "fk", parent="parent", field="pk"),
+                       T("expression", "fk", predicate="fk < 9", severity="warn", name="small_fk")],
+             "parent": [T("unique", "pk")], "other": [T("unique", "k"), T("not_null", "k")]}
+    report = quality.quality_report({"child": child, "parent": parent, "other": other}, tests)
+    got = {(r.model, r.test): (r.failures, r.status) for r in report.collect()}
+    assert got == {("child", "not_null"): (1, "fail"), ("child", "unique"): (1, "fail"), ("child", "accepted_values"): (2, "fail"),
+                   ("child", "relationships"): (3, "fail"), ("child", "small_fk"): (3, "warn"), ("parent", "unique"): (1, "fail"),
+                   ("other", "unique"): (1, "fail"), ("other", "not_null"): (1, "fail")}
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(test") == 2 and "SortMergeJoin" not in plan
+    empty = quality.quality_report({m: d.limit(0) for m, d in (("child", child), ("parent", parent), ("other", other))}, tests)
+    assert {r.status for r in empty.collect()} == {"pass"} and empty.count() == 8
