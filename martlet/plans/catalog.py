@@ -15,6 +15,7 @@ from pyspark.sql.types import LongType
 from martlet.functions import to_edge
 from martlet.operators import consumers, contracts, features, marts, quality, staging
 from martlet.plans import metrics as M
+from martlet.plans import metrics_time as MT
 from martlet.plans import questions as Q
 from martlet.plans.platform import Medallion, Platform
 from martlet.session import scratch_path, tune
@@ -391,6 +392,39 @@ def _mts(spark, sf_dir):
     return M.metric_time_spine(models, "total_recognised_revenue", _data_spine(models["fct_orders"]))
 
 
+@register("metric_cumulative")
+def _mcu(spark, sf_dir):
+    """Running recognised revenue per segment on every day of the data."""
+    p = P(spark, sf_dir)
+    return MT.cumulative_metric(_Models(p), "total_recognised_revenue", ["customer_segment"], hot={"customer_id": p.hot_customers})
+
+
+@register("metric_trailing")
+def _mtr(spark, sf_dir):
+    """Orders of the last 30 days, on every day and payment method."""
+    return MT.cumulative_metric(_models(spark, sf_dir), "total_orders", ["payment_method"], trailing_days=30)
+
+
+@register("metric_conversion")
+def _mcv(spark, sf_dir):
+    """First order -> completed repeat order within 90 days, by first month."""
+    return MT.repeat_order_conversion(P(spark, sf_dir).stg_orders)
+
+
+@register("metric_conversion_events")
+def _mce(spark, sf_dir):
+    """Sign-up -> purchase within a day, by day."""
+    return MT.event_conversion(adapter.read_table(spark, sf_dir, "events"), "signup", "purchase")
+
+
+@register("metric_distinct_rollup")
+def _mdr(spark, sf_dir):
+    """Active customers and orders per month, year and in all, from stored day bitmaps."""
+    keys = {"active_customers": "customer_id", "total_orders": "order_id"}
+    days = ingest.materialize_table(spark, MT.distinct_partials(P(spark, sf_dir).stg_orders, "order_date", keys), "day-bitmaps")
+    return MT.distinct_rollup(days, list(keys))
+
+
 @register("orders_metric_view")
 def _omv(spark, sf_dir):
     return M.query_metric_view(M.ORDERS_VIEW, P(spark, sf_dir).fct_orders)
