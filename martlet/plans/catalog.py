@@ -14,6 +14,7 @@ from pyspark.sql.types import LongType
 
 from martlet.functions import to_edge
 from martlet.operators import consumers, contracts, features, marts, quality, staging
+from martlet.plans import build
 from martlet.plans import metrics as M
 from martlet.plans import metrics_time as MT
 from martlet.plans import questions as Q
@@ -254,6 +255,29 @@ def _prbp(spark, sf_dir):
     return consumers.medallion_revenue_by_product(s.gold_fct_orders, s.products)
 
 
+# --------------------------------------------------------- order-key layout
+def _order_layout(spark, sf_dir) -> Platform:
+    return build.build_order_layout(spark, P(spark, sf_dir), buckets=16)
+
+
+@register("fct_orders_bucketed")
+def _fob(spark, sf_dir):
+    """``fct_orders`` from items and payments co-bucketed with the orders."""
+    return _order_layout(spark, sf_dir).fct_orders
+
+
+@register("revenue_by_product_lines_bucketed")
+def _rbplb(spark, sf_dir):
+    p = _order_layout(spark, sf_dir)
+    return consumers.revenue_by_product_lines(p.stg_order_items, p.stg_orders, p.dim_products)
+
+
+@register("top3_products_bucketed")
+def _t3b(spark, sf_dir):
+    p = _order_layout(spark, sf_dir)
+    return Q.top3_products(p.stg_order_items, p.fct_orders, p.dim_products)
+
+
 # ------------------------------------------------------------------- features
 @register("customer_order_history")
 def _coh(spark, sf_dir):

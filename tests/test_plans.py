@@ -87,6 +87,35 @@ def test_co_bucketed_marts_need_no_shuffle(spark, smoke_dir, tmp_path):
     assert df.count() == dim.count()
 
 
+def test_order_layout_needs_no_exchange_of_the_items(spark, smoke_dir, tmp_path):
+    """Joins and aggregates on the order key read the bucket layout; the items are only
+    shuffled as partial sums per product."""
+    from martlet.operators import consumers
+    from martlet.plans import build
+    from martlet.plans.platform import Platform
+
+    plain = Platform.from_driver(spark, smoke_dir)
+    p = build.build_order_layout(spark, plain, base=str(tmp_path / "layout"), buckets=4)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def final_plan(df):
+            df.write.format("noop").mode("overwrite").save()
+            return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+        assert "Exchange" not in final_plan(p.fct_orders)
+        lines = consumers.revenue_by_product_lines(p.stg_order_items, p.stg_orders, plain.dim_products)
+        plan = final_plan(lines)
+        assert "Exchange hashpartitioning(order_id" not in plan
+        assert plan.count("Exchange hashpartitioning(product_id") == 2  # the partial sums, and the products
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = consumers.revenue_by_product_lines(plain.stg_order_items, plain.stg_orders, plain.dim_products)
+    assert lines.exceptAll(want).isEmpty() and want.exceptAll(lines).isEmpty()
+    assert p.fct_orders.exceptAll(plain.fct_orders).isEmpty() and plain.fct_orders.exceptAll(p.fct_orders).isEmpty()
+
+
 SIDE_EFFECT_KEYS = {"bronze_stream", "silver_stream", "silver_stream_events", "gold_refresh",
                     "append_batch", "append_batch_once", "scan_source", "bronze_copy", "create_typed_table",
                     "materialize_table"}
