@@ -1,37 +1,51 @@
 """HTML extraction by consensus host paths.
 
 Per page, text blocks are read with the chain of containers they stand in;
-containers of menus, notices, adverts, forms, comments and the like are set
-aside.  Every container's generalised tag-class path is scored (kept text less
-twice the navigational text that extraction from it would let through, except in
-an article element; set-aside text never gets through and does not count).  The
-best path is widened to its ancestors, up to an article or main element, while
-that adds mostly kept text, and the page votes for it.  The votes of a host are summed in Spark, and every
-page is extracted again from its host's winning path; a page with kept text of
-its own best path outside that one is extracted from the path common to both.
+containers of menus, notices, adverts, forms, comments and the like are set aside.
+A block that stands on ``REPEATED`` of a host's pages (three at least) is the host's
+furniture.  Every container's generalised tag-class path is scored: kept text less
+twice the navigational text and furniture that extraction from it would let through
+(links inside an article element are its own).  The page votes for its best path, and
+the votes of a host are summed in Spark.
+
+Every page is read again with its host's winning path.  All kept text inside it is the
+page's.  Around it the page's own best path is widened to its ancestors, up to an
+article or main element, while that adds mostly kept text; of what it holds outside the
+winning path the furniture (an unmarked sidebar or notice) goes and the rest, a title or
+a lead of this page, stays.  A page without the winning path is extracted from its own
+best path.
+
+What is set aside: by element (nav, aside, footer, ...), role or hidden state; by a word
+of a class or id name, where the word is the whole name, its first or its last word,
+and the name is no taxonomy (``category-advertising``).  Words never set an article, main
+or body aside, and a form, or a word that may name a wrapper (``popup-story``), no
+container with most of the page's text where little else is left and no article
+stands beside it.
+
+Tags are found by scanning once; containers are numbered nodes and distinct paths are
+numbered too, so time grows with the page, whatever it holds unclosed or nested.
 
 Defined cases: null or empty html gives an empty text; a page without a host
 votes for itself only; unclosed and stray tags are tolerated; rows that repeat
-vote as often as they occur; other columns stay (one named ``main_text`` is
-replaced); an empty table gives an empty result.
+vote as often as they occur; very long pages are read whole; other columns stay (one
+named ``main_text`` is replaced); an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import sized, store
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S)
+_START = re.compile(r"<(/?)([A-Za-z][A-Za-z0-9:-]*)")
+_STOP = re.compile("[>\"']")
 _ATTR = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -60,7 +74,13 @@ ASIDE_WORDS = frozenset(
     " survey captcha skip".split())
 _ASIDE_STARTS = ("comment", "cookie", "advert", "sidebar", "navig", "breadcrumb", "newsletter", "sponsor", "footer",
                  "masthead", "subscri", "promo", "popup")
+#: First words of names that file a page under a topic, or name a state.
+_TAXONOMY = frozenset("category cat tag tags topic type format status term has is with no without post js u visible hidden".split())
+#: Words of asides that may also name a wrapper around the whole page.
+_WRAPPERS = frozenset("popup modal overlay hidden share sharing social register login signup search header widget widgets teaser".split())
 _MAIN_WORDS = frozenset("article post entry story main body text".split())
+#: Share of a host's pages on which a block is furniture.
+REPEATED = 0.3
 _HINTS = frozenset("article post entry story main content text body".split())
 
 
@@ -68,25 +88,33 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(raw)}
 
 
-def _set_aside(tag: str, attrs: dict[str, str], in_main: bool) -> bool:
+KEPT, WRAPPER, WORD, HARD = range(4)
+
+
+def _set_aside(tag: str, attrs: dict[str, str], in_main: bool) -> int:
+    """How firmly an element is set aside: not, by a word that may name a wrapper, by
+    another word, by what it is."""
     if tag in ("body", "html", "main"):
-        return False
-    if tag in ASIDE_TAGS or tag == "header" and not in_main:
-        return True
-    if not attrs:
-        return False
+        return KEPT
+    if tag in ASIDE_TAGS and tag != "form" or tag == "header" and not in_main:
+        return HARD
     if attrs.get("role", "").lower() in ASIDE_ROLES or attrs.get("aria-hidden", "").lower() == "true" or "hidden" in attrs:
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
-        return True
-    words = [w.lower() for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split()
-             for w in ["|", *_WORDS.findall(name)]]
-    for before, w in zip(["|", *words], words):
-        if before in ("has", "with", "no", "without") or w == "header" and (before in _MAIN_WORDS or in_main):
+        return HARD
+    if attrs and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", ""), re.I):
+        return HARD
+    found = WRAPPER if tag == "form" else KEPT
+    if tag == "article":
+        return found
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        words = [w.lower() for w in _WORDS.findall(name)]
+        if not words or len(words) > 1 and words[0] in _TAXONOMY and words[-1] not in ("comment", "comments"):
             continue
-        if w in ASIDE_WORDS or w.startswith(_ASIDE_STARTS):
-            return True
-    return False
+        for w in {words[0], words[-1]}:
+            if w == "header" and (in_main or words[0] in _MAIN_WORDS):
+                continue
+            if w in ASIDE_WORDS or w.startswith(_ASIDE_STARTS):
+                found = max(found, WRAPPER if w in _WRAPPERS or w.startswith("popup") else WORD)
+    return found
 
 
 def _name(tag: str, attrs: dict[str, str]) -> str:
@@ -95,151 +123,322 @@ def _name(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *(re.sub(r"\d+", "#", n) for n in names)])
 
 
-def read_blocks(html: str) -> list[tuple[str, tuple[str, ...], bool, int]]:
-    """``(text, container path, set aside, characters in links)`` per block, in
-    page order."""
-    out: list[tuple[str, tuple[str, ...], bool, int]] = []
-    # open blocks: tag, path up to and with it, set aside, inside article or main
-    stack: list[tuple[str, tuple[str, ...], bool, bool]] = [("", (), False, False)]
-    held: list[str] = []
-    links, in_link, at = 0, False, 0
-
-    def flush() -> None:
-        nonlocal links
-        if held:
-            text = " ".join("".join(held).split())
-            if text:
-                out.append((text, stack[-1][1], stack[-1][2], links))
-            held.clear()
-        links = 0
-
-    def take(raw: str) -> None:
-        nonlocal links
-        if raw:
-            text = unescape(raw)
-            held.append(text)
-            if in_link:
-                links += len(text)
-
-    while at < len(html):
-        m = _TAG.search(html, at)
-        take(html[at:m.start()] if m else html[at:])
-        if not m:
-            break
-        at = m.end()
-        if m[0].startswith("<![CDATA["):
-            take(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
-            continue
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
-            continue
-        closing, raw = bool(m[1] or m[4]), m[3] or m[6] or ""
-        if tag in RAW:
-            if not closing and not raw.rstrip().endswith("/"):
-                end = re.compile(rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body[\s>])", re.I).search(html, at)
-                at = end.end() if end else (len(html) if tag != "head" else at)
-            continue
-        if tag == "a":
-            in_link = not closing
-            continue
-        if tag == "br":
-            held.append(" ")
-            continue
-        if tag not in BLOCKS:
-            continue
+class _Tags:
+    """Finds the tags of a page from left to right."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.missing, self.wasted = html, set(), 0
+
+    def find(self, what: str, at: int) -> int:
+        """``str.find`` that looks for a missing string once only."""
+        if what in self.missing:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def end(self, at: int) -> int:
+        """Place of the ``>`` that ends the tag whose name ends at ``at``: outside
+        quotes if they close, else the first one; -1 without any."""
+        first = self.find(">", at)
+        if first < 0 or self.wasted > max(1 << 16, len(self.html)):
+            return first  # quotes were followed in vain over the length of the page
+        i = at
+        while m := _STOP.search(self.html, i):
+            if m[0] == ">":
+                return m.start()
+            close = self.find(m[0], m.end())
+            if close < 0:
+                break
+            i = close + 1
+        self.wasted += len(self.html) - at
+        return first
+
+    def raw_end(self, tag: str, at: int) -> int:
+        """Behind the closing tag of an element whose content is no text."""
+        key = f"</{tag}"
+        if key in self.missing:
+            return at if tag == "head" else len(self.html)
+        pattern = rf"</{tag}\s*>" if tag != "head" else r"</head\s*>|(?=<body[\s>])"
+        m = re.compile(pattern, re.I).search(self.html, at)
+        if m:
+            return m.end()
+        self.missing.add(key)
+        return at if tag == "head" else len(self.html)
+
+
+class Page:
+    """Text blocks in page order, each with the number of its container path.  Path 0
+    is the page; ``parent`` and ``name`` hold the others, a parent before its children."""
+
+    def __init__(self, html: str) -> None:
+        self.parent, self.name, self.depth, self._paths = [-1], [""], [0], {}
+        self.blocks: list[tuple[str, int, int, int]] = []  # text, path, container, characters in links
+        self.up, self.firm = [-1], [KEPT]                   # containers: parent, how firmly set aside
+        self._read(html)
+        self.main = [False] * len(self.parent)              # paths in an article or main element
+        for i in range(1, len(self.parent)):
+            self.main[i] = self.main[self.parent[i]] or self.name[i].split(".")[0] in ("article", "main")
+        self.aside = self._asides()
+
+    def path_of(self, parent: int, name: str) -> int:
+        made = self._paths.get((parent, name))
+        if made is None:
+            made = self._paths[parent, name] = len(self.parent)
+            self.parent.append(parent)
+            self.name.append(name)
+            self.depth.append(self.depth[parent] + 1)
+        return made
+
+    def find_path(self, names: list[str]) -> int | None:
+        at = 0
+        for name in names:
+            at = self._paths.get((at, name))
+            if at is None:
+                return None
+        return at
+
+    def names(self, path: int) -> list[str]:
+        out = []
+        while path:
+            out.append(self.name[path])
+            path = self.parent[path]
+        return out[::-1]
+
+    def _read(self, html: str) -> None:
+        tags = _Tags(html)
+        # open blocks: tag, path, container, inside article or main
+        stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+        open_: dict[str, int] = {}
+        held: list[str] = []
+        links, in_link, at, plain = 0, False, 0, 0
+
+        def flush() -> None:
+            nonlocal links
+            if held:
+                text = " ".join("".join(held).split())
+                if text:
+                    self.blocks.append((text, stack[-1][1], stack[-1][2], links))
+                held.clear()
+            links = 0
+
+        def take(raw: str) -> None:
+            nonlocal links
+            if raw:
+                text = unescape(raw)
+                held.append(text)
+                if in_link:
+                    links += len(text)
+
+        def cut(i: int) -> None:
+            for tag, *_ in stack[i:]:
+                open_[tag] -= 1
+            del stack[i:]
+
+        while True:
+            less = tags.find("<", at)
+            if less < 0:
+                break
+            at = less + 1
+            if html.startswith("<!--", less):
+                take(html[plain:less])
+                end = tags.find("-->", less + 4)
+                at = plain = len(html) if end < 0 else end + 3
+                continue
+            if html.startswith("<![CDATA[", less):
+                take(html[plain:less])
+                end = tags.find("]]>", less + 9)
+                take(html[less + 9:len(html) if end < 0 else end].replace("&", "&amp;"))
+                at = plain = len(html) if end < 0 else end + 3
+                continue
+            if html.startswith(("<!", "<?"), less):
+                end = tags.find(">", less)
+                if end >= 0:
+                    take(html[plain:less])
+                    at = plain = end + 1
+                continue
+            m = _START.match(html, less)
+            end = tags.end(m.end()) if m else -1
+            if end < 0:
+                continue
+            take(html[plain:less])
+            at = plain = end + 1
+            closing, tag, raw = bool(m[1]), m[2].lower(), html[m.end():end]
+            if tag in RAW:
+                if not closing and not raw.rstrip().endswith("/"):
+                    at = plain = tags.raw_end(tag, at)
+                continue
+            if tag == "a":
+                in_link = not closing
+                continue
+            if tag == "br":
+                held.append(" ")
+                continue
+            if tag not in BLOCKS:
+                continue
+            flush()
+            in_link = False
+            if closing:
+                if open_.get(tag):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i][0] == tag:
+                            cut(i)
+                            break
+                        if tag in _LEAVES and stack[i][0] in _LIMITS:
+                            break
+                continue
+            if tag in ("hr", "html", "body"):
+                continue
+            while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6") and tag in _LEAVES):
+                cut(len(stack) - 1)
+            if any(open_.get(t) for t in _CLOSES.get(tag, ())):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] in _CLOSES[tag]:
+                        cut(i)
+                        break
+                    if stack[i][0] in _LIMITS:
+                        break
+            _, path, box, in_main = stack[-1]
+            attrs = _attributes(raw) if raw else {}
+            firm = _set_aside(tag, attrs, in_main)
+            if tag not in _LEAVES:
+                path = self.path_of(path, _name(tag, attrs))
+            if firm or tag not in _LEAVES:
+                self.up.append(box)
+                self.firm.append(firm)
+                box = len(self.up) - 1
+            if raw.rstrip().endswith("/") and tag not in _LEAVES:
+                continue
+            stack.append((tag, path, box, in_main or tag in ("article", "main")))
+            open_[tag] = open_.get(tag, 0) + 1
+        take(html[plain:])
         flush()
-        in_link = False
-        if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag in _LEAVES and stack[i][0] in _LIMITS:
-                    break
-            continue
-        if tag in ("hr", "html", "body"):
-            continue
-        while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6") and tag in _LEAVES):
-            stack.pop()
-        if tag in _CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in _CLOSES[tag]:
-                    del stack[i:]
-                    break
-                if stack[i][0] in _LIMITS:
-                    break
-        _, path, aside, in_main = stack[-1]
-        attrs = _attributes(raw) if raw else {}
-        aside = aside or _set_aside(tag, attrs, in_main)
-        if tag not in _LEAVES:
-            path = (*path, _name(tag, attrs))
-        stack.append((tag, path, aside, in_main or tag in ("article", "main")))
-        if raw.rstrip().endswith("/") and tag not in _LEAVES:
-            stack.pop()
-    flush()
-    return out
-
-
-Scores = dict[tuple[str, ...], tuple[float, int, int]]
-
 
-def score_paths(blocks: list[tuple[str, tuple[str, ...], bool, int]]) -> Scores:
-    """Container path -> (score, kept characters, navigational characters)."""
-    good: dict[tuple[str, ...], int] = {}
-    bad: dict[tuple[str, ...], int] = {}
-    for text, path, aside, links in blocks:
-        if aside:
-            continue
-        into = bad if 2 * links > len(text) else good
-        for depth in range(len(path) + 1):
-            into[path[:depth]] = into.get(path[:depth], 0) + len(text)
+    def _asides(self) -> list[bool]:
+        """Per container, whether its text is set aside.  A wrapper with most of the
+        page's text is kept where little else is left and no article stands beside it."""
+        n = len(self.up)
+
+        def made(keep: list[bool]) -> list[bool]:
+            out = [False] * n
+            for i in range(1, n):
+                out[i] = out[self.up[i]] or self.firm[i] != KEPT and not keep[i]
+            return out
+
+        def chars(aside: list[bool]) -> int:
+            return sum(len(text) for text, _, box, _ in self.blocks if not aside[box])
+
+        strict, wrapper = made([False] * n), [f == WRAPPER for f in self.firm]
+        if not any(wrapper):
+            return strict
+        loose = made(wrapper)
+        inside = [0] * n
+        for text, _, box, _ in self.blocks:
+            if not loose[box]:
+                inside[box] += len(text)
+        for i in range(n - 1, 0, -1):
+            inside[self.up[i]] += inside[i]
+        if 5 * chars(strict) >= inside[0] or any(self.main[path] for _, path, box, _ in self.blocks if not strict[box]):
+            return strict
+        return made([w and 2 * x > inside[0] for w, x in zip(wrapper, inside)])
+
+    def kept(self) -> Iterator[tuple[str, int, int]]:
+        return ((text, path, links) for text, path, box, links in self.blocks if not self.aside[box])
+
+    def below(self, path: int) -> list[bool]:
+        """Per path, whether it is ``path`` or lies below it."""
+        out = [False] * len(self.parent)
+        out[path] = True
+        for i in range(path + 1, len(out)):
+            out[i] = out[self.parent[i]] or i == path
+        return out
+
+
+#: Per path: score, kept characters, navigational characters.
+Scores = dict[int, tuple[float, int, int]]
+
+
+def score_paths(page: Page, furniture: Set[int] = frozenset()) -> Scores:
+    good, bad, own = [0] * len(page.parent), [0] * len(page.parent), [0] * len(page.parent)
+    for text, path, links in page.kept():
+        if furniture and block_hash(text) in furniture:
+            own[path] += len(text)
+        else:
+            (bad if 2 * links > len(text) else good)[path] += len(text)
+    for i in range(len(page.parent) - 1, 0, -1):
+        good[page.parent[i]] += good[i]
+        bad[page.parent[i]] += bad[i]
+        own[page.parent[i]] += own[i]
     out = {}
-    for path, n in good.items():
-        words = set(_WORDS.findall(path[-1].replace(".", " "))) if path else set()
-        tag = path[-1].split(".")[0] if path else ""
-        boost = 1.5 if tag in ("article", "main") else 1.25 if words & _HINTS else 1.0
-        through = 0 if tag == "article" else bad.get(path, 0)  # links inside an article are its own
-        out[path] = ((n - 2 * through) * boost, n, bad.get(path, 0))
+    for path, n in enumerate(good):
+        if n:
+            name = page.name[path]
+            tag = name.split(".")[0]
+            boost = 1.5 if tag in ("article", "main") else 1.25 if _HINTS & set(_WORDS.findall(name.replace(".", " "))) else 1.0
+            through = own[path] + (0 if tag == "article" else bad[path])
+            out[path] = ((n - 2 * through) * boost, n, bad[path] + own[path])
     return out
 
 
-def best_path(scores: Scores) -> tuple[str, ...] | None:
-    """The path of the best score, widened while that adds more kept than
-    navigational text; an article or main element is not left."""
-    best = max(scores, key=lambda p: (scores[p][0], len(p), p), default=None)
-    if best is None:
-        return None
-    least = next((i + 1 for i, name in enumerate(best) if name.split(".")[0] in ("article", "main")), 0)
-    for n in range(len(best) - 1, least - 1, -1):
-        up = best[:n]
-        good, bad = (scores[up][i] - scores[best][i] for i in (1, 2))
+def best_path(page: Page, scores: Scores) -> int | None:
+    """The path of the best score: the deepest, then the first, of equal ones."""
+    return max(scores, key=lambda p: (scores[p][0], page.depth[p], -p), default=None)
+
+
+def widened(page: Page, scores: Scores, best: int) -> int:
+    """``best`` or an ancestor, while that adds more kept than navigational text; an
+    article or main element is not left."""
+    chain, at = [], best
+    while at:
+        chain.append(at)
+        at = page.parent[at]
+    top = next((p for p in reversed(chain) if page.name[p].split(".")[0] in ("article", "main")), 0)
+    at = best
+    while at != top and at:
+        at = page.parent[at]
+        good, bad = (scores[at][i] - scores[best][i] for i in (1, 2))
         if good > bad:
-            best = up
+            best = at
         elif bad:
             break
     return best
 
 
-def text_below(blocks: list[tuple[str, tuple[str, ...], bool, int]], path: tuple[str, ...]) -> str:
-    n = len(path)
-    return "\n".join(text for text, p, aside, _ in blocks if not aside and p[:n] == path)
+def block_hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+def _outside(page: Page, own: int, voted: int) -> tuple[list[bool], list[bool]]:
+    """Per path: inside the voted path; inside the smallest path over both."""
+    a, b = own, voted
+    while a != b:
+        if page.depth[a] >= page.depth[b]:
+            a = page.parent[a]
+        else:
+            b = page.parent[b]
+    return page.below(voted), page.below(a)
+
+
+def _split(path: str) -> list[str]:
+    return path.split(">") if path else []
 
 
-def extract_page(html: str | None, voted: str | None = None) -> str:
-    """The main text of one page, from the host's path if the page has it."""
-    blocks = read_blocks(html or "")
-    scores = score_paths(blocks)
-    own = best_path(scores)
+def extract_page(html: str | None, voted: str | None = None, furniture: Set[int] = frozenset()) -> str:
+    """The main text of one page: its host's path if the page has kept text there, and
+    what the page's own best path holds beside it that is no furniture."""
+    page = Page(html or "")
+    scores = score_paths(page, furniture) or score_paths(page)  # a page of furniture only is read as if alone
+    own = best_path(page, scores)
     if own is None:
         return ""
-    if voted is not None:
-        path = tuple(voted.split(">")) if voted else ()
-        if path in scores:
-            n = next((i for i, (x, y) in enumerate(zip(own, path)) if x != y), min(len(own), len(path)))
-            both = path if len(own) == n else own if len(path) == n else None
-            # the voted path must hold all kept text of the page's own
-            own = path if both is not None and scores[both][1] == scores[own][1] else own[:n]
-    return text_below(blocks, own)
+    own = widened(page, scores, own)
+    path = None if voted is None else page.find_path(_split(voted))
+    if path is None or path not in scores:
+        reach = page.below(own)
+        return "\n".join(text for text, p, _ in page.kept() if reach[p])
+    inside, reach = _outside(page, own, path)
+    return "\n".join(text for text, p, _ in page.kept() if inside[p] or reach[p] and block_hash(text) not in furniture)
 
 
 def host_of(url: Column) -> Column:
@@ -248,24 +447,53 @@ def host_of(url: Column) -> Column:
     return F.when(host != "", host)
 
 
+def _furniture_of(value: list[int] | None) -> frozenset[int]:
+    return frozenset(value or ())
+
+
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
-        for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-            scores = score_paths(read_blocks(html or ""))
-            path = best_path(scores)
+        for host, html, furniture in zip(*(batch.column(c).to_pylist() for c in ("host", "html", "furniture"))):
+            page = Page(html or "")
+            scores = score_paths(page, _furniture_of(furniture))
+            path = best_path(page, scores)
             if path is not None:
-                rows.append((host, ">".join(path), scores[path][1]))
+                rows.append((host, ">".join(page.names(path)), scores[path][1]))
         columns = list(zip(*rows)) or [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()),
                                           pa.array(columns[2], pa.int64())], names=["host", "path", "chars"])
 
 
-def host_paths(pages: DataFrame) -> DataFrame:
+def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(host, h) for host, html in zip(*(batch.column(c).to_pylist() for c in ("host", "html")))
+                for h in {block_hash(text) for text, _, _ in Page(html or "").kept()}]
+        columns = list(zip(*rows)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int64())], names=["host", "block"])
+
+
+def host_furniture(pages: DataFrame) -> DataFrame:
+    """``(host, furniture)``, one row per host that has any: hashes of the blocks that
+    stand on ``REPEATED`` of its pages, three at least.  A host has at most
+    1 / ``REPEATED`` times as many as its pages have blocks on average."""
+    hosted = pages.select(host_of(F.col("url")).alias("host"), "html").where("host is not null")
+    sizes = hosted.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    seen = (hosted.mapInArrow(_block_rows, "host string, block long").groupBy("host", "block").agg(F.count(F.lit(1)).alias("n"))
+            .where("n >= 3"))
+    return (seen.join(sizes, "host").where(F.col("n") >= REPEATED * F.col("pages"))
+            .groupBy("host").agg(F.collect_list("block").alias("furniture")))
+
+
+def host_paths(pages: DataFrame, furniture: DataFrame | None = None) -> DataFrame:
     """``(host, path, votes)``: the path that most pages of a host vote for;
     ties go to the one with more text, then to the greater name."""
-    votes = (pages.select(host_of(F.col("url")).alias("host"), "html").where("host is not null")
-             .mapInArrow(_vote, "host string, path string, chars long")
+    hosted = pages.select(host_of(F.col("url")).alias("host"), "html").where("host is not null")
+    if furniture is None:
+        hosted = hosted.withColumn("furniture", F.lit(None).cast("array<long>"))
+    else:
+        hosted = hosted.join(sized(furniture), "host", "left")
+    votes = (hosted.mapInArrow(_vote, "host string, path string, chars long")
              .groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("chars").alias("chars")))
     return (votes.groupBy("host").agg(F.max(F.struct("votes", "chars", "path")).alias("w"))
             .select("host", F.col("w.path").alias("path"), F.col("w.votes").alias("votes")))
@@ -274,13 +502,16 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` plus ``main_text``."""
     @F.pandas_udf("string")
-    def again(html, path):  # noqa: ANN001, ANN202
+    def again(html, path, furniture):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        return pd.Series([extract_page(h, p) for h, p in zip(html, path)], dtype=object)
+        return pd.Series([extract_page(h, p, frozenset(() if f is None else f.tolist())) for h, p, f in zip(html, path, furniture)],
+                         dtype=object)
 
-    winners = store(host_paths(pages), "html-paths")
+    furniture = store(host_furniture(pages), "html-furniture")
+    winners = store(host_paths(pages, furniture), "html-paths")
+    known = store(winners.select("host", "path").join(furniture, "host", "full_outer"), "html-hosts")
     row = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "main_text"])
     keyed = pages.select(row.alias("row"), host_of(F.col("url")).alias("host"))
-    joined = keyed.join(sized(winners.select("host", "path")), "host", "left")
-    return joined.select("row.*", again(F.col("row.html"), F.col("path")).alias("main_text"))
+    joined = keyed.join(sized(known), "host", "left")
+    return joined.select("row.*", again(F.col("row.html"), F.col("path"), F.col("furniture")).alias("main_text"))
