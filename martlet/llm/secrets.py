@@ -2,16 +2,22 @@
 
 Patterns give the spans of three kinds (assign, access, hex).  Every long
 token-like string, without the spans in it, is a candidate: its character class is read off
-(hex, upper case and digits, lower case and digits, mixed), a window of
+(hex, letters of one case, upper case and digits, lower case and digits, mixed), a window of
 ``WINDOW`` characters slides over it, the counts per character are updated by
 the one that enters and the one that leaves, and so is the sum of c * log2(c)
 from which the Shannon entropy of the window follows.  A candidate is a secret
-when a window reaches its class's threshold; numbers, words, UUIDs and dates
-between its signs are left out first, so each part of a path counts by itself.
+when a window reaches its class's threshold.
+
+Allow-list: UUIDs and dates, then numbers and words between its signs are left out
+first, so each part of a path counts by itself.  A word has a word's shape (one case,
+capitalised or camel case, a few digits behind it); one of ``WINDOW`` characters or
+more must also be made of common letter pairs, as random letters are not.
 
 DataFrame functions only.  Offsets are code points, end exclusive.  Defined
-cases: null text is empty and has no spans; every row is scanned on its own;
-other columns stay; an empty table gives an empty result.
+cases: null text is empty and has no spans; every row is scanned on its own; a very
+long text is scanned whole, in time that grows with it (spans are placed by running
+sums, base spans are looked for around each candidate only); other columns stay; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,34 +34,33 @@ WINDOW = 20
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 #: Character class, its shape, and the least entropy (bits) of a window.
 CLASSES = (
-    ("hex", r"^[0-9a-f]+$", 3.0),
-    ("upper", r"^[0-9A-Z]+$", 3.5),
-    ("lower", r"^[0-9a-z]+$", 3.7),
-    ("mixed", r"^.*$", 3.8),
-)
-#: The shapes that the SQL statement allows.  The scan itself is stricter (see
-#: ``_is_secret``): the last four of these also fit random tokens.
-ALLOW = (
-    r"^[0-9+/_=-]+$",
-    r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}.*$",
-    r"^/?([A-Za-z0-9_.-]{1,19}/){2,}[A-Za-z0-9_.=-]*$",
-    r"^[A-Za-z]+([-_=][A-Za-z0-9]{1,12})+$",
-    r"^[^0-9]*([0-9][^0-9]*){0,2}$",
+    ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 2.95),
+    ("letters", r"^(?:[a-z]+|[A-Z]+)$", 3.3),
+    ("upper", r"^[0-9A-Z]+$", 3.4),
+    ("lower", r"^[0-9a-z]+$", 3.5),
+    ("mixed", r"^.*$", 3.65),
 )
 _SIGNS = "+/_=-"
-_BEFORE, _AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
-#: Known shapes between signs: UUIDs, dates with a time.
+#: Known shapes that hold signs themselves: UUIDs, dates with a time.
 KNOWN = (
-    _BEFORE + r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}" + _AFTER,
-    _BEFORE + r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-][0-9]{2}-?[0-9]{2}(?:-?[0-9]{2}(?:-?[0-9]{1,9})?)?(?:Z|UTC|GMT)?" + _AFTER,
+    r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
+    r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-][0-9]{2}-?[0-9]{2}(?:-?[0-9]{2}(?:-?[0-9]{1,9})?)?(?:Z|UTC|GMT)?",
 )
-#: A part between signs that is a number or words: lower case, upper case,
-#: capitalised or camel case with acronyms, with up to four digits after it.
-WORD = (_BEFORE + r"(?=[0-9A-Za-z])(?:[0-9]++|(?:[A-Z]++|[a-z]*+(?:[A-Z][a-z]++|[A-Z]{2,5}[a-z]{3,}+)*+[A-Z]{0,5}+)"
-        r"[0-9]{0,4}+)" + _AFTER)
+_BEFORE, _AFTER = r"(?<![0-9A-Za-z])", r"(?![0-9A-Za-z])"
+#: A part between signs, or a sign; a part that is a number or has a word's shape: lower
+#: case, upper case, capitalised or camel case with acronyms, up to four digits after it.
+PART = r"[0-9A-Za-z]+|[+/_=-]"
+#: (A word reads one way only; the possessive forms spare very long ones the way back.)
+WORD = (r"^(?:[0-9]++|(?:[A-Z]++|[a-z]*+(?:[A-Z][a-z]++|[A-Z]{2,5}[a-z]{3,}+)*+[A-Z]{0,5}+)[0-9]{0,4}+)$")
+# The most common letter pairs of European languages, and the least
+# share of them (per cent) among the pairs of a word of ``WINDOW`` characters or more.
+PAIRS = (
+    "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne ea"
+    " ra ce li ch ll be ma si om ur ca el ta la ns di fo ho pe ec pr no ct us ac ot il tr ly nc et ut ss so rs un lo wa ge ie"
+    " wh ee wi em ad ol rt po we na ul ni ts mo ow pa im mi ai sh ir su id os iv ia am fi ci vi pl ig tu ev ld").split()
+WORD_PAIRS = 40
 #: Shorter words stay with the text around them: random text has such parts too.
-LONG_WORD = WORD.replace("(?=[0-9A-Za-z])", "(?=[0-9A-Za-z]{3})", 1)
+LONG_WORD = 3
 _CHUNK = 256
 
 
@@ -86,11 +91,11 @@ def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:  # noqa:
     lengths = F.zip_with(F.split(text, pattern, -1), found,
                          lambda gap, hit: F.struct(F.char_length(gap).alias("g"),
                                                    F.coalesce(F.char_length(hit), F.lit(0)).alias("h")))
-    starts = _starts(F.transform(lengths, lambda x: x.g + x.h))
-    rows = F.zip_with(F.arrays_zip(starts.alias("a"), lengths.alias("l")),
-                      F.arrays_zip(found.alias("f"), value.alias("v")), lambda x, y: F.struct(
-                          (x["a"] + x["l"]["g"]).alias("s"), F.lit(KINDS.index(kind)).alias("k"),
-                          (x["a"] + x["l"]["g"] + x["l"]["h"]).alias("e"), y["v"].alias("v")))
+    rows = _let(lengths, lambda known: F.zip_with(
+        F.arrays_zip(_let(F.transform(known, lambda x: x.g + x.h), _starts).alias("a"), known.alias("l")),
+        F.arrays_zip(found.alias("f"), value.alias("v")), lambda x, y: F.struct(
+            (x["a"] + x["l"]["g"]).alias("s"), F.lit(KINDS.index(kind)).alias("k"),
+            (x["a"] + x["l"]["g"] + x["l"]["h"]).alias("e"), y["v"].alias("v"))))
     rows = F.filter(rows, lambda r: r.v.isNotNull())
     return F.filter(rows, keep) if keep else rows
 
@@ -124,37 +129,59 @@ def window_entropy(value: Column) -> Column:
     return F.aggregate(pairs, state, step)["best"]
 
 
+def _let(value: Column, use) -> Column:  # noqa: ANN001
+    """``use(value)`` with ``value`` evaluated once, wherever ``use`` puts it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _is_word(part: Column) -> Column:
+    """A part between signs is a number or a word."""
+    letters = F.lower(F.regexp_replace(part, "[0-9]+$", ""))
+    n = F.char_length(letters) - 1
+    common = F.size(F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.substring(letters, i, F.lit(2)).isin(PAIRS)))
+    return part.rlike(WORD) & F.when(F.char_length(part) >= WINDOW, 100 * common >= WORD_PAIRS * n).otherwise(F.lit(True))
+
+
 def _is_secret(value: Column) -> Column:
     """Words and known shapes between the signs are left out; what stands
     between them, or all of it when words are less than half, is a secret
     when a window reaches the threshold of its class."""
     plain = value
     for shape in KNOWN:
-        plain = F.regexp_replace(plain, shape, "0")
+        plain = F.regexp_replace(plain, _BEFORE + shape + _AFTER, "0")
+
+    def parts(v: Column) -> Column:
+        return F.regexp_extract_all(v, F.lit(PART), F.lit(0))
+
+    def is_sign(x: Column) -> Column:
+        return x.isin(list(_SIGNS))
 
     def letters(v: Column) -> Column:
-        return F.char_length(F.regexp_replace(v, "[+/_=-]", ""))
+        return F.aggregate(v, F.lit(0), lambda n, x: n + F.when(is_sign(x), 0).otherwise(F.char_length(x)))
+
+    def odd(v: Column) -> Column:
+        return F.filter(v, lambda x: ~is_sign(x) & ~_is_word(x))
 
     def secret(v: Column) -> Column:
         least = F.lit(CLASSES[-1][2])
         for _, shape, bits in reversed(CLASSES):
             least = F.when(v.rlike(shape), F.lit(bits)).otherwise(least)
-        worded = letters(F.regexp_replace(v, WORD, "")) == 0
-        return ~worded & (F.round(window_entropy(v), 9) >= least)
+        return (F.size(odd(parts(v))) > 0) & (F.round(window_entropy(v), 9) >= least)
 
     def judged(v: Column) -> Column:
-        rest = F.regexp_replace(v, LONG_WORD, " ")
+        rest = F.concat_ws("", F.transform(parts(v), lambda x: F.when(
+            ~is_sign(x) & (F.char_length(x) >= LONG_WORD) & _is_word(x), F.lit(" ")).otherwise(x)))
         pieces = F.transform(F.split(rest, " "), lambda x: F.btrim(x, F.lit(_SIGNS)))
-        whole = 2 * letters(F.regexp_replace(v, WORD, "")) > letters(v)
+        whole = 2 * letters(odd(parts(v))) > letters(parts(v))
         return F.exists(F.when(whole, F.array(v)).otherwise(pieces),
                         lambda x: F.when(F.char_length(x) >= WINDOW, secret(x)).otherwise(F.lit(False)))
 
-    return F.element_at(F.transform(F.array(plain), judged), 1)
+    return _let(plain, judged)
 
 
-def _outside(r: Column) -> Column:
+def _outside(r: Column, base: Column) -> Column:
     """The parts of a candidate outside the base spans that hold a window."""
-    inside = F.filter("base", lambda b: (b.s < r.e) & (r.s < b.e))
+    inside = F.filter(base, lambda b: (b.s < r.e) & (r.s < b.e))
     state = F.struct(r.s.alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
 
     def step(x: Column, b: Column) -> Column:
@@ -190,8 +217,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
         F.when(F.col("keyed"), _spans(F.col("t"), ACCESS, "access")).otherwise(none).cast(_ARRAY).alias("access"),
         F.when(F.col("long"), _spans(F.col("t"), HEX, "hex")).otherwise(none).cast(_ARRAY).alias("hex"))
     got = got.select("row", "t", "long", F.sort_array(F.concat("assign", "access", "hex")).alias("base"))
-    added = F.filter(F.flatten(F.transform(_spans(F.col("t"), CANDIDATE, "entropy"), _outside)),
-                     lambda r: _is_secret(r.v))
+    # both arrays are bound once: the base spans are not looked for anew at every candidate
+    found = F.struct(F.col("base").alias("base"), _spans(F.col("t"), CANDIDATE, "entropy").alias("long"))
+    added = _let(found, lambda x: F.filter(
+        F.flatten(F.transform(x["long"], lambda r: _outside(r, x["base"]))), lambda r: _is_secret(r.v)))
     return got.select("row", "base", F.when(F.col("long"), added).otherwise(none).cast(_ARRAY).alias("added"))
 
 

@@ -145,8 +145,24 @@ def _found(kind: str, pattern: str, group: int) -> str:
                    string_split_regex(t, {p}) AS gaps FROM docs)))"""
 
 
-_CLASS_BITS = "CASE " + " ".join(f"WHEN regexp_matches(v, {_quoted(shape)}) THEN {bits}" for _, shape, bits in secrets.CLASSES) + " END"
-_ALLOWED = " OR ".join(f"regexp_matches(v, {_quoted(shape)})" for shape in secrets.ALLOW)
+def _plain_regex(pattern: str) -> str:
+    """Without possessive quantifiers, which that engine neither has nor needs."""
+    return pattern.replace("++", "+").replace("*+", "*").replace("}+", "}")
+
+
+_CLASS_BITS = "CASE " + " ".join(f"WHEN regexp_matches(w, {_quoted(shape)}) THEN {bits}" for _, shape, bits in secrets.CLASSES) + " END"
+_SIGN_LIST = ", ".join(f"'{c}'" for c in "+/_=-")
+_PAIR_LIST = "[" + ", ".join(f"'{p}'" for p in secrets.PAIRS) + "]"
+_LETTERS = "regexp_replace(x, '[0-9]+$', '')"
+_IS_WORD = (f"(regexp_matches(x, {_quoted(_plain_regex(secrets.WORD))}) AND (len(x) < {secrets.WINDOW} OR 100 * len(list_filter("
+            f"range(1, len({_LETTERS})), lambda j: list_contains({_PAIR_LIST}, substr(lower(x), j::BIGINT, 2)))) "
+            f">= {secrets.WORD_PAIRS} * (len({_LETTERS}) - 1)))")
+#: A candidate with its known shapes as "0"; a sign between two of them bounds both, so
+#: each pattern is replaced twice.
+_PLAIN = "v"
+for _shape in secrets.KNOWN:
+    for _ in range(2):
+        _PLAIN = f"regexp_replace({_PLAIN}, {_quoted('(^|[^0-9A-Za-z])' + _shape + '([^0-9A-Za-z]|$)')}, '\\1' || '0' || '\\2', 'g')"
 _NAMES = "[" + ", ".join(f"'{k}'" for k in secrets.KINDS) + "]"
 _RENDER = f"string_agg({_NAMES}[k + 1] || ':' || s || ':' || e, ',' ORDER BY s, k, e)"
 
@@ -159,19 +175,49 @@ base AS (
   UNION ALL {_found("access", secrets.ACCESS, 0)}
   UNION ALL {_found("hex", secrets.HEX, 0)}
 ),
-candidate AS ({_found("entropy", secrets.CANDIDATE, 0)}),
+candidate AS (SELECT row_number() OVER () AS cid, * FROM ({_found("entropy", secrets.CANDIDATE, 0)})),
+-- what the base spans leave of a candidate
+cutting AS (
+  SELECT c.cid, b.s, b.e, coalesce(max(b.e) OVER (PARTITION BY c.cid ORDER BY b.s, b.k, b.e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), c.s) AS upto
+  FROM candidate c JOIN base b ON b.rid = c.rid AND b.s < c.e AND c.s < b.e
+),
+remainder AS (
+  SELECT cid, greatest(upto, (SELECT s FROM candidate d WHERE d.cid = cutting.cid)) AS s, s AS e FROM cutting
+  UNION ALL
+  SELECT c.cid, greatest(c.s, coalesce(max(b.e), c.s)), c.e FROM candidate c LEFT JOIN cutting b ON b.cid = c.cid GROUP BY c.cid, c.s, c.e
+),
 free AS (
-  SELECT c.* FROM candidate c
-  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = c.rid AND b.s < c.e AND c.s < b.e)
+  SELECT c.rid, c.k, r.s, r.e, substr(c.v, (r.s - c.s + 1)::BIGINT, (r.e - r.s)::BIGINT) AS v
+  FROM remainder r JOIN candidate c ON c.cid = r.cid WHERE r.e - r.s >= {secrets.WINDOW}
+),
+plain AS (SELECT DISTINCT v, {_PLAIN} AS p FROM free),
+part AS (
+  SELECT v, p, unnest(xs) AS x, unnest(range(len(xs))) AS i FROM (SELECT v, p, regexp_extract_all(p, {_quoted(secrets.PART)}) AS xs FROM plain)
+),
+judged AS (SELECT *, x IN ({_SIGN_LIST}) AS sign, {_IS_WORD} AS word FROM part),
+shape AS (
+  SELECT v, p, 2 * coalesce(sum(len(x)) FILTER (WHERE NOT sign AND NOT word), 0) > coalesce(sum(len(x)) FILTER (WHERE NOT sign), 0) AS whole,
+         string_agg(CASE WHEN NOT sign AND len(x) >= {secrets.LONG_WORD} AND word THEN ' ' ELSE x END, '' ORDER BY i) AS rest
+  FROM judged GROUP BY v, p
+),
+piece AS (
+  SELECT v, unnest(CASE WHEN whole THEN [p] ELSE list_transform(string_split(rest, ' '), lambda y: trim(y, '+/_=-')) END) AS w FROM shape
+),
+form AS (
+  SELECT DISTINCT w FROM piece WHERE len(w) >= {secrets.WINDOW}
+),
+odd AS (
+  SELECT DISTINCT w FROM (SELECT w, unnest(regexp_extract_all(w, {_quoted(secrets.PART)})) AS x FROM form)
+  WHERE x NOT IN ({_SIGN_LIST}) AND NOT {_IS_WORD}
 ),
-form AS (SELECT DISTINCT v FROM free WHERE NOT ({_ALLOWED})),
-place AS (SELECT v, unnest(range(0, len(v) - {secrets.WINDOW - 1})) AS pos FROM form),
-letter AS (SELECT v, pos, substr(v, pos::BIGINT + 1 + j::BIGINT, 1) AS c FROM place, range(0, {secrets.WINDOW}) r(j)),
-counted AS (SELECT v, pos, c, count(*) AS n FROM letter GROUP BY v, pos, c),
+place AS (SELECT w, unnest(range(0, len(w) - {secrets.WINDOW - 1})) AS pos FROM odd),
+letter AS (SELECT w, pos, substr(w, pos::BIGINT + 1 + j::BIGINT, 1) AS c FROM place, range(0, {secrets.WINDOW}) r(j)),
+counted AS (SELECT w, pos, c, count(*) AS n FROM letter GROUP BY w, pos, c),
 entropy AS (
-  SELECT v, pos, log2({secrets.WINDOW}) - sum(n * log2(n)) / {secrets.WINDOW} AS bits FROM counted GROUP BY v, pos
+  SELECT w, pos, log2({secrets.WINDOW}) - sum(n * log2(n)) / {secrets.WINDOW} AS bits FROM counted GROUP BY w, pos
 ),
-bad AS (SELECT v FROM entropy GROUP BY v HAVING round(max(bits), 9) >= {_CLASS_BITS}),
+high AS (SELECT w FROM entropy GROUP BY w HAVING round(max(bits), 9) >= {_CLASS_BITS}),
+bad AS (SELECT DISTINCT v FROM piece WHERE w IN (SELECT w FROM high)),
 spans AS (
   SELECT rid, k, s, e FROM base
   UNION ALL SELECT rid, k, s, e FROM free WHERE v IN (SELECT v FROM bad)
