@@ -10,8 +10,10 @@ DataFrame functions only; the key is a parameter.  Defined cases: null text
 stays null; empty text stays empty; matches do not overlap (the leftmost, then
 the kind listed first); an IBAN or card ends where its check sum holds, so text
 or digits beside it do not hide it; digits that no rule validates stay as they
-are; every row is treated on its own; other columns stay; an empty table gives
-an empty result.
+are; every row is treated on its own; a very long text is treated whole (its valid
+numbers become part of its pattern, so time grows with their number times the length);
+other columns stay (one named ``pii`` is replaced); an empty table gives an empty result.
+Letters of an IBAN's bank code stay as they are.
 """
 
 from __future__ import annotations
@@ -77,9 +79,9 @@ def _pow10(n: Column) -> Column:
 
 
 def permute_digits(digits: Column, key: str, kind: str) -> Column:
-    """Digits of one length onto digits of that length (18 at most; of more,
-    the last 18 are permuted)."""
-    n = F.least(F.char_length(digits), F.lit(18))
+    """Digits of one length onto digits of that length (30 at most, as many as any
+    account number has; of more, the last 30 are permuted)."""
+    n = F.least(F.char_length(digits), F.lit(30))
     head = F.substring(digits, F.lit(1), F.char_length(digits) - n)
     body = F.substring(digits, F.char_length(digits) - n + 1, n)
     u = F.floor(n / 2).cast("int")
@@ -180,18 +182,13 @@ def _ip(value: Column, key: str) -> Column:
     return F.when(valid, F.element_at(made, 1))
 
 
-def _date(value: Column, key: str) -> Column:
-    """Valid days of one century onto each other; 1 and 2 digit days and months
-    are written as wide as they were where the new number allows it."""
-    sep = F.regexp_extract(value, "[/.-]", 0)
-    p = [F.get(F.split(value, "[/.-]"), F.lit(i)) for i in range(3)]
-    iso = sep == "-"
+#: Months of 31 days, those of one digit first in calendar order.
+LONG_MONTHS = (1, 3, 5, 7, 8, 10, 12)
 
-    def day(y: Column, m: Column, d: Column) -> Column:
-        return F.coalesce(F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
 
-    dmy, mdy = day(p[2], p[1], p[0]), day(p[2], p[0], p[1])
-    found = F.when(iso, day(p[0], p[1], p[2])).otherwise(F.coalesce(dmy, mdy))
+def _iso_date(value: Column, key: str) -> Column:
+    """Days of one century onto each other."""
+    found = F.try_to_date(value, "yyyy-MM-dd")
     century = F.floor(F.year(found) / 100).cast("int")
     leap = century % 4 == 0
     start = F.make_date(century * 100, F.lit(1), F.lit(1))
@@ -202,23 +199,71 @@ def _date(value: Column, key: str) -> Column:
     f = feistel(F.floor(n / size_b), F.pmod(n, size_b), size_a, size_b, key,
                 F.concat(F.lit("date"), century.cast("string")))
     made = F.transform(F.array(f), lambda x: F.date_add(start, (x.a * size_b + x.b).cast("int")))
-    new = F.element_at(made, 1)
-    width = F.when(F.char_length(p[0]) == 1, "d").otherwise("dd")
-    two = F.lpad(F.day(new).cast("string"), 2, "0"), F.lpad(F.month(new).cast("string"), 2, "0")
-    plain = F.day(new).cast("string"), F.month(new).cast("string")
-    d, m = (F.when(width == "d", y).otherwise(x) for x, y in zip(two, plain))
-    year = F.lpad(F.year(new).cast("string"), 4, "0")
-    return F.when(found.isNotNull(), F.when(iso, F.date_format(new, "yyyy-MM-dd"))
-                  .when(dmy.isNotNull(), F.concat(d, sep, m, sep, year))
-                  .otherwise(F.concat(m, sep, d, sep, year)))
+    return F.when(found.isNotNull(), F.date_format(F.element_at(made, 1), "yyyy-MM-dd"))
+
+
+def _date(value: Column, key: str) -> Column:
+    """Strings of one form and century onto each other.  A form is the sign between the
+    parts, how many digits day and month have, and, since a string may be read day or
+    month first, its class: both parts up to 12 (a date either way), or the day, in the
+    place where it stands, 13-28, 29-30 outside February, 31, or 29 February."""
+    sep = F.regexp_extract(value, "[/.-]", 0)
+    p = [F.get(F.split(value, "[/.-]"), F.lit(i)) for i in range(3)]
+    x0, x1, y = (p[i].try_cast("long") for i in range(3))
+    w0, w1 = F.char_length(p[0]), F.char_length(p[1])
+    first = x0 > 12  # the day comes first
+    day, month = F.when(first, x0).otherwise(x1), F.when(first, x1).otherwise(x0)
+    months = F.when(F.when(first, w1).otherwise(w0) == 1, F.lit(9)).otherwise(F.lit(12)).cast("long")
+    either = (x0 <= 12) & (x1 <= 12)
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    long_at = F.array_position(F.array(*map(F.lit, LONG_MONTHS)), month.cast("int")) - 1
+    kind = (F.when(either & (x0 > 0) & (x1 > 0), "either")
+            .when((month < 1) | (month > 12) | (day < 13) | (day > 31), F.lit(None))
+            .when(day <= 28, "early").when((month == 2) & (day == 29) & leap, "leap")
+            .when((month == 2) | (day == 31) & (long_at < 0), F.lit(None)).when(day == 31, "last").otherwise("late"))
+    n1 = F.when(w1 == 1, F.lit(9)).otherwise(F.lit(12)).cast("long")
+    n0 = F.when(w0 == 1, F.lit(9)).otherwise(F.lit(12)).cast("long")
+    a = (F.when(kind == "either", (x0 - 1) * n1 + x1 - 1).when(kind == "early", (day - 13) * months + month - 1)
+         .when(kind == "late", (day - 29) * (months - 1) + F.when(month > 2, month - 2).otherwise(0))
+         .when(kind == "last", long_at).otherwise(0))
+    size_a = (F.when(kind == "either", n0 * n1).when(kind == "early", 16 * months).when(kind == "late", 2 * (months - 1))
+              .when(kind == "last", F.when(months == 9, 5).otherwise(7)).otherwise(1))
+    century = F.floor(y / 100)
+    # leap years of a century: 24, or 25 with its first year
+    skip = F.when(century % 4 == 0, F.lit(0)).otherwise(F.lit(1))
+    b = F.when(kind == "leap", F.floor(F.pmod(y, F.lit(100)) / 4) - skip).otherwise(F.pmod(y, F.lit(100)))
+    size_b = F.when(kind == "leap", 25 - skip).otherwise(F.lit(100))
+    f = feistel(a, b, size_a.cast("long"), size_b.cast("long"), key,
+                F.concat_ws("|", F.lit("date"), century.cast("string"), sep, w0.cast("string"), w1.cast("string"), kind))
+
+    def write(x: Column) -> Column:
+        d = (F.when(kind == "early", F.floor(x.a / months) + 13).when(kind == "late", F.floor(x.a / (months - 1)) + 29)
+             .when(kind == "last", 31).otherwise(29))
+        at = F.pmod(x.a, F.greatest(months - 1, F.lit(1)))
+        m = (F.when(kind == "early", F.pmod(x.a, months) + 1).when(kind == "late", F.when(at > 0, at + 2).otherwise(1))
+             .when(kind == "last", F.get(F.array(*map(F.lit, LONG_MONTHS)), F.when(kind == "last", x.a).otherwise(0).cast("int"))).otherwise(2))
+        one = F.when(kind == "either", F.floor(x.a / n1) + 1).when(first, d).otherwise(m)
+        two = F.when(kind == "either", F.pmod(x.a, n1) + 1).when(first, m).otherwise(d)
+        year = F.when(kind == "leap", (x.b + skip) * 4).otherwise(x.b)
+        return F.concat(F.lpad(one.cast("string"), w0, F.lit("0")), sep, F.lpad(two.cast("string"), w1, F.lit("0")), sep,
+                        F.lpad((century * 100 + year).cast("string"), 4, "0"))
+
+    made = F.element_at(F.transform(F.array(f), write), 1)
+    return F.when(sep == "-", _iso_date(value, key)).otherwise(F.when(kind.isNotNull(), made))
 
 
 def _phone(value: Column, key: str) -> Column:
-    """The country code stays; all digits after it are permuted."""
+    """The country code stays, and so do the first digits of area code and, in a number
+    of ten digits, of the exchange, which decide what is a number; the rest is permuted."""
     plus = value.startswith("+")
     code = F.when(plus, F.regexp_extract(value, r"^\+[0-9]{1,3}[ .(-]*", 0)).otherwise(F.lit(""))
     rest = F.substring(value, F.char_length(code) + 1, F.lit(100))
-    return F.concat(code, fill(rest, permute_digits(_only_digits(rest), key, "phone")))
+    d = _only_digits(rest)
+    ten = F.char_length(d) == 10
+    free = F.when(ten, F.concat(F.substring(d, 2, 2), F.substring(d, 5, 6))).otherwise(F.substring(d, F.lit(2), F.lit(100)))
+    new = permute_digits(free, key, "phone")
+    return F.concat(code, fill(rest, F.when(ten, F.concat(F.substring(d, 1, 1), F.substring(new, 1, 2), F.substring(d, 4, 1),
+                                                          F.substring(new, 3, 6))).otherwise(F.concat(F.substring(d, 1, 1), new))))
 
 
 def _email(value: Column, key: str) -> Column:
