@@ -6,6 +6,10 @@ two neighbouring ranks refreshed, until no pair can merge.  Words longer than
 ``SHORT`` parts use the same rules with a heap, so a very long word stays
 n log n.  Encoded words are remembered per worker, up to ``MEMORY`` entries.
 
+Words are cut with the character tables that the library has: its letters and numbers
+are those of Unicode 16, its lower case is newer.  Canonical order is Python's, which
+lacks the marks that Unicode 16 added (U+0897 and the like).
+
 The vocabulary is read on the driver from a tokenizer file whose path is a
 parameter, and broadcast (a file of about 2 MB).
 
@@ -23,6 +27,7 @@ import json
 import unicodedata
 from array import array
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +36,41 @@ SHORT, MEMORY = 64, 400_000
 _NONE = 1 << 60
 
 
+# Capitals newer than Python's tables and their small letters, which the
+# library's lower case knows.
+NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB,
+               0xA7DC: 0x19B, **{c: c + 32 for c in range(0x10D50, 0x10D66)}, **{c: c + 27 for c in range(0x16EA0, 0x16EB9)}}
+
+
+# Letters and numbers that Unicode 16 added, which the library's word
+# pattern knows; later ones it does not.
+UNICODE_16 = (
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D40, 0x10D49), (0x10D4A, 0x10D65),
+    (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x116D0, 0x116E3), (0x11BC0, 0x11BE0), (0x11BF0, 0x11BF9),
+    (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16130, 0x16139), (0x16D40, 0x16D6C), (0x16D70, 0x16D79), (0x18CFF, 0x18CFF),
+    (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0), (0x1E5F1, 0x1E5FA))
+
+
+@cache
+def newer_letters():  # noqa: ANN201
+    """What the ``regex`` package calls a letter, a number or a space and the library does
+    not know yet (nothing that Python's own tables or Unicode 16 hold), as the ranges of a
+    class; and a compiled class of these and of the capitals above."""
+    import regex
+
+    known = {c for a, b in UNICODE_16 for c in range(a, b + 1)}
+    unknown = "".join(chr(c) for c in range(0x110000) if c not in known and unicodedata.category(chr(c)) == "Cn")
+    ranges: list[list[int]] = []
+    for c in map(ord, regex.findall(r"[\p{L}\p{N}\s]", unknown)):
+        if ranges and c == ranges[-1][1] + 1:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    newer = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) or "\\U0010ffff"
+    return regex.compile(f"[{newer}{''.join(map(chr, NEWER_LOWER))}]"), newer
+
+
 @dataclass
 class WordBPE:
     """The rules of one file: word-end marks, lower case, white space dropped."""
@@ -70,9 +110,21 @@ class WordBPE:
     def words(self, text: str) -> list[str]:
         import regex
 
+        pattern = self.pattern
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+            if newer_letters()[0].search(text):
+                text, pattern = text.translate(NEWER_LOWER), self.careful
         # lower case letter by letter: no special form for a final sigma
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return regex.findall(self.pattern, text)
+        return regex.findall(pattern, text.replace("Σ", "σ").lower())
+
+    @property
+    def careful(self) -> str:
+        """The word pattern with the letters, numbers and spaces of the library's older
+        character tables only."""
+        _, newer = newer_letters()
+        return (self.pattern.replace("[\\p{L}]+", f"(?:(?![{newer}])\\p{{L}})+").replace("[\\p{N}]", f"(?:(?![{newer}])\\p{{N}})")
+                .replace("[^\\s\\p{L}\\p{N}]+", f"(?:[{newer}]|[^\\s\\p{{L}}\\p{{N}}])+"))
 
     def merge(self, word: str) -> tuple[int, ...]:
         raw = word.encode("utf-8", "surrogatepass")
