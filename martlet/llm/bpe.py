@@ -7,8 +7,7 @@ two neighbouring ranks refreshed, until no pair can merge.  Words longer than
 n log n.  Encoded words are remembered per worker, up to ``MEMORY`` entries.
 
 Words are cut with the character tables that the library has: its letters and numbers
-are those of Unicode 16, its lower case is newer.  Canonical order is Python's, which
-lacks the marks that Unicode 16 added (U+0897 and the like).
+are those of Unicode 16, its lower case is newer and its normal form older.
 
 The vocabulary is read on the driver from a tokenizer file whose path is a
 parameter, and broadcast (a file of about 2 MB).
@@ -52,6 +51,31 @@ UNICODE_16 = (
     (0x1CCF0, 0x1CCF9), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0), (0x1E5F1, 0x1E5FA))
 
 
+# Marks that Python puts in canonical order and the library, whose normal
+# form is older, takes for letters of their own; and the one composition newer than it.
+LATER_MARKS = (
+    (0x7FD, 0x7FD), (0x898, 0x89F), (0x8CA, 0x8D3), (0x9FE, 0x9FE), (0xC3C, 0xC3C), (0xD3B, 0xD3C), (0xEBA, 0xEBA),
+    (0x1715, 0x1715), (0x1ABF, 0x1ACE), (0x1DF6, 0x1DFA), (0xA82C, 0xA82C), (0x10D24, 0x10D27), (0x10EAB, 0x10EAC),
+    (0x10EFD, 0x10EFF), (0x10F46, 0x10F50), (0x10F82, 0x10F85), (0x11070, 0x11070), (0x1133B, 0x1133B), (0x1145E, 0x1145E),
+    (0x11839, 0x1183A), (0x11930, 0x11930), (0x1193D, 0x1193E), (0x11943, 0x11943), (0x119E0, 0x119E0), (0x11A34, 0x11A34),
+    (0x11A47, 0x11A47), (0x11A99, 0x11A99), (0x11D42, 0x11D42), (0x11D44, 0x11D45), (0x11D97, 0x11D97), (0x11F41, 0x11F42),
+    (0x16FF0, 0x16FF1), (0x1E08F, 0x1E08F), (0x1E130, 0x1E136), (0x1E2AE, 0x1E2AE), (0x1E2EC, 0x1E2EF), (0x1E4EC, 0x1E4EF))
+_LATER = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in LATER_MARKS)
+
+
+#: No character below this one is treated differently by the library.
+FIRST_DIFFERENT = "\u0558"
+
+
+def normal_form(text: str) -> str:
+    """NFC as the library has it."""
+    import regex
+
+    if max(text) < FIRST_DIFFERENT or not regex.search(f"[{_LATER}]", text):
+        return unicodedata.normalize("NFC", text)
+    return "".join(unicodedata.normalize("NFC", part) for part in regex.split(f"([{_LATER}])", text))
+
+
 @cache
 def newer_letters():  # noqa: ANN201
     """What the ``regex`` package calls a letter, a number or a space and the library does
@@ -112,8 +136,8 @@ class WordBPE:
 
         pattern = self.pattern
         if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            if newer_letters()[0].search(text):
+            text = normal_form(text)
+            if max(text) >= FIRST_DIFFERENT and newer_letters()[0].search(text):
                 text, pattern = text.translate(NEWER_LOWER), self.careful
         # lower case letter by letter: no special form for a final sigma
         return regex.findall(pattern, text.replace("Σ", "σ").lower())
