@@ -84,13 +84,15 @@ def newer_letters():  # noqa: ANN201
     import regex
 
     known = {c for a, b in UNICODE_16 for c in range(a, b + 1)}
-    unknown = "".join(chr(c) for c in range(0x110000) if c not in known and unicodedata.category(chr(c)) == "Cn")
+    letter = regex.compile(r"[\p{L}\p{N}\s]")
     ranges: list[list[int]] = []
-    for c in map(ord, regex.findall(r"[\p{L}\p{N}\s]", unknown)):
-        if ranges and c == ranges[-1][1] + 1:
-            ranges[-1][1] = c
-        else:
-            ranges.append([c, c])
+    for c in range(0x110000):
+        x = chr(c)
+        if unicodedata.category(x) == "Cn" and c not in known and letter.match(x):
+            if ranges and c == ranges[-1][1] + 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
     newer = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges) or "\\U0010ffff"
     return regex.compile(f"[{newer}{''.join(map(chr, NEWER_LOWER))}]"), newer
 
