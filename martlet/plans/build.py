@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from martlet.operators import consumers, features, marts, staging
 from martlet.operators.contracts import contract_cast
 from martlet.operators.quality import quality_report
+from martlet.operators.skew import parts_for
 from martlet.plans.platform import Platform
 from martlet.session import scratch_path
 from martlet.sources.adapter import RawTables
@@ -76,8 +77,12 @@ def build_order_layout(spark: SparkSession, platform: Platform, base: str | None
     the order key then read their partitioning from the files: items and payments are
     shuffled once, when the layout is written, however many marts are built from it.
     Each bucket is written by one task (the rows are dealt by the bucket's own hash), and
-    an order, the largest group of the key, has a bounded number of lines."""
+    an order, the largest group of the key, has a bounded number of lines.  ``buckets`` is
+    the least number: one task reads a whole bucket, so the number follows the rows of the
+    largest table and the memory of a task does not."""
     base = base or scratch_path(spark, "order-layout")
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    buckets = min(most, max(parts_for(getattr(platform, name), buckets) for name in ORDER_TABLES))
     out = Platform(platform.raw, platform.as_of, platform.high, platform.mid)
     tables = _concurrently({name: (lambda name=name: _write_bucketed(
         spark, getattr(platform, name).repartition(buckets, "order_id"), base, name, {}, buckets, "order_id"))

@@ -116,6 +116,24 @@ def test_order_layout_needs_no_exchange_of_the_items(spark, smoke_dir, tmp_path)
     assert p.fct_orders.exceptAll(plain.fct_orders).isEmpty() and plain.fct_orders.exceptAll(p.fct_orders).isEmpty()
 
 
+def test_order_layout_has_more_buckets_for_more_rows(spark, smoke_dir, tmp_path, monkeypatch):
+    """A task reads a whole bucket: its rows must not grow with the tables."""
+    from martlet.operators import consumers, skew
+    from martlet.plans import build
+    from martlet.plans.platform import Platform
+
+    plain = Platform.from_driver(spark, smoke_dir)
+    items = plain.stg_order_items.count()
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", items // 10)
+    p = build.build_order_layout(spark, plain, base=str(tmp_path / "layout"), buckets=4)
+    for name in build.ORDER_TABLES:
+        held = [r["count"] for r in getattr(p, name).groupBy(F.input_file_name()).count().collect()]
+        assert len(held) >= 10 and max(held) <= items // 5
+    lines = consumers.revenue_by_product_lines(p.stg_order_items, p.stg_orders, plain.dim_products)
+    want = consumers.revenue_by_product_lines(plain.stg_order_items, plain.stg_orders, plain.dim_products)
+    assert lines.exceptAll(want).isEmpty() and want.exceptAll(lines).isEmpty()
+
+
 SIDE_EFFECT_KEYS = {"bronze_stream", "silver_stream", "silver_stream_events", "gold_refresh",
                     "append_batch", "append_batch_once", "scan_source", "bronze_copy", "create_typed_table",
                     "materialize_table"}
