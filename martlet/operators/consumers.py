@@ -187,11 +187,18 @@ def fct_revenue_by_product(fct_orders: DataFrame, dim_products: DataFrame) -> Da
 
 
 def revenue_by_product_lines(order_items: DataFrame, fct_orders: DataFrame,
-                             dim_products: DataFrame) -> DataFrame:
+                             dim_products: DataFrame, parts: int | None = None) -> DataFrame:
     """Line-level attribution (what the product mart asks for in production):
-    each product gets the line totals of its own completed orders."""
+    each product gets the line totals of its own completed orders.
+
+    A task sorts its part of both sides and holds its (product, order) groups, so its
+    memory follows the rows of a part: give ``parts`` from the items' rows
+    (:func:`~martlet.operators.skew.parts_for`), or inputs bucketed by the order."""
     o = fct_orders.select("order_id", "status", "order_date")
-    lines = order_items.select("order_id", "product_id", "line_total").join(o, "order_id")
+    lines = order_items.select("order_id", "product_id", "line_total")
+    if parts:
+        lines, o = lines.repartition(parts, "order_id"), o.repartition(parts, "order_id")
+    lines = lines.join(o, "order_id")
     g = order_grain(lines, ["product_id"], flags={"_r": is_returned()},
                     aggs=[F.sum(F.when(is_completed(), F.col("line_total")).otherwise(money_zero()))
                           .alias("_rev"),

@@ -134,6 +134,21 @@ def test_order_layout_has_more_buckets_for_more_rows(spark, smoke_dir, tmp_path,
     assert lines.exceptAll(want).isEmpty() and want.exceptAll(lines).isEmpty()
 
 
+def test_line_revenue_is_dealt_over_more_tasks_for_more_rows(spark, smoke_dir, monkeypatch):
+    from martlet.operators import skew
+    from martlet.plans.platform import Platform
+
+    want = catalog.queries()["revenue_by_product_lines"](spark, smoke_dir)
+    items = Platform.from_driver(spark, smoke_dir).stg_order_items.count()
+    monkeypatch.setattr(skew, "ROWS_PER_TASK", items // 20)
+    got = catalog.queries()["revenue_by_product_lines"](spark, smoke_dir)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(order_id#\d+L, (\d+)\), REPARTITION_BY_NUM", plan)]
+    assert len(dealt) == 2 and set(dealt) in ({20}, {21})
+    assert "Exchange hashpartitioning(product_id" in plan
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 SIDE_EFFECT_KEYS = {"bronze_stream", "silver_stream", "silver_stream_events", "gold_refresh",
                     "append_batch", "append_batch_once", "scan_source", "bronze_copy", "create_typed_table",
                     "materialize_table"}
