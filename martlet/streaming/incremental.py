@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from martlet.functions import exact_ratio, money_zero
 from martlet.operators import marts, staging
+from martlet.sources.ingest import materialize_table
 from martlet.sources.ledger import Ledger
 
 MONEY = "decimal(28,2)"
@@ -108,7 +109,7 @@ class GoldStore:
     """Incrementally maintained gold tables below ``path``."""
 
     def __init__(self, spark: SparkSession, path: str, block_rows: int = 1_000_000, compact_after: int | None = None):
-        self.ledger = Ledger(spark, path)
+        self._spark, self.ledger = spark, Ledger(spark, path)
         self._block_rows, self._compact_after = block_rows, compact_after
 
     # -------------------------------------------------------------- refresh
@@ -122,7 +123,8 @@ class GoldStore:
         folders = {"orders": self.ledger.stage(batch_id, "orders", touched.repartition("block"), "block")}
         now = self.ledger.staged(folders["orders"], ORDERS)
         blocks = sorted(r.block for r in now.select("block").distinct().collect())
-        moved = self._differences(now, blocks)
+        # read by both aggregates, computed once
+        moved = materialize_table(self._spark, self._differences(now, blocks), "gold-moved")
         customers = merged_customers(moved.select(
             "customer_id", F.col("arrived").alias("number_of_orders"), F.col("paid").alias("ltv"),
             F.when(F.col("arrived") > 0, F.col("order_date")).alias("first_order_date"),
@@ -143,7 +145,8 @@ class GoldStore:
     def _differences(self, now: DataFrame, blocks) -> DataFrame:
         """Per touched order that is here after the batch: ``arrived`` (1 if it came
         with it) and the change of its paid sum as the gold tables see it."""
-        before = merged_orders(self.known(blocks).join(now.select("order_id", "block"), ["order_id", "block"], "left_semi"))
+        # a block follows from its order ids, so the order id alone partitions both joins and the merge
+        before = merged_orders(self.known(blocks).join(now.select("order_id"), "order_id", "left_semi"))
         was = before.select("order_id", *[F.col(c).alias(f"was_{c}") for c in ("customer_id", "status", "order_date", "here", "amount_paid")])
         both = now.join(was, "order_id", "left")
         here = F.coalesce("was_here", F.lit(0))
@@ -160,9 +163,10 @@ class GoldStore:
         batch_id = f"snapshot-{len(included)}"
         if self.ledger.has(batch_id):
             return
-        orders = merged_orders(self.ledger.read("orders", ORDERS), "block")
+        # dealt by block before the merge: one shuffle serves the merge and the write
+        orders = merged_orders(self.ledger.read("orders", ORDERS).repartition("block"), "block")
         self.ledger.commit(batch_id, {
-            "orders": self.ledger.stage(batch_id, "orders", orders.repartition("block"), "block"),
+            "orders": self.ledger.stage(batch_id, "orders", orders, "block"),
             "customers": self.ledger.stage(batch_id, "customers", merged_customers(self.ledger.read("customers", CUSTOMERS))
                                            .select(*_names(CUSTOMERS))),
             "days": self.ledger.stage(batch_id, "days", merged_days(self.ledger.read("days", DAYS)).select(*_names(DAYS)))}, included)

@@ -111,6 +111,42 @@ def test_work_is_in_proportion_to_the_change(spark, smoke_dir, base):
     assert_gold(store, silver)
 
 
+def test_a_refresh_joins_once_and_shuffles_by_order_only(spark, base, monkeypatch):
+    def changes(ids):
+        day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int"))
+        orders = spark.createDataFrame([(i,) for i in ids], "id long").select(
+            F.col("id").alias("order_id"), (F.col("id") % 3).alias("customer_id"), F.lit("completed").alias("status"),
+            day.alias("order_date"), F.lit(1).cast("decimal(10,2)").alias("amount"))
+        paid = orders.select("order_id", F.lit("success").alias("payment_status"), "amount")
+        return incremental.order_changes(orders, None, paid)
+
+    plans = {}
+    store = incremental.GoldStore(spark, base, block_rows=10)
+    store.refresh("b0", changes(range(60)))
+    real = store.ledger.stage
+
+    def stage(batch_id, table, rows, *more):
+        plans[batch_id, table] = rows._jdf.queryExecution().executedPlan().toString()
+        return real(batch_id, table, rows, *more)
+
+    monkeypatch.setattr(store.ledger, "stage", stage)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        second = store.refresh("b1", changes([*range(30, 90), 30]))
+        store.compact()
+        now = store.ledger.staged(second.folders["orders"], incremental.ORDERS)
+        joined = store._differences(now, second.blocks)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Join" not in plans["b1", "customers"] and "Join" not in plans["b1", "days"]
+    assert joined.count("Exchange hashpartitioning(order_id") == 3 == joined.count("Exchange")  # known, and the batch for each join
+    assert plans["snapshot-2", "orders"].count("Exchange") == 1
+    days = store.gold_fct_revenue().orderBy("order_date").collect()
+    assert [(r.number_of_orders, int(r.daily_revenue)) for r in days] == [(18, 25), *[(18, 24)] * 4]
+    assert store.gold_fct_orders().count() == 90
+
+
 def test_crash_before_the_commit_is_retried_whole(spark, smoke_dir, base, monkeypatch):
     silver = silver_of(spark, smoke_dir)
     changes = incremental.order_changes(silver["orders"], silver["order_items"], silver["payments"])
